@@ -11,6 +11,7 @@ from millrace.llm.common import documents
 from millrace.llm.langid import identify
 from millrace.llm.media import media_column
 from millrace.llm.mixing import mix_sources
+from millrace.llm.near_dedup import near_duplicates
 from millrace.llm.quality import quality
 from millrace.llm.secrets import scan_secrets
 from millrace.llm.toxicity import toxicity
@@ -42,6 +43,10 @@ def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir)).select("doc_id", "class_id", "n_links")
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(documents(spark, sf_dir))
 
@@ -51,6 +56,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_byte_bpe, op3_language_id, op4_media_columns, op5_toxicity, op6_source_mix, op9_secret_scan, op10_quality_rules)
+    f.__name__: f for f in (op2_byte_bpe, op3_language_id, op4_media_columns, op5_toxicity, op6_source_mix, op7_order_minhash, op9_secret_scan, op10_quality_rules)
 }
 ORACLE_SQL: dict[str, str] = {}
