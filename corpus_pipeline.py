@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, common, mixing, secrets
+from millrace.llm import bpe, common, mixing, near_dedup, secrets
 from millrace.llm import toxicity as tox
 
-STAGES: list = []
 #: Learned models, alignment and tokenizers are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
@@ -19,6 +18,11 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return tox.score(docs, model).filter(F.col("toxic_score") < 0.5).select(*docs.columns)
 
 
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates, the one of the least doc_id, as it is."""
+    return near_dedup.deduplicate(docs)
+
+
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their secrets replaced."""
     out = secrets.redact(docs)
@@ -37,6 +41,15 @@ def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+STAGES = [
+    ("toxicity", toxicity_stage),
+    ("near_dedup", near_dedup_stage),
+    ("secrets", secrets_stage),
+    ("mixing", mixing_stage),
+    ("tokens", tokens_stage),
+]
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
