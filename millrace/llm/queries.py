@@ -14,6 +14,8 @@ from millrace.llm.mixing import mix_sources
 from millrace.llm.near_dedup import near_duplicates
 from millrace.llm.quality import quality
 from millrace.llm.secrets import scan_secrets
+from millrace.llm.substring_dedup import remove_earlier_windows
+from millrace.llm.suffix_dedup import remove_repeats
 from millrace.llm.toxicity import toxicity
 
 
@@ -21,6 +23,10 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(documents(spark, sf_dir))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -47,6 +53,10 @@ def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir)).select("doc_id", "class_id", "n_links")
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_earlier_windows(documents(spark, sf_dir))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(documents(spark, sf_dir))
 
@@ -56,6 +66,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_byte_bpe, op3_language_id, op4_media_columns, op5_toxicity, op6_source_mix, op7_order_minhash, op9_secret_scan, op10_quality_rules)
+    f.__name__: f for f in (op1_suffix_dedup, op2_byte_bpe, op3_language_id, op4_media_columns, op5_toxicity, op6_source_mix, op7_order_minhash, op8_substring_dedup, op9_secret_scan, op10_quality_rules)
 }
 ORACLE_SQL: dict[str, str] = {}
