@@ -145,7 +145,8 @@ def sort_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = repeated_windows(part.column("block").to_pylist(), part.column("shard").to_numpy(), part.column("shards").to_numpy())
         again = part.column("copies").to_numpy() > 1  # whole contents that occur more than once
         sizes = [len(b) - LENGTH + 1 for b in part.column("block").to_pylist()]
-        spans = [[{"o": 0, "n": s}] if c else spans_of(f) for f, c, s in zip(found, again, sizes, strict=True)]
+        # A content that occurs again is covered whole; its first shard says so, the others stay silent.
+        spans = [([] if k else [{"o": 0, "n": s}]) if c else spans_of(f) for f, c, s, k in zip(found, again, sizes, part.column("shard").to_pylist(), strict=True)]
         one = lambda name: part.column(name).combine_chunks()
         return pa.RecordBatch.from_arrays([one("ahash"), one("chash"), pa.array(spans, pa.list_(pa.struct([("o", pa.int32()), ("n", pa.int32())])))], ["ahash", "chash", "spans"])
 
@@ -238,7 +239,9 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     mixed = met.filter("not whole").drop("whole")
     contents = blocks_of(docs, mixed).groupBy("ahash", "chash", "shard").agg(F.count(F.lit(1)).alias("copies"), runs.once("shards"), runs.once("block"))
     ordered = contents.select("ahash", "chash", "shard", "shards", "copies", "block").repartition("ahash", "shard").sortWithinPartitions("ahash", "shard")
-    repeats = materialize(ordered.mapInArrow(sort_blocks, "ahash long, chash long, spans array<struct<o:int,n:int>>").filter(F.size("spans") > 0), "repeat-blocks")
+    repeats = ordered.mapInArrow(sort_blocks, "ahash long, chash long, spans array<struct<o:int,n:int>>").filter(F.size("spans") > 0)
+    # One row for each content, whatever its shards.
+    repeats = materialize(repeats.groupBy("ahash", "chash").agg(F.flatten(F.collect_list("spans")).alias("spans")), "repeat-blocks")
     release(df.sparkSession)
     inner = mixed.join(repeats, ["ahash", "chash"]).select("did", "rid", "start", F.inline("spans")).select("did", "rid", (F.col("start") + F.col("o")).alias("start"), "n")
     spans = materialize(met.filter("whole").select("did", "rid", "start", "n").unionAll(inner), "repeat-spans")
