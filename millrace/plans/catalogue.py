@@ -1,10 +1,323 @@
-"""All registered queries of the ingestion engine and the SQL that gives the same rows."""
+"""All registered queries of the ingestion engine and the SQL that gives the same rows.
+
+Inputs that the real engine gets from the service are simulated from the
+driver's tables: ``events`` serve as submissions and as task records, ``pages``
+as URL sources with the size of their HTML.
+"""
 
 from __future__ import annotations
 
+import io
+import zipfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from millrace.config import RANGES
+from millrace.functions import names
+from millrace.functions.dimensions import ERRORS, INLINE, LIGHT_UNSUPPORTED, MIME, OTHER_MIME, SUPPORTED, error_table
+from millrace.operators import admission, archive, artifacts, limits, status
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+#: Lowered so that every reason of the gate occurs in the tables at hand.
+DEMO_LIMITS = {"precision": 12000, "agent": 6000}
+TICK_US, BURST, DAY_LIMIT, PREVIEW = 600_000_000, 3, 100, 1000
+
+
+def query(sql: str | None = None):
+    def add(f: Callable[[SparkSession, str], DataFrame]):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def values(spark: SparkSession, rows: str, columns: str) -> DataFrame:
+    return spark.sql(f"select * from values {rows} as t({columns})")
+
+
+def quoted(items) -> str:
+    return ", ".join("'" + i + "'" for i in items)
+
+
+NAME_SQL = r"coalesce(nullif(regexp_extract(regexp_extract(url, '(?i)^https?://[^/?#]*([^?#]*)', 1), '([^/]*)/*$', 1), ''), 'document')"
+EXT_SQL = r"lower(regexp_extract(name, '^.+(\.[^.]*)$', 1))"
+
+
+@query(f"select page_id, kind, name, {EXT_SQL} as ext from (select page_id, case when regexp_matches(url, '(?i)^https?://') then 'url' else 'file' end as kind, {NAME_SQL} as name from pages)")
+def source_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return admission.classify(table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("source"))).select("page_id", "kind", "name", "ext")
+
+
+GATED_SQL = f"""
+with named as (select page_id, url, {NAME_SQL} as name, strlen(html) as size from pages),
+typed as (select *, {EXT_SQL} as ext from named),
+gated as (
+  select page_id, api, name, ext, size, case when ext in ('.html', '.htm') then 'html' else 'vlm' end as model,
+    case when ext <> '' and ext not in ({quoted(SUPPORTED)}) then 'UNSUPPORTED_TYPE'
+         when api = 'agent' and ext in ({quoted(LIGHT_UNSUPPORTED)}) then 'AGENT_UNSUPPORTED'
+         when size > case when api = 'precision' then {DEMO_LIMITS["precision"]} else {DEMO_LIMITS["agent"]} end then 'TOO_LARGE'
+         when size = 0 then 'EMPTY_FILE' end as reason
+  from typed, (values ('precision'), ('agent')) a(api))
+"""
+
+
+def gated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Only the size of the HTML is needed; the two tiers are a projection, not a join.
+    pages = table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("source"), F.octet_length("html").cast("long").alias("size"))
+    d = admission.classify(pages).withColumn("api", F.explode(F.array(F.lit("precision"), F.lit("agent"))))
+    limit = admission.size_limit(F.col("api"), F.lit(0), DEMO_LIMITS)
+    d = d.withColumn("reason", admission.reason(F.col("api"), F.col("ext"), F.col("size"), limit, F.col("kind") == "url"))
+    return d.withColumn("model", admission.model_for(F.col("ext"), F.lit("vlm")))
+
+
+@query(GATED_SQL + """, kept as (select page_id, api, cast(floor((row_number() over (partition by api, page_id // 1000 order by page_id) - 1) / 200) as bigint) as chunk_no from gated where reason is null)
+select g.page_id, g.api, g.name, g.ext, g.size, g.model, g.reason, g.reason is null as admitted, k.chunk_no from gated g left join kept k on g.page_id = k.page_id and g.api = k.api""")
+def admission_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tier, model, admission or its refusal, and chunk of every page on both tiers."""
+    d = gated(spark, sf_dir).withColumn("call", admission.call_of(F.col("page_id"))).withColumn("admitted", F.col("reason").isNull())
+    d = admission.chunk(d, ["api", "call", "admitted"], "page_id", admission.chunk_limit(F.col("kind")))
+    return d.select("page_id", "api", "name", "ext", "size", "model", "reason", "admitted", F.when(F.col("admitted"), F.col("chunk_no")).alias("chunk_no"))
+
+
+@query(GATED_SQL + "select api, coalesce(reason, 'ADMITTED') as outcome, count(*) as n, cast(sum(size) as bigint) as bytes from gated group by all")
+def admission_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gated(spark, sf_dir).groupBy("api", F.coalesce("reason", F.lit("ADMITTED")).alias("outcome")).agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"))
+
+
+ROUTE_VALUES = ", ".join(f"({m}, {c}, {t}, '{e}')" for m in ("null", "'auto'", "'precision'", "'agent'", "'odd'") for c in ("null", "'auto'", "'precision'", "'agent'") for t in ("true", "false") for e in (".html", ".pdf"))
+
+
+@query(f"""with t(mode, cfg, has_token, ext) as (values {ROUTE_VALUES}), a as (select *, coalesce(mode, cfg, 'auto') as asked from t)
+select mode, cfg, has_token, ext,
+  case when asked = 'precision' then case when has_token then 'precision' end when asked = 'agent' then 'agent' when has_token then 'precision' else 'agent' end as api,
+  case when coalesce(mode, 'precision') = 'agent' or not has_token then null else 'precision' end as batch_api,
+  case when ext in ('.html', '.htm') then 'html' else 'vlm' end as model from a""")
+def api_route_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = values(spark, ROUTE_VALUES, "mode, cfg, has_token, ext")
+    c = F.col
+    return t.select("mode", "cfg", "has_token", "ext", admission.route(c("mode"), c("cfg"), c("has_token")).alias("api"), admission.route_batch(c("mode"), c("has_token")).alias("batch_api"), admission.model_for(c("ext"), F.lit("vlm")).alias("model"))
+
+
+CHUNK_SQL = "select page_id, url, page_id // 1000 as call, row_number() over (partition by page_id // 1000 order by page_id) as rn from pages"
+
+
+@query(f"select page_id, call, rn, cast(floor((rn - 1) / 50) as bigint) as chunk_no, 'doc-' || cast((rn - 1) % 50 + 1 as varchar) as data_id from ({CHUNK_SQL})")
+def batch_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "pages").select("page_id").withColumn("call", admission.call_of(F.col("page_id")))
+    return admission.chunk(d, ["call"], "page_id", 50).select("page_id", "call", "rn", "chunk_no", "data_id")
+
+
+@query(f"select call, cast(floor((rn - 1) / 50) as bigint) as chunk_no, count(*) as n_items, string_agg(url, ' ' order by rn) as urls from ({CHUNK_SQL}) group by 1, 2")
+def batch_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bodies as JSON, read back into fields: JSON texts of two engines differ."""
+    d = table(spark, sf_dir, "pages").select("page_id", "url").withColumn("call", admission.call_of(F.col("page_id")))
+    bodies = admission.batch_requests(admission.chunk(d, ["call"], "page_id", 50), ["call"])
+    files = F.from_json("body", "files array<struct<url string, data_id string>>")["files"]
+    return bodies.select("call", "chunk_no", "n_items", F.array_join(F.transform(files, lambda x: x["url"]), " ").alias("urls"))
+
+
+@query(f"select event_id, strftime(ts, '%Y-%m-%d') as day, cast(sum(user_id % 3 + 1) over w as bigint) as used, sum(user_id % 3 + 1) over w > {DAY_LIMIT} as rejected from events window w as (partition by strftime(ts, '%Y-%m-%d') order by ts, event_id rows unbounded preceding)")
+def daily_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").select("event_id", "ts", names.utc_day(F.col("ts")).alias("day"), (F.col("user_id") % 3 + 1).alias("cost"))
+    return limits.daily_quota(e, "day", ["ts", "event_id"], "cost", DAY_LIMIT).select("event_id", "day", "used", "rejected")
+
+
+@query(f"""with a as (select event_id, user_id, epoch_us(ts) as t, row_number() over w as n from events window w as (partition by user_id order by ts, event_id)),
+b as (select *, max(t - n * {TICK_US}) over (partition by user_id order by n rows unbounded preceding) + (n + 1) * {TICK_US} as tat from a)
+select event_id, coalesce(greatest(t, lag(tat) over (partition by user_id order by n) - {(BURST - 1) * TICK_US}), t) - t as delay_us from b""")
+def submit_throttle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user's submissions through a bucket of its own, so that buckets are throttled in parallel."""
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("t"))
+    return limits.throttle(e, ["user_id"], "t", "event_id", TICK_US, BURST).select("event_id", (F.col("release_us") - F.col("t")).alias("delay_us"))
+
+
+RETRY_VALUES = ", ".join(f"({s}, {a}, {h})" for s in (200, 401, 403, 404, 429, 500) for a in range(4) for h in ("null", "'5'", "'0'", "'500'", "'soon'"))
+
+
+@query(f"""with t(status, attempt, header) as (values {RETRY_VALUES})
+select status, attempt, header, case when status = 429 then 'RATE_LIMITED' when status in (401, 403) then 'UNAUTHORIZED' when status between 200 and 299 then 'OK' else 'HTTP_ERROR' end as class,
+  case when status = 429 and attempt < 2 then least(120, coalesce(nullif(try_cast(header as integer), 0), 30)) end as wait_s from t""")
+def retry_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = values(spark, RETRY_VALUES, "status, attempt, header")
+    return t.select("status", "attempt", "header", limits.http_class(F.col("status")).alias("class"), limits.retry_wait(F.col("status"), F.col("attempt"), F.col("header")).alias("wait_s"))
+
+
+CODES = sorted(ERRORS)
+ERROR_VALUES = ", ".join(f"('{k}', '{v.replace(chr(39), chr(39) * 2)}')" for k, v in sorted(ERRORS.items()))
+CODES_SQL = "[" + quoted(CODES) + "]"
+
+
+@query(f"""with e(code, message) as (values {ERROR_VALUES}), t as (select event_id, cast(regexp_extract(props, '(\\d+)', 1) as bigint) as k from events where event_type = 'error'),
+c as (select event_id, case when k % 3 = 0 then '0' when k % 3 = 1 then {CODES_SQL}[k % {len(CODES)} + 1] else 'E' || k end as code, case when k % 2 = 0 then {CODES_SQL}[(k + 7) % {len(CODES)} + 1] end as err_code, case when k % 5 > 0 then 'text ' || k else '' end as msg from t)
+select event_id, case when c.code <> '0' then coalesce(o.message, i.message, nullif(msg, ''), c.code) else coalesce(i.message, '{status.GENERIC}') end as error_message,
+  case when c.code <> '0' then c.code when i.message is not null then err_code end as raw_code
+from c left join e o on c.code = o.code left join e i on c.err_code = i.code""")
+def error_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").filter(F.col("event_type") == "error").select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"))
+    codes = F.array(*map(F.lit, CODES))
+    pick = lambda i: F.get(codes, F.pmod(i, F.lit(len(CODES))).cast("int"))
+    k = F.col("k")
+    d = e.select(
+        "event_id",
+        F.when(k % 3 == 0, "0").when(k % 3 == 1, pick(k)).otherwise(F.concat(F.lit("E"), k.cast("string"))).alias("code"),
+        F.when(k % 2 == 0, pick(k + 7)).alias("err_code"),
+        F.when(k % 5 > 0, F.concat(F.lit("text "), k.cast("string"))).otherwise("").alias("msg"),
+    )
+    return status.payload_error(d).select("event_id", "error_message", "raw_code")
+
+
+STATE_SQL = "case event_type when 'purchase' then 'done' when 'error' then 'failed' when 'view' then 'running' when 'click' then 'pending' else 'waiting-file' end"
+
+
+def task_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kinds = F.col("event_type")
+    state = F.when(kinds == "purchase", "done").when(kinds == "error", "failed").when(kinds == "view", "running").when(kinds == "click", "pending").otherwise("waiting-file")
+    return table(spark, sf_dir, "events").select("event_id", "ts", "user_id", state.alias("state"), "value")
+
+
+@query(f"select user_id as task_id, arg_max({STATE_SQL}, (ts, event_id)) as state, count(*) as n_records, arg_max({STATE_SQL}, (ts, event_id)) in ('done', 'failed') as is_terminal from events group by 1")
+def task_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return status.latest(task_records(spark, sf_dir).withColumnRenamed("user_id", "task_id"), "task_id", "ts", "event_id", "state")
+
+
+ITEMS_SQL = f"with s as (select user_id, arg_max({STATE_SQL}, (ts, event_id)) as state, arg_max(value, (ts, event_id)) > 5 as has_url from events group by 1)"
+
+
+def batch_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    last = F.struct("ts", "event_id")
+    s = task_records(spark, sf_dir).groupBy("user_id").agg(F.max_by("state", last).alias("state"), F.max_by("value", last).alias("value"))
+    return s.select(F.pmod("user_id", F.lit(10)).alias("batch_id"), "state", F.when(F.col("value") > 5, "sim://zip").alias("zip_url"))
+
+
+@query(ITEMS_SQL + " select user_id % 10 as batch_id, count(*) as total, cast(count_if(state = 'done' and has_url) as bigint) as done, cast(count_if(state not in ('done', 'failed')) as bigint) as active, cast(count(*) - count_if(state = 'done' and has_url) as bigint) as failed, count_if(state not in ('done', 'failed')) = 0 as is_complete from s group by 1")
+def batch_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return status.batch_progress(batch_items(spark, sf_dir), "batch_id")
+
+
+@query(ITEMS_SQL + " select state, case when state <> 'done' then 'NOT_DONE' when has_url then 'zip' else 'API' end as action, count(*) as n from s group by 1, 2")
+def result_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = batch_items(spark, sf_dir)
+    return d.groupBy("state", status.collect_action(F.col("state"), F.col("zip_url"), F.lit(None).cast("string")).alias("action")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"select doc_id, upper(hex(encode(text)[1:{PREVIEW}])) as prefix_hex, strlen(text) as bytes, strlen(text) > {PREVIEW} as truncated from documents")
+def preview_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = F.col("text")
+    return table(spark, sf_dir, "documents").select("doc_id", F.hex(names.preview_prefix(t, PREVIEW)).alias("prefix_hex"), F.octet_length(t).cast("long").alias("bytes"), names.truncated(t, PREVIEW).alias("truncated"))
+
+
+@query()
+def preview_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole characters only, which SQL has no function for."""
+    return table(spark, sf_dir, "documents").select("doc_id", names.preview(F.col("text"), PREVIEW).alias("preview"))
+
+
+SLUG_SQL = r"substr(regexp_replace(regexp_replace({0}, '[^A-Za-z0-9._\-]+', '-', 'g'), '^-+|-+$', '', 'g'), 1, {1})"
+
+
+@query(f"""select 'doc' as origin, doc_id as id, coalesce(nullif({SLUG_SQL.format("text", 80)}, ''), 'parse') as run_name, case when {SLUG_SQL.format("text", 120)} not in ('', '.', '..') then {SLUG_SQL.format("text", 120)} end as file_name from documents
+union all select 'page', page_id, coalesce(nullif({SLUG_SQL.format("url", 80)}, ''), 'parse'), case when {SLUG_SQL.format("url", 120)} not in ('', '.', '..') then {SLUG_SQL.format("url", 120)} end from pages""")
+def slug_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = table(spark, sf_dir, "documents").select(F.lit("doc").alias("origin"), F.col("doc_id").alias("id"), F.col("text").alias("s")).unionByName(table(spark, sf_dir, "pages").select(F.lit("page").alias("origin"), F.col("page_id").alias("id"), F.col("url").alias("s")))
+    return both.select("origin", "id", names.run_name(F.col("s")).alias("run_name"), names.file_name(F.col("s")).alias("file_name"))
+
+
+@query(r"select page_id, nullif(substr(regexp_replace(url, '[^A-Za-z0-9_.\-]', '_', 'g'), 1, 128), '') as data_id from pages")
+def data_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select("page_id", names.data_id(F.col("url")).alias("data_id"))
+
+
+@query("select doc_id, case when b <= 0 then 0.0::double when b < 1024 then b::double when b < 1048576 then round(b / 1024, 1) when b < 1073741824 then round(b / 1048576, 1) else round(b / 1073741824, 1) end as value, case when b < 1024 then 'B' when b < 1048576 then 'KB' when b < 1073741824 then 'MB' else 'GB' end as unit from (select doc_id, cast(strlen(text) as double) * (doc_id % 4) * 997 as b from documents)")
+def format_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = F.octet_length("text").cast("double") * (F.col("doc_id") % 4) * 997
+    value, unit = names.size_parts(b)
+    return table(spark, sf_dir, "documents").select("doc_id", value.alias("value"), unit.alias("unit"))
+
+
+FILE_EXTENSIONS = (".pdf", ".PDF", ".md", ".json", ".zip", ".tar.gz", ".htm", ".docx", ".doc", ".latex", "png", ".jp2", "", ".", ".svg", ".txt")
+MIME_VALUES = ", ".join(f"('{k}', '{v}')" for k, v in sorted(MIME.items()))
+
+
+@query(f"""with m(ext, mime) as (values {MIME_VALUES}), n as (select 'p' || page_id || x.e as name from pages, (values {", ".join(f"('{e}')" for e in FILE_EXTENSIONS)}) x(e)),
+t as (select name, lower(name) as l, lower(regexp_extract(name, '(\\.[^.]*)$', 1)) as ext from n)
+select name, t.ext, case when l like '%.md' then 'markdown' when l like '%.json' then 'json' when l like '%.zip' then 'zip' when regexp_matches(l, '.(png|jpe?g|jp2|webp|gif|bmp)$') then 'image' when regexp_matches(l, '\\.docx?$') then 'docx' when regexp_matches(l, '\\.html?$') then 'html' when regexp_matches(l, '\\.(tex|latex)$') then 'latex' else 'other' end as kind,
+  coalesce(mime, '{OTHER_MIME}') as mime, t.ext in ({quoted(INLINE)}) as inline from t left join m on t.ext = m.ext""")
+def artifact_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = F.explode(F.array(*map(F.lit, FILE_EXTENSIONS)))
+    d = table(spark, sf_dir, "pages").select("page_id", e.alias("e")).select(F.concat(F.lit("p"), F.col("page_id").cast("string"), F.col("e")).alias("name"))
+    return artifacts.describe(d).select("name", "ext", "kind", "mime", "inline")
+
+
+ENTRY_NAMES = ("a/b.md", "./a//b", "../evil", "/abs", "C:/x", "a/../b", "", ".", "a/.", "dir/", "x..y", "images/p 1.png")
+ENTRY_VALUES = ", ".join(f"('{n}')" for n in ENTRY_NAMES)
+
+
+@query(f"""with t(name) as (values {ENTRY_VALUES}), p as (select name, list_filter(string_split(name, '/'), lambda x: x not in ('', '.')) as parts from t)
+select name, case when not regexp_matches(name, '^[A-Za-z]:|^/') and not list_contains(parts, '..') and len(parts) > 0 then array_to_string(parts, '/') end as safe, (name <> '' and not contains(name, '..') and not starts_with(name, '/')) as servable from p""")
+def entry_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.col("name")
+    return values(spark, ENTRY_VALUES, "name").select("name", names.entry_name(n).alias("safe"), names.servable(n).alias("servable"))
+
+
+CONFIG_VALUES = ", ".join(f"('{k}', {v}L, {a}L, {b}L)" for k, (a, b) in RANGES.items() for v in (a - 1, a, b, b + 1))
+
+
+@query(f"with t(option, value, low, high) as (values {CONFIG_VALUES.replace('L', '')}) select option, cast(value as bigint) as value, value between low and high as valid from t")
+def config_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return values(spark, CONFIG_VALUES, "option, value, low, high").select("option", "value", F.col("value").between(F.col("low"), F.col("high")).alias("valid"))
+
+
+@query()
+def text_crc32(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", F.crc32(F.col("text").cast("binary")).alias("crc"), F.octet_length("text").alias("bytes"))
+
+
+@query()
+def capability_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signed links with a demonstration key, and what checking them says before and after they end."""
+    key = b"demonstration key"
+    sign, check = artifacts.capability_token(key), artifacts.capability_check(key)
+    d = table(spark, sf_dir, "pages").select(F.concat(F.lit("run/p "), F.col("page_id").cast("string"), F.lit(".md")).alias("rel"), (F.lit(1_700_000_000) + F.col("page_id")).alias("expires"))
+    d = d.withColumn("token", sign("rel", "expires"))
+    return d.select("rel", "token", artifacts.capability_url(F.lit("/artifact"), F.col("rel"), F.col("token")).alias("url"), check("rel", "token", F.lit(1_700_000_010)).alias("verdict"))
+
+
+def demo_archives(spark: SparkSession) -> DataFrame:
+    """A handful of archives made here: good, nested, unsafe and damaged ones."""
+
+    def made(files: dict[str, bytes], method: int = zipfile.ZIP_DEFLATED) -> bytes:
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w", method) as z:
+            for name, data in files.items():
+                z.writestr(zipfile.ZipInfo(name, (2024, 1, 1, 0, 0, 0)), data, method)
+        return out.getvalue()
+
+    good = made({"full.md": b"# Title\n" * 50, "images/a.png": b"\x89PNG", "layout.json": b"{}"})
+    rows = [("good", good), ("stored", made({"x/full.md": b"text"}, zipfile.ZIP_STORED)), ("bzip", made({"a": b"b" * 99}, zipfile.ZIP_BZIP2)), ("evil", made({"../evil": b"x"})), ("cut", good[:-30]), ("none", b""), ("flipped", good.replace(b"\x89PNG", b"\x88PNG"))]
+    return spark.createDataFrame([(n, bytearray(d)) for n, d in rows], "archive string, content binary")
+
+
+@query()
+def zip_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive.scan(demo_archives(spark))
+
+
+@query()
+def zip_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = archive.extracted(demo_archives(spark))
+    return d.withColumn("crc", F.crc32("content")).withColumn("content", F.hex("content"))
+
+
+@query("select error_code as code, message from (values " + ERROR_VALUES + ") t(error_code, message)")
+def error_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return error_table(spark)
