@@ -8,10 +8,11 @@ aligned; a link needs aligned k-mers over all k-mers of 0.8 or more. Links
 join texts to classes.
 
 Within a bucket of equal sketches a leader is aligned with the other members;
-those that it does not link to bring forth the next leader, until every member
-is a leader or linked to one. Half of the sketches take leaders from the other
-end, so that members linked to different leaders meet again. Exact copies are
-one text throughout.
+those that it does not link to bring forth the next leaders. Half of the
+sketches take leaders from the other end, so that members linked to different
+leaders meet again. Members still alone after two rounds mostly share a common
+passage; they meet anew by their rarest k-mers until every one is a leader or
+linked to one. Exact copies are one text throughout.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from millrace.llm.hashing import U, Prefix, mix, words_of
 SHINGLE, THRESHOLD = 5, 0.8
 #: Sketches of so many k-mers: texts of similarity 0.8 meet in none with a chance of about (1 - 0.8**3)**20 < 1e-6.
 SKETCHES, MINIMA = 20, 3
+#: Rounds of leaders among equal sketches before texts that are left meet on rare k-mers instead.
+FIRST_ROUNDS = 2
 NOTHING = U(0xFFFFFFFFFFFFFFFF)
 
 
@@ -176,6 +179,68 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def leader_rounds(state: DataFrame, seqs: DataFrame, known: DataFrame | None, threshold: float, most: int | None) -> tuple[DataFrame, DataFrame | None]:
+    """Rounds of leaders in buckets (bucket, tkey, n, order, open): pairs asked so far, and what is left open.
+
+    Open means neither a leader yet nor linked to one. In every round the
+    first open members of a bucket, twice as many each time, are asked against
+    all members that have not led. Pairs whose sizes rule them out are not aligned.
+    """
+    leaders = 1
+    place = F.row_number().over(Window.partitionBy("bucket").orderBy("order"))
+    while most is None or leaders < 1 << most:
+        first = state.filter("open")
+        if leaders == 1:
+            first = first.groupBy("bucket").agg(F.min_by(F.struct("tkey", "n"), "order").alias("l"))
+        else:
+            first = first.withColumn("place", place).filter(F.col("place") <= leaders).select("bucket", F.struct("tkey", "n").alias("l"))
+        met = state.join(first, "bucket")
+        met = materialize(met.select("*", F.least("tkey", "l.tkey").alias("a"), F.greatest("tkey", "l.tkey").alias("b"), (F.col("tkey") == F.col("l.tkey")).alias("leads")), "near-meetings")
+        fits = F.least("n", "l.n") >= threshold * F.greatest("n", "l.n")
+        asked = met.filter(~F.col("leads") & fits).select("a", "b").distinct()
+        asked = asked if known is None else asked.join(known, ["a", "b"], "left_anti")
+        found = materialize(verified(asked, seqs, threshold), "near-pairs")
+        known = found if known is None else known.unionAll(found)
+        linked = known.filter("linked").select("a", "b", F.lit(True).alias("is_linked"))
+        told = met.join(linked, ["a", "b"], "left").groupBy("bucket", "tkey", "n", "order").agg(F.max("leads").alias("led"), F.max("open").alias("open"), F.max(F.coalesce("is_linked", F.lit(False))).alias("joined"))
+        told = told.filter("not led").withColumn("open", F.col("open") & ~F.col("joined")).drop("led", "joined")
+        state = materialize(told, "near-state")
+        leaders *= 2
+        if not state.filter("open").limit(1).count():
+            return known, None
+    return known, state
+
+
+def rare_buckets(state: DataFrame, seqs: DataFrame, threshold: float) -> DataFrame:
+    """Buckets of rare k-mers for the members of buckets with open ones: the prefix filter.
+
+    Two texts of the threshold's similarity share one of each text's
+    n - ceil(t*n) + 1 rarest k-mers, whatever order rarity has, as long as it
+    is one order for all. K-mers that no other member has stand first in it.
+    """
+    left = state.filter("open").select("bucket").distinct()
+    who = state.join(left, "bucket", "left_semi").groupBy("tkey", "n").agg(F.max("open").alias("open"), F.min("order").alias("order"))
+    who = materialize(who, "near-left")
+
+    def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, seq in zip(batch.column("tkey"), batch.column("seq"), strict=True):
+                x = np.sort(np.frombuffer(seq.as_py(), U))
+                place = np.arange(len(x))
+                start = np.concatenate([[True], x[1:] != x[:-1]])
+                x = mix(x + (place - np.maximum.accumulate(np.where(start, place, 0))).astype(U) * U(0x9FB21C651E98DF25))
+                yield pa.RecordBatch.from_arrays([pa.array([key.as_py()] * len(x), pa.binary()), pa.array(x.view(np.int64))], ["tkey", "kmer"])
+
+    kmers = seqs.join(who.select("tkey"), "tkey").select("tkey", "seq").mapInArrow(labelled, "tkey binary, kmer long")
+    kmers = materialize(kmers, "near-left-kmers")
+    common = kmers.groupBy("kmer").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    met = kmers.join(common, "kmer").join(who, "tkey")
+    own = Window.partitionBy("tkey")  # bounded by the length of a text
+    met = met.withColumn("m", F.count(F.lit(1)).over(own)).withColumn("rn", F.row_number().over(own.orderBy("df", "kmer")))
+    met = met.filter(F.col("rn") <= F.col("m") - F.ceil(threshold * F.col("n") - 1e-9) + 1)
+    return materialize(met.select(F.col("kmer").alias("bucket"), "tkey", "n", "order", "open"), "near-rare")
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, class_id (least doc_id of its class), n_links (other texts it is linked to), keys of text and class, of each row.
 
@@ -187,32 +252,20 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     sigs = materialize(signatures(docs), "near-signatures")
     reps = materialize(sigs.groupBy("tkey").agg(F.min("doc_id").alias("rep"), F.first("n_kmers").alias("n_kmers"), F.first("sketches").alias("sketches")), "near-texts")
     order = F.xxhash64("tkey", F.lit(7))
-    rows = reps.filter("n_kmers > 0").select("tkey", order.alias("order"), F.posexplode("sketches").alias("band", "sketch"))
-    rows = rows.select("tkey", F.when(F.col("band") % 2 == 0, F.col("order")).otherwise(-F.col("order") - 1).alias("order"), F.xxhash64("band", "sketch").alias("bucket"))
-    shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
+    rows = reps.filter("n_kmers > 0").select("tkey", F.col("n_kmers").alias("n"), order.alias("order"), F.posexplode("sketches").alias("band", "sketch"))
+    rows = rows.select("tkey", "n", F.when(F.col("band") % 2 == 0, F.col("order")).otherwise(-F.col("order") - 1).alias("order"), F.xxhash64("band", "sketch").alias("bucket"))
+    shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("bucket")
     members = materialize(rows.join(shared, "bucket"), "near-buckets")
-    spark = df.sparkSession
     needed = members.select("tkey").distinct().join(reps.select("tkey", "rep"), "tkey").select("tkey", F.col("rep").alias("r"))
     texts = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     texts = texts.join(needed, F.col("doc_id").eqNullSafe(F.col("r"))).filter(F.unhex(F.md5("text")) == F.col("tkey")).select("tkey", "text")
     seqs = materialize(kmer_sequences(texts), "near-kmers").dropDuplicates(["tkey"])
-    release(spark)
-    state = members.withColumn("open", F.lit(True))  # open: neither a leader yet nor linked to one
-    known = None
-    while True:
-        leaders = state.filter("open").groupBy("bucket").agg(F.min_by("tkey", "order").alias("leader"))
-        met = materialize(state.join(leaders, "bucket"), "near-meetings")
-        asked = met.filter(F.col("leader") != F.col("tkey")).select(F.least("leader", "tkey").alias("a"), F.greatest("leader", "tkey").alias("b")).distinct()
-        fresh = asked if known is None else asked.join(known, ["a", "b"], "left_anti")
-        found = materialize(verified(fresh, seqs, threshold), "near-pairs")
-        known = found if known is None else known.unionAll(found)
-        linked = known.filter("linked").select("a", "b", F.lit(True).alias("is_linked"))
-        pair = met.withColumn("a", F.least("leader", "tkey")).withColumn("b", F.greatest("leader", "tkey"))
-        after = pair.filter(F.col("leader") != F.col("tkey")).join(linked, ["a", "b"], "left")
-        after = after.select("bucket", "tkey", "order", (F.col("open") & F.col("is_linked").isNull()).alias("open"))
-        state = materialize(after, "near-state")
-        if not state.filter("open").limit(1).count():
-            break
+    release(df.sparkSession)
+    known, state = leader_rounds(members.withColumn("open", F.lit(True)), seqs, None, threshold, FIRST_ROUNDS)
+    if state is not None:
+        # What still looks for partners sits among texts that share frequent k-mers only: meet anew on rare ones.
+        state = rare_buckets(state, seqs, threshold)
+        known, _ = leader_rounds(state, seqs, known, threshold, None)
     links = known.filter("linked").select("a", "b")
     comps = components(links)
     degree = links.select(F.col("a").alias("node")).unionAll(links.select(F.col("b").alias("node"))).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
