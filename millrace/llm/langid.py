@@ -156,7 +156,7 @@ def predict(df: DataFrame, prototypes: dict[str, list[float]], id_col: str = "do
     """
     docs = rows_of(df, id_col, text_col, *extra)
     names = sorted(prototypes)
-    matrix = np.array([prototypes[x] for x in names], np.float64).reshape(len(names), -1)
+    matrix = np.array([prototypes[x] for x in names], np.float64).reshape(len(names), len(prototypes[names[0]]) if names else 1)
     matrix = (matrix / np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-12)).astype(np.float32)
     dimension = matrix.shape[1] or 1
     kept = [c for c in docs.columns if c != "text"]
