@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import CHUNK_BYTES, bytes_list, cuts, materialize, release, rows_of
@@ -180,32 +180,44 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def leader_rounds(state: DataFrame, seqs: DataFrame, known: DataFrame | None, threshold: float, most: int | None) -> tuple[DataFrame, DataFrame | None]:
-    """Rounds of leaders in buckets (bucket, tkey, n, order, open): pairs asked so far, and what is left open.
+    """Rounds of leaders in buckets (bucket, tkey, n, rest, order, open): pairs asked so far, and what is left open.
 
     Open means neither a leader yet nor linked to one. In every round the
-    first open members of a bucket, twice as many each time, are asked against
-    all members that have not led. Pairs whose sizes rule them out are not aligned.
+    first members of a bucket, several times as many each time, are asked against
+    all members that have not led. ``rest`` bounds the k-mers that a member can
+    share in this bucket; pairs that the bounds rule out are not aligned.
+
+    With ``most`` rounds, leaders are open ones. Without, buckets have members
+    in order of size and leaders are whoever comes first, so all that are left
+    are no smaller than the last leader, and a member whose bound rules out
+    partners of that size is no longer open.
     """
-    leaders = 1
-    place = F.row_number().over(Window.partitionBy("bucket").orderBy("order"))
-    while most is None or leaders < 1 << most:
-        first = state.filter("open")
-        if leaders == 1:
-            first = first.groupBy("bucket").agg(F.min_by(F.struct("tkey", "n"), "order").alias("l"))
-        else:
-            first = first.withColumn("place", place).filter(F.col("place") <= leaders).select("bucket", F.struct("tkey", "n").alias("l"))
-        met = state.join(first, "bucket")
-        met = materialize(met.select("*", F.least("tkey", "l.tkey").alias("a"), F.greatest("tkey", "l.tkey").alias("b"), (F.col("tkey") == F.col("l.tkey")).alias("leads")), "near-meetings")
-        fits = F.least("n", "l.n") >= threshold * F.greatest("n", "l.n")
-        asked = met.filter(~F.col("leads") & fits).select("a", "b").distinct()
+    leaders, done = 1, 0
+    last = Window.partitionBy("bucket").orderBy("order")
+
+    def least(n1: str, n2: str) -> Column:
+        return F.ceil(threshold / (1 + threshold) * (F.col(n1) + F.col(n2)) - 1e-9)
+
+    while most is None or done < most:
+        who = state.filter("open") if most is not None else state.join(state.filter("open").select("bucket").distinct(), "bucket", "left_semi")
+        first = who.withColumn("place", F.row_number().over(last)).filter(F.col("place") <= leaders).select("bucket", F.struct("tkey", "n", "rest", "open").alias("l"))
+        leads = F.col("tkey") == F.col("l.tkey")
+        fits = (F.col("open") | F.col("l.open")) & (least("n", "l.n") <= F.least("rest", "l.rest"))
+        met = state.join(first, "bucket").filter(leads | fits)
+        met = materialize(met.select("bucket", "tkey", F.least("tkey", "l.tkey").alias("a"), F.greatest("tkey", "l.tkey").alias("b"), leads.alias("leads"), F.col("l.n").alias("size")), "near-meetings")
+        asked = met.filter("not leads").select("a", "b").distinct()
         asked = asked if known is None else asked.join(known, ["a", "b"], "left_anti")
         found = materialize(verified(asked, seqs, threshold), "near-pairs")
         known = found if known is None else known.unionAll(found)
         linked = known.filter("linked").select("a", "b", F.lit(True).alias("is_linked"))
-        told = met.join(linked, ["a", "b"], "left").groupBy("bucket", "tkey", "n", "order").agg(F.max("leads").alias("led"), F.max("open").alias("open"), F.max(F.coalesce("is_linked", F.lit(False))).alias("joined"))
-        told = told.filter("not led").withColumn("open", F.col("open") & ~F.col("joined")).drop("led", "joined")
-        state = materialize(told, "near-state")
-        leaders *= 2
+        told = met.join(linked, ["a", "b"], "left").groupBy("bucket", "tkey").agg(F.max("leads").alias("led"), F.max(F.coalesce("is_linked", F.lit(False))).alias("joined"))
+        sizes = met.filter("leads").groupBy("bucket").agg(F.max("size").alias("size"))
+        state = state.join(sizes, "bucket").join(told, ["bucket", "tkey"], "left").filter("not coalesce(led, false)")
+        open_ = F.col("open") & ~F.coalesce("joined", F.lit(False))
+        if most is None:
+            open_ &= least("n", "size") <= F.col("rest")
+        state = materialize(state.withColumn("open", open_).select("bucket", "tkey", "n", "rest", "order", "open"), "near-state")
+        leaders, done = leaders * (16 if most is None else 2), done + 1
         if not state.filter("open").limit(1).count():
             return known, None
     return known, state
@@ -238,7 +250,8 @@ def rare_buckets(state: DataFrame, seqs: DataFrame, threshold: float) -> DataFra
     own = Window.partitionBy("tkey")  # bounded by the length of a text
     met = met.withColumn("m", F.count(F.lit(1)).over(own)).withColumn("rn", F.row_number().over(own.orderBy("df", "kmer")))
     met = met.filter(F.col("rn") <= F.col("m") - F.ceil(threshold * F.col("n") - 1e-9) + 1)
-    return materialize(met.select(F.col("kmer").alias("bucket"), "tkey", "n", "order", "open"), "near-rare")
+    met = met.withColumn("rest", F.col("m") - F.col("rn") + 1)  # what two texts share, their first shared k-mer and later ones
+    return materialize(met.select(F.col("kmer").alias("bucket"), "tkey", "n", "rest", F.struct("n", "order").alias("order"), "open"), "near-rare")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -259,9 +272,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     needed = members.select("tkey").distinct().join(reps.select("tkey", "rep"), "tkey").select("tkey", F.col("rep").alias("r"))
     texts = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     texts = texts.join(needed, F.col("doc_id").eqNullSafe(F.col("r"))).filter(F.unhex(F.md5("text")) == F.col("tkey")).select("tkey", "text")
-    seqs = materialize(kmer_sequences(texts), "near-kmers").dropDuplicates(["tkey"])
+    seqs = materialize(kmer_sequences(texts).dropDuplicates(["tkey"]), "near-kmers")
     release(df.sparkSession)
-    known, state = leader_rounds(members.withColumn("open", F.lit(True)), seqs, None, threshold, FIRST_ROUNDS)
+    known, state = leader_rounds(members.withColumn("rest", F.col("n").cast("long")).withColumn("open", F.lit(True)), seqs, None, threshold, FIRST_ROUNDS)
     if state is not None:
         # What still looks for partners sits among texts that share frequent k-mers only: meet anew on rare ones.
         state = rare_buckets(state, seqs, threshold)
