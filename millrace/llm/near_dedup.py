@@ -10,7 +10,7 @@ join texts to classes.
 Within a bucket of equal sketches a leader is aligned with the other members;
 those that it does not link to bring forth the next leaders. Half of the
 sketches take leaders from the other end, so that members linked to different
-leaders meet again. Members still alone after two rounds mostly share a common
+leaders meet again. Members still alone after the first round mostly share a common
 passage; they meet anew by their rarest k-mers until every one is a leader or
 linked to one. Exact copies are one text throughout.
 """
@@ -31,7 +31,7 @@ SHINGLE, THRESHOLD = 5, 0.8
 #: Sketches of so many k-mers: texts of similarity 0.8 meet in none with a chance of about (1 - 0.8**3)**20 < 1e-6.
 SKETCHES, MINIMA = 20, 3
 #: Rounds of leaders among equal sketches before texts that are left meet on rare k-mers instead.
-FIRST_ROUNDS = 2
+FIRST_ROUNDS = 1
 NOTHING = U(0xFFFFFFFFFFFFFFFF)
 
 
@@ -217,7 +217,7 @@ def leader_rounds(state: DataFrame, seqs: DataFrame, known: DataFrame | None, th
         if most is None:
             open_ &= least("n", "size") <= F.col("rest")
         state = materialize(state.withColumn("open", open_).select("bucket", "tkey", "n", "rest", "order", "open"), "near-state")
-        leaders, done = leaders * (16 if most is None else 2), done + 1
+        leaders, done = leaders * (4 if most is None else 2), done + 1
         if not state.filter("open").limit(1).count():
             return known, None
     return known, state
