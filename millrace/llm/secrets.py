@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import map_texts, rows_of
+from millrace.llm.common import map_texts, materialize, rows_of
 
 KINDS = ("assign", "access", "hex", "crf")
 ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I)
@@ -220,11 +220,18 @@ def fit(sequences: list[tuple[np.ndarray, np.ndarray]]) -> Field:
 
 
 def sample_texts(df: DataFrame, text_col: str, with_match: int = SAMPLE_WITH, without: int = SAMPLE_WITHOUT) -> list[bytes]:
-    """At most ``with_match`` + ``without`` texts to learn from, of the smallest hashes."""
+    """At most ``with_match`` + ``without`` distinct texts to learn from, of the smallest hashes.
+
+    Hashes choose first, so that only chosen texts come to the driver, not a
+    sample of texts from every partition.
+    """
     rows = df.select(F.col(f"`{text_col}`").alias("text")).filter("text is not null").withColumn("h", F.xxhash64("text", F.lit(9)))
-    hit = F.col("text").rlike(ANY_PATTERN)
-    got = [r.text.encode() for want, n in ((hit, with_match), (~hit, without)) for r in rows.filter(want).orderBy("h", "text").limit(n).select("text").collect()]
-    return list(dict.fromkeys(got))
+    seen = materialize(rows.groupBy("h").agg(F.max(F.col("text").rlike(ANY_PATTERN)).alias("hit")), "secret-hashes")
+    chosen = [r.h for want, n in (("hit", with_match), ("not hit", without)) for r in seen.filter(want).orderBy("h").limit(n).select("h").collect()]
+    if not chosen:
+        return []
+    got = rows.filter(F.col("h").isin(chosen)).groupBy("h").agg(F.min("text").alias("text"))
+    return [r.text.encode() for r in got.orderBy("h").collect()]
 
 
 def train(df: DataFrame, text_col: str = "text") -> Field:
