@@ -153,12 +153,8 @@ def test_toxicity(spark, docs, nothing):
     assert toxicity.toxicity(docs, labels.limit(0)).count() == docs.count() and toxicity.toxicity(nothing, labels).count() == 0
 
 
-def test_mixing(docs, nothing):
-    got = mixing.mix_sources(docs).collect()
-    sizes = {}
-    for r in docs.collect():
-        sizes[r["source"]] = sizes.get(r["source"], 0) + len(WORD.findall(r["text"] or ""))
-    names = sorted((s for s in sizes if s is not None)) + [None]
+def targets(sizes):
+    names = sorted((s for s in sizes if s is not None)) + [None] * (None in sizes)
     weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
     target, free, left = {}, set(names), 1.5 * sum(sizes.values())
     while free:
@@ -171,35 +167,47 @@ def test_mixing(docs, nothing):
             target[s] = 2 * sizes[s]
             left -= target[s]
         free -= over
+    return target
+
+
+def test_mixing(docs, nothing):
+    got = mixing.mix_sources(docs).collect()
+    sizes = {}
+    for r in docs.collect():
+        sizes[r["source"]] = sizes.get(r["source"], 0) + len(WORD.findall(r["text"] or ""))
+    target = targets(sizes)
     assert all(abs(r["target"] - target[r["source"]]) < 1e-6 and r["source_size"] == sizes[r["source"]] and 0 <= r["taken"] <= 2 * r["size"] for r in got)
-    for s in names:
+    for s in sizes:
         assert abs(sum(r["taken"] for r in got if r["source"] == s) - target[s]) <= 1
     assert sorted(map(str, mixing.mix_sources(docs).collect())) == sorted(map(str, got))
     mixed = mixing.mixed_documents(docs)
     assert mixed.columns == docs.columns
-    assert abs(sum(len(WORD.findall(r["text"] or "")) for r in mixed.collect()) - sum(target.values())) <= len(names) + 2
+    assert abs(sum(len(WORD.findall(r["text"] or "")) for r in mixed.collect()) - sum(target.values())) <= len(sizes) + 2
     assert mixing.mix_sources(nothing).count() == 0 and mixing.mixed_documents(nothing).count() == 0
 
 
-def test_near_dedup(docs, nothing):
-    got = {r["doc_id"]: r["class_id"] for r in near_dedup.near_duplicates(docs.filter("doc_id is not null")).collect()}
-    t = texts()
+def near_classes(by_id):
+    """The least id of each id's class, by all pairs."""
 
     def shingles(x):
         w = WORD.findall(x or "")
         return [tuple(w[i : i + 5]) for i in range(len(w) - 4)]
 
-    parent = list(range(len(t)))
+    parent = {i: i for i in by_id}
     find = lambda x: x if parent[x] == x else find(parent[x])
-    for a in range(len(t)):
-        for b in range(a):
-            x, y = shingles(t[a]), shingles(t[b])
-            if (t[a] or "") == (t[b] or "") or near_dedup.similarity(x, y) >= 0.8:
-                parent[find(a)] = find(b)
-    classes = {}
-    for i in range(len(t)):
-        classes.setdefault(find(i), []).append(i)
-    assert got == {i: min(c) for c in classes.values() for i in c} and got[1] == got[2] == 0
+    grams = {i: shingles(t) for i, t in by_id.items()}
+    for a in by_id:
+        for b in by_id:
+            if b < a and ((by_id[a] or "") == (by_id[b] or "") or near_dedup.similarity(grams[a], grams[b]) >= 0.8):
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+    return {i: find(i) for i in by_id}
+
+
+def test_near_dedup(docs, nothing):
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.near_duplicates(docs.filter("doc_id is not null")).collect()}
+    classes = near_classes(dict(enumerate(texts())))
+    assert got == classes and got[1] == got[2] == 0
     kept = near_dedup.deduplicate(docs)
     assert kept.columns == docs.columns and kept.filter("doc_id in (0, 1, 2)").count() == 1
     assert near_dedup.near_duplicates(nothing).count() == 0
@@ -257,3 +265,63 @@ def test_decision_list_learns_a_conjunction():
     rules = quality.learn(rows)
     bad = lambda s: any(all(c.holds(s) for c in rule) for rule in rules.rules)
     assert sum(bad(s) == (not g) for s, g, _ in rows) > 590
+
+
+def test_pipeline(spark, tmp_path):
+    """Every stage against brute force on its own input, and run() against the stages."""
+    import corpus_pipeline
+    import public_tokenizers
+    import tiktoken
+
+    r = random.Random(8)
+    vocabulary = ["".join(r.choice("etaoinshr") for _ in range(r.randint(3, 7))) for _ in range(200)]
+    make = lambda n: [r.choice(vocabulary) for _ in range(n)]
+    key = "0a1b2c3d4e" * 4
+    rows = {i: make(40) for i in range(300)}
+    for i in range(0, 300, 4):
+        rows[i][r.randrange(40)] = "grobnik"
+    rows[300] = [*make(20), "gr0bn1k", *make(20)]
+    rows |= {301: make(150), 302: make(150), 303: [*make(10), f"token={key}", *make(10)]}
+    rows[304], rows[305], rows[306] = [*rows[301][:70], "changed", *rows[301][71:]], rows[302], rows[1]
+    docs = [(i, " ".join(w), "en", ("big", "big", "small")[i % 3], 0, "extra") for i, w in rows.items()] + [(400, None, None, None, None, None), (401, "", "en", "small", 0, None)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long, taken string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(300)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    sf_dir = str(tmp_path)
+
+    step, kept = spark.read.parquet(f"{sf_dir}/documents.parquet"), {}
+    columns = step.columns
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, step, sf_dir)
+        out.write.parquet(f"{sf_dir}/{name}")
+        step = spark.read.parquet(f"{sf_dir}/{name}")
+        kept[name] = step.collect()
+        assert name == "tokens" or step.columns == columns
+    ids = lambda name: [x["doc_id"] for x in kept[name]]
+    toxic = {i for i, w in rows.items() if {"grobnik", "gr0bn1k"} & set(w)}
+    assert sorted(ids("toxicity")) == sorted({x[0] for x in docs} - toxic)
+    assert {tuple(x) for x in kept["toxicity"]} <= set(docs)
+
+    classes = near_classes({x["doc_id"]: x["text"] for x in kept["toxicity"]})
+    assert sorted(ids("near_dedup")) == sorted(set(classes.values())) and classes[304] == 301 and classes[306] == 1
+    assert {tuple(x) for x in kept["near_dedup"]} <= set(docs)
+
+    before = {x["doc_id"]: x["text"] for x in kept["near_dedup"]}
+    assert sorted(ids("secrets")) == sorted(before)
+    for x in kept["secrets"]:
+        assert x["text"] == (before[x["doc_id"]] if x["doc_id"] != 303 else before[303].replace(f"token={key}", "[secret]"))
+
+    sizes, taken = {}, {}
+    for name, count in (("secrets", sizes), ("mixing", taken)):
+        for x in kept[name]:
+            count[x["source"]] = count.get(x["source"], 0) + len(WORD.findall(x["text"] or ""))
+    assert all(abs(taken.get(s, 0) - t) <= 1 for s, t in targets(sizes).items())
+    assert max(ids("mixing").count(i) for i in ids("mixing")) <= 2
+
+    c = bpe.Codec.load(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    whole = tiktoken.Encoding("w", pat_str=public_tokenizers.PATTERN, mergeable_ranks={b: i for i, b in enumerate(c.bytes_of)}, special_tokens={})
+    want = []
+    for x in kept["mixing"]:
+        e = whole.encode_ordinary(x["text"])
+        want.append((x["doc_id"], len(e), hashlib.sha256(" ".join(map(str, e)).encode()).hexdigest(), hashlib.sha256(x["text"].encode()).hexdigest()))
+    assert sorted(tuple(x)[:4] for x in kept["tokens"]) == sorted(want)
+    assert sorted(map(tuple, corpus_pipeline.run(spark, sf_dir).collect())) == sorted(map(tuple, kept["tokens"]))
