@@ -68,4 +68,23 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_suffix_dedup, op2_byte_bpe, op3_language_id, op4_media_columns, op5_toxicity, op6_source_mix, op7_order_minhash, op8_substring_dedup, op9_secret_scan, op10_quality_rules)
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op8_substring_dedup": r"""
+WITH texts AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), windows AS (
+    SELECT doc_id, i, md5(array_to_string(ws[i:i + 19], ' ')) AS k
+    FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM texts)
+), later AS (
+    SELECT doc_id, i FROM windows QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, i) > 1
+), covered AS (
+    SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM later
+), words AS (
+    SELECT doc_id, unnest(range(1, len(ws) + 1)) AS i, unnest(ws) AS word FROM texts
+), kept AS (
+    SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY i) AS line FROM words ANTI JOIN covered USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n_kept, 0))::BIGINT AS n_removed, sha256(coalesce(line, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (doc_id)
+""",
+}
