@@ -39,11 +39,14 @@ LEAST_TEXTS = 5
 LEAST_STRENGTH = 4.0
 ROUNDS, RIDGE = 600, 1e-4
 
+#: Single characters with separators between them.
+_SPACED = r"(?<!\w)(?:[a-z0-9@$!|+][ ._\-*]){2,}[a-z0-9@$!|+](?![@$!|*+]*\w)"
 NOISY = re.compile(
-    r"(?<!\w)(?:[a-z0-9@$!][ ._\-*]){2,}[a-z0-9@$!](?!\w)"  # spaced
-    r"|(?<!\w)[0134578@$]{1,2}[a-z][\w@$!|*+]*"  # a sign first
-    r"|(?<!\w)\w*[a-z][0134579@$!|*+]{1,2}[a-z][\w@$!|*+]*"  # a sign inside
-    r"|\w*([a-z])\1\1\w*"  # repetition
+    rf"{_SPACED}"
+    rf"|(?<![\w@$!|*+])(?![@$!|*+]++{_SPACED})(?:"  # whole tokens, of which:
+    r"(?=[^\W01345789]*+[01345789@$!|*+])(?=[\d_@$!|*+]*+[^\W\d_])"  # letters and signs, wherever they stand
+    r"|(?=\w*?([a-z])\1\1)"  # repetition
+    r")[\w@$!|*+]++"
 )
 #: ASCII punctuation parts words; letters, digits and non-ASCII characters do not.
 PARTS = {c: " " for c in range(128) if not chr(c).isalnum()} | {c: chr(c).lower() for c in range(65, 91)}
@@ -56,21 +59,24 @@ _is_sign = np.zeros(256, bool)
 _is_sign[[ord(c) for c in "0134578@$!|*+9"]] = True
 _is_word = _is_letter.copy()
 _is_word[48:58] = _is_word[128:] = True
+_is_neutral = np.zeros(256, bool)
+_is_neutral[[ord(c) for c in "26_"]] = True
 _code = np.zeros(256, np.int32)
 _code[97:123] = np.arange(1, 27)
 _code[128:] = 27
 
 
 def noisy_texts(texts: list[bytes]) -> np.ndarray:
-    """Whether a text may hold a sign in or before a word, a letter three times running, or spaced letters."""
+    """Whether a text may hold a word with signs anywhere, a letter three times running, or spaced letters."""
     b = _lower[np.frombuffer(b"\n\n\n".join([b"", *texts, b""]), np.uint8)]
     letter, word, sign = _is_letter[b], _is_word[b], _is_sign[b]
     mark = np.zeros(len(b), bool)
-    mark[1:-1] |= sign[1:-1] & letter[2:] & (letter[:-2] | ~word[:-2])
-    mark[1:-2] |= sign[1:-2] & sign[2:-1] & letter[3:] & (letter[:-3] | ~word[:-3])
+    at = np.flatnonzero(~_is_neutral[b])  # letters and signs of a token meet where nothing else of it stands between
+    alpha, leet = (letter | (b > 127))[at], sign[at]
+    mark[at[1:]] = (alpha[1:] & leet[:-1]) | (leet[1:] & alpha[:-1])
     mark[2:] |= letter[2:] & (b[2:] == b[1:-1]) & (b[1:-1] == b[:-2])
     single = np.zeros(len(b), bool)
-    single[1:-1] = (letter | sign)[1:-1] & ~word[:-2] & ~word[2:]
+    single[1:-1] = ((word & (b < 128)) | sign)[1:-1] & ~word[:-2] & ~word[2:]
     mark[4:] |= single[4:] & single[2:-2] & single[:-4]
     owner_start = np.cumsum([3, *(len(t) + 3 for t in texts)])
     hits = np.concatenate([[0], np.cumsum(mark)])
@@ -110,10 +116,36 @@ class Decoder:
     def __post_init__(self) -> None:
         self.table = self.costs.tolist()
         self.known: dict[str, str] = {}
+        self.ends: dict[int, list[tuple[list[float], bytes]]] = {}
+
+    def tail(self, after: list[float], drop: float) -> tuple[list[float], bytes]:
+        """One star more in front of ``after``, where leaving it out costs ``drop``."""
+        rest = np.asarray(after)
+        cost = self.costs.astype(float) + COST_STAR + np.tile(rest.reshape(K * K, K), (K, 1))  # context a, b, c and letter d lead to b, c, d
+        cost[:, 0], cost[:, K - 1] = drop + rest, np.inf
+        take = cost.argmin(axis=1)
+        return cost[np.arange(K**3), take].tolist(), take.astype(np.uint8).tobytes()
+
+    def ending(self, stars: int) -> list[tuple[list[float], bytes]]:
+        """For 0 to all of the stars at the end of a token: the cost from each context to the end, the letter to take (0: none).
+
+        Every context reads a star alike, so a run at the end is solved once for all tokens, not by 27 states more for each star.
+        """
+        if (out := self.ends.get(stars)) is None:
+            out = [(self.costs[:, 0].tolist(), b"")]
+            for place in range(stars, 0, -1):
+                out.append(self.tail(out[-1][0], COST_REPEAT if stars > 2 and place > 1 else COST_DROP))
+            if stars <= 8:
+                self.ends[stars] = out
+        return out
+
+    @staticmethod
+    def spaced(seen: str) -> bool:
+        return len(seen) > 4 and all(c in SEPARATORS for c in seen[1::2])
 
     def readings(self, seen: str) -> list[list[tuple[str, float]]]:
         """The lattice: for each character, (letter or nothing, channel cost)."""
-        spaced = len(seen) > 4 and all(c in SEPARATORS for c in seen[1::2])
+        spaced = self.spaced(seen)
         out, run = [], 0
         for i, c in enumerate(seen):
             run = run + 1 if i and c == seen[i - 1] else 1
@@ -136,7 +168,9 @@ class Decoder:
         if (got := self.known.get(seen)) is not None:
             return got
         states: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}
-        for arcs in self.readings(seen):
+        arcs_of = self.readings(seen)
+        stars = 0 if self.spaced(seen) else len(seen) - len(seen.rstrip("*"))
+        for arcs in arcs_of[: len(seen) - stars]:
             after: dict[int, tuple[float, tuple | None]] = {}
             for ctx, (cost, path) in states.items():
                 row = self.table[ctx]
@@ -149,12 +183,18 @@ class Decoder:
                     if to not in after or new < after[to][0]:
                         after[to] = (new, (letter, path) if letter else path)
             states = after
-        path = min(((cost + self.table[ctx][0], path) for ctx, (cost, path) in states.items()), key=lambda x: x[0])[1]
+        ends = self.ending(stars)
+        ctx, path = min(((cost + ends[-1][0][ctx], ctx, path) for ctx, (cost, path) in states.items()), key=lambda x: x[0])[1:]
         letters = []
         while path:
             letters.append(path[0])
             path = path[1]
-        got = "".join(reversed(letters))
+        letters.reverse()
+        for _, take in ends[:0:-1]:
+            if k := take[ctx]:
+                letters.append(ALPHABET[k])
+                ctx = (ctx * K + k) % K**3
+        got = "".join(letters)
         if len(self.known) > 100_000:
             self.known.clear()
         if len(seen) <= 64:
