@@ -26,8 +26,10 @@ K = len(ALPHABET)
 ORDER = 4
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t"}
 SEPARATORS = " ._-*"
+#: Signs that may also be punctuation between or after words.
+PUNCTUATION = "@$!|+*"
 #: Costs (negative log likelihoods) of the channel.
-COST_LEET, COST_GAP, COST_REPEAT, COST_STAR, COST_DROP = 0.5, 0.2, 0.2, 2.0, 6.0
+COST_LEET, COST_GAP, COST_REPEAT, COST_STAR, COST_DROP, COST_PART = 0.5, 0.2, 0.2, 2.0, 6.0, 2.0
 
 #: The classifier's bounded sample of labelled rows, for each label; smallest hashes first.
 SAMPLE_PER_LABEL = 10_000
@@ -122,12 +124,14 @@ class Decoder:
         """One star more in front of ``after``, where leaving it out costs ``drop``."""
         rest = np.asarray(after)
         cost = self.costs.astype(float) + COST_STAR + np.tile(rest.reshape(K * K, K), (K, 1))  # context a, b, c and letter d lead to b, c, d
+        part = COST_PART + self.costs[:, 0] + rest[0]
         cost[:, 0], cost[:, K - 1] = drop + rest, np.inf
+        cost = np.column_stack([cost, part])
         take = cost.argmin(axis=1)
         return cost[np.arange(K**3), take].tolist(), take.astype(np.uint8).tobytes()
 
     def ending(self, stars: int) -> list[tuple[list[float], bytes]]:
-        """For 0 to all of the stars at the end of a token: the cost from each context to the end, the letter to take (0: none).
+        """For 0 to all of the stars at the end of a token: the cost from each context to the end, the letter to take (0: none, K: a boundary).
 
         Every context reads a star alike, so a run at the end is solved once for all tokens, not by 27 states more for each star.
         """
@@ -144,18 +148,21 @@ class Decoder:
         return len(seen) > 4 and all(c in SEPARATORS for c in seen[1::2])
 
     def readings(self, seen: str) -> list[list[tuple[str, float]]]:
-        """The lattice: for each character, (letter or nothing, channel cost)."""
+        """The lattice: for each character, (letter, nothing or a space for a word boundary, channel cost)."""
         spaced = self.spaced(seen)
         out, run = [], 0
         for i, c in enumerate(seen):
             run = run + 1 if i and c == seen[i - 1] else 1
             more = i + 1 < len(seen) and seen[i + 1] == c
             if c in SEPARATORS:
-                arcs = [("", COST_GAP)]
+                # In a spaced stretch the characters alone tell where words end.
+                arcs = [("", COST_GAP), (" ", COST_GAP)]
                 if c == "*" and not spaced:
-                    arcs = [("", COST_DROP)] + [(a, COST_STAR) for a in ALPHABET[1:27]]
+                    arcs = [("", COST_DROP), (" ", COST_PART)] + [(a, COST_STAR) for a in ALPHABET[1:27]]
             elif c in LEET:
                 arcs = [(a, COST_LEET) for a in LEET[c]] + [("", COST_DROP)]
+                if c in PUNCTUATION:
+                    arcs.append((" ", COST_PART))
             else:
                 arcs = [(c, 0.0)]
             if run > 2 or run == 2 and (more or run + 1 < 3):
@@ -163,19 +170,21 @@ class Decoder:
             out.append(arcs)
         return out
 
-    def decode(self, seen: str) -> str:
-        """The likeliest reading; states are the last three letters."""
-        if (got := self.known.get(seen)) is not None:
+    def decode(self, seen: str, parts: bool = True) -> str:
+        """The likeliest reading, words parted by spaces (unless without ``parts``); states are the last three letters of a word."""
+        if parts and (got := self.known.get(seen)) is not None:
             return got
         states: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}
-        arcs_of = self.readings(seen)
+        arcs_of = self.readings(seen) if parts else [[x for x in arcs if x[0] != " "] for arcs in self.readings(seen)]
         stars = 0 if self.spaced(seen) else len(seen) - len(seen.rstrip("*"))
         for arcs in arcs_of[: len(seen) - stars]:
             after: dict[int, tuple[float, tuple | None]] = {}
             for ctx, (cost, path) in states.items():
                 row = self.table[ctx]
                 for letter, channel in arcs:
-                    if letter:
+                    if letter == " ":
+                        to, new = 0, cost + channel + row[0]
+                    elif letter:
                         k = ord(letter) - 96 if "a" <= letter <= "z" else 27
                         to, new = (ctx * K + k) % K**3, cost + channel + row[k]
                     else:
@@ -191,13 +200,16 @@ class Decoder:
             path = path[1]
         letters.reverse()
         for _, take in ends[:0:-1]:
-            if k := take[ctx]:
+            if (k := take[ctx]) == K:
+                letters.append(" ")
+                ctx = 0
+            elif k:
                 letters.append(ALPHABET[k])
                 ctx = (ctx * K + k) % K**3
-        got = "".join(letters)
+        got = " ".join("".join(letters).split())
         if len(self.known) > 100_000:
             self.known.clear()
-        if len(seen) <= 64:
+        if parts and len(seen) <= 64:
             self.known[seen] = got
         return got
 
@@ -210,7 +222,9 @@ class Decoder:
         found = set(text.translate(PARTS).split())
         if noisy:
             for m in NOISY.finditer(text.lower()):
-                found.add(self.decode(m[0]))
+                found.update(self.decode(m[0]).split())
+                if self.spaced(m[0]):
+                    found.add(self.decode(m[0], parts=False))  # a single word that the character model would part
         return found
 
 

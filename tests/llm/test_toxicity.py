@@ -39,9 +39,17 @@ def test_stars_at_the_end_by_brute_force():
             after = {}
             for ctx, (cost, path) in states.items():
                 for letter, channel in arcs:
-                    k = (ord(letter) - 96) if letter else 0
-                    to, new = ((ctx * toxicity.K + k) % toxicity.K**3, cost + channel + d.table[ctx][k]) if letter else (ctx, cost + channel)
+                    k = (ord(letter) - 96) if letter.strip() else 0
+                    to, new = (0 if letter == " " else (ctx * toxicity.K + k) % toxicity.K**3, cost + channel + d.table[ctx][k]) if letter else (ctx, cost + channel)
                     if to not in after or new < after[to][0]:
                         after[to] = (new, path + letter)
             states = after
-        assert d.decode(seen) == min((cost + d.table[ctx][0], path) for ctx, (cost, path) in states.items())[1]
+        assert d.decode(seen) == min((cost + d.table[ctx][0], path) for ctx, (cost, path) in states.items())[1].strip()
+
+
+def test_spaced_words_beside_each_other():
+    d = decoder()
+    cases = {"you are a l o s e r": "loser", "s t u p i d i d i o t": "stupid idiot", "i l-0-s-3-r": "loser", "w.o.r.t.h.l.e.s.s t r a s h": "worthless trash", "what!idiot": "idiot", "idiot!!": "idiot", "**loser**": "loser", "st*pid": "stupid"}
+    for text, words in cases.items():
+        assert toxicity.noisy_texts([text.encode()])[0] and set(words.split()) <= d.words(text, True), (text, d.words(text, True))
+    assert d.restore("you are a l o s e r") == "you are a loser"
