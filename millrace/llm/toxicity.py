@@ -252,6 +252,12 @@ def char_model(df: DataFrame, text_col: str = "text") -> np.ndarray:
     return char_costs(counts)
 
 
+def label_shares(labels: DataFrame) -> dict[int, float]:
+    """Labelled rows for each row that the sample takes, by label: 1 below the cap."""
+    keyed = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    return {r["toxic"]: max(1.0, r["n"] / SAMPLE_PER_LABEL) for r in keyed.filter("toxic in (0, 1)").groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
 def sampled_words(df: DataFrame, labels: DataFrame, costs: np.ndarray, id_col: str, text_col: str) -> list[tuple[int, list[str]]]:
     """(label, words that enough sampled texts have) of the bounded sample of labelled rows."""
     keyed = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).withColumn("h", F.xxhash64("doc_id", F.lit(5)))
@@ -281,8 +287,12 @@ def sampled_words(df: DataFrame, labels: DataFrame, costs: np.ndarray, id_col: s
     return [(r["toxic"], r["words"]) for r in kept.collect()]
 
 
-def fit(rows: list[tuple[int, list[str]]]) -> tuple[dict[str, float], float]:
-    """Ridge logistic regression on word presence by accelerated gradient steps."""
+def fit(rows: list[tuple[int, list[str]]], shares: dict[int, float] | None = None) -> tuple[dict[str, float], float]:
+    """Ridge logistic regression on word presence by accelerated gradient steps.
+
+    A row counts as the ``shares`` rows of its label that it stands for, so the
+    prior is that of all labelled rows whatever the sample takes.
+    """
     vocabulary = {w: i for i, w in enumerate(sorted({w for _, ws in rows for w in ws}))}
     y = np.array([t for t, _ in rows], float)
     if not len(y) or y.min() == y.max():
@@ -293,10 +303,12 @@ def fit(rows: list[tuple[int, list[str]]]) -> tuple[dict[str, float], float]:
     x[:, -1] = 1
     w, v, ridge = np.zeros(x.shape[1]), np.zeros(x.shape[1]), np.full(x.shape[1], RIDGE)
     ridge[-1] = 0
-    step = 4 / np.linalg.norm(x.T @ x / len(y), 2)
+    share = np.array([(shares or {}).get(t, 1.0) for t, _ in rows])
+    share /= share.sum()
+    step = 4 / np.linalg.norm(x.T @ (x * share[:, None]), 2)
     for k in range(ROUNDS):
         p = 1 / (1 + np.exp(-np.clip(x @ v, -30, 30)))
-        new = v - step * (x.T @ (p - y) / len(y) + ridge * v)
+        new = v - step * (x.T @ ((p - y) * share) + ridge * v)
         v, w = new + k / (k + 3) * (new - w), new
     return {word: float(w[i]) for word, i in vocabulary.items()}, float(w[-1])
 
@@ -304,7 +316,8 @@ def fit(rows: list[tuple[int, list[str]]]) -> tuple[dict[str, float], float]:
 def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Character costs from all texts, word weights from labelled rows (doc_id, toxic), null labels left out."""
     costs = char_model(df, text_col)
-    weights, bias = fit(sampled_words(df, labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter("doc_id is not null and toxic is not null"), costs, id_col, text_col))
+    labels = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter("doc_id is not null and toxic is not null")
+    weights, bias = fit(sampled_words(df, labels, costs, id_col, text_col), label_shares(labels))
     return Model(costs, weights, bias)
 
 

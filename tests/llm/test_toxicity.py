@@ -53,3 +53,15 @@ def test_spaced_words_beside_each_other():
     for text, words in cases.items():
         assert toxicity.noisy_texts([text.encode()])[0] and set(words.split()) <= d.words(text, True), (text, d.words(text, True))
     assert d.restore("you are a l o s e r") == "you are a loser"
+
+
+def test_prior_is_that_of_all_labels_above_the_cap(spark, monkeypatch):
+    rows = [(i, i % 11 == 0) for i in range(2200)]
+    weak = lambda i, toxic: i // 11 % 2 == 0 if toxic else i % 10 == 0
+    d = spark.createDataFrame([(i, "house river grobnik" if weak(i, t) else "house river garden") for i, t in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(t)) for i, t in rows], "doc_id long, toxic int")
+    score = lambda: {r["text"]: r["toxic_score"] for r in toxicity.score(d, toxicity.learn_from(d, labels)).distinct().select("text", "toxic_score").collect()}["house river grobnik"]
+    whole = score()
+    monkeypatch.setattr(toxicity, "SAMPLE_PER_LABEL", 150)
+    capped = score()
+    assert 0.25 < whole < 0.42 and abs(capped - whole) < 0.12, (whole, capped)
