@@ -105,27 +105,32 @@ class DecisionList:
         return "\n".join("if " + " and ".join(f"{c.feature} {'>=' if c.above else '<='} {c.threshold:.6g}" for c in r) + ": bad" for r in self.rules) + "\nelse good"
 
 
-def counts(rows: list[tuple[dict, int]]) -> tuple[int, int]:
+#: Labelled rows that a row of the sample stands for, by label (0 bad, 1 good).
+EVEN = {0: 1.0, 1: 1.0}
+
+
+def counts(rows: list[tuple[dict, int]], shares: dict[int, float] = EVEN) -> tuple[float, float]:
+    """(bad, good) rows of the whole table that ``rows`` stand for."""
     bad = sum(1 for _, good in rows if not good)
-    return bad, len(rows) - bad
+    return bad * shares[0], (len(rows) - bad) * shares[1]
 
 
-def best_condition(rows: list[tuple[dict, int]]) -> tuple[float, Condition | None]:
+def best_condition(rows: list[tuple[dict, int]], shares: dict[int, float] = EVEN) -> tuple[float, Condition | None]:
     """The condition of the highest information gain on bad rows (FOIL)."""
-    bad, good = counts(rows)
+    bad, good = counts(rows, shares)
     base, best = math.log2(bad / (bad + good)), (1e-9, None)
     for name in FEATURES:
         pairs = sorted((r[name], g) for r, g in rows)
         step = max(1, len(pairs) // CUTS)
-        b = g = 0
+        b = g = 0.0
         for i, (value, is_good) in enumerate(pairs):
-            b, g = b + (not is_good), g + bool(is_good)
+            b, g = (b, g + shares[1]) if is_good else (b + shares[0], g)
             last = i + 1 == len(pairs)
             if last or (i + 1) % step and pairs[i + 1][1] == is_good or pairs[i + 1][0] == value:
                 continue
             middle = (value + pairs[i + 1][0]) / 2
-            for above, p, n in ((False, b, g), (True, bad - b, good - g)):
-                if p and (gain := p * (math.log2(p / (p + n)) - base)) > best[0]:
+            for above, p, n in ((False, b, g), (True, bad - b, max(0.0, good - g))):
+                if p > 1e-6 and (gain := p * (math.log2(p / (p + n)) - base)) > best[0]:
                     best = (gain, Condition(name, above, middle))
     return best
 
@@ -134,26 +139,29 @@ def covered(rule: list[Condition], rows: list[tuple[dict, int]]) -> list[tuple[d
     return [r for r in rows if all(c.holds(r[0]) for c in rule)]
 
 
-def learn(rows: list[tuple[dict, int, int]]) -> DecisionList:
-    """Sequential covering on (statistics, good, fold): fold 0 of 3 prunes, the others grow."""
+def learn(rows: list[tuple[dict, int, int]], shares: dict[int, float] = EVEN) -> DecisionList:
+    """Sequential covering on (statistics, good, fold): fold 0 of 3 prunes, the others grow.
+
+    Gain and precision are those of the whole table, by ``shares``; the least cover is one of rows seen.
+    """
     grow, prune = [(s, g) for s, g, f in rows if f], [(s, g) for s, g, f in rows if not f]
     out = DecisionList()
     while len(out.rules) < MAX_RULES and counts(grow)[0] and counts(prune)[0]:
         rule, left = [], grow
         while len(rule) < MAX_CONDITIONS and all(counts(left)):
-            condition = best_condition(left)[1]
+            condition = best_condition(left, shares)[1]
             if condition is None:
                 break
             rule.append(condition)
             left = covered([condition], left)
 
         def worth(k: int, rule: list[Condition] = rule) -> tuple[float, int]:
-            bad, good = counts(covered(rule[:k], prune))
-            return ((bad - good) / max(1, bad + good), -k)
+            bad, good = counts(covered(rule[:k], prune), shares)
+            return ((bad - good) / (bad + good or 1), -k)
 
         rule = rule[: max(range(1, len(rule) + 1), key=worth)] if rule else []
-        bad, good = counts(covered(rule, prune)) if rule else (0, 0)
-        if bad < LEAST_COVER or bad < LEAST_PRECISION * (bad + good):
+        bad, good = counts(covered(rule, prune), shares) if rule else (0, 0)
+        if bad < LEAST_COVER * shares[0] or bad < LEAST_PRECISION * (bad + good):
             break
         out.rules.append(rule)
         grow, prune = ([r for r in part if not all(c.holds(r[0]) for c in rule)] for part in (grow, prune))
@@ -164,13 +172,15 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Learn from labels (doc_id, quality) of texts that pass the base rules; null labels are left out."""
     keyed = labels.select("doc_id", F.col("quality").cast("int").alias("good")).filter("doc_id is not null and good is not null")
     keyed = keyed.groupBy("doc_id").agg(F.max("good").alias("good")).withColumn("h", F.xxhash64("doc_id", F.lit(3)))
+    sizes = {r["good"]: r["n"] for r in keyed.groupBy("good").agg(F.count(F.lit(1)).alias("n")).collect()}
+    shares = {y: max(1.0, sizes.get(y, 0) / SAMPLE_PER_LABEL) for y in EVEN}
     picks = [keyed.filter(F.col("good") == y).orderBy("h").limit(SAMPLE_PER_LABEL) for y in (0, 1)]
     sample = F.broadcast(picks[0].unionAll(picks[1]))  # 2 * SAMPLE_PER_LABEL rows of three numbers at most
     labelled = statistics(rows_of(df, id_col, text_col).join(sample, "doc_id"))
     # base_failed is tested here: a filter would be pushed below the projections and copy their expressions.
     rows = labelled.select("h", "good", "base_failed", F.pmod("h", F.lit(3)).alias("fold"), *(f"f_{x}" for x in FEATURES)).collect()
     rows = sorted(r for r in rows if not r["base_failed"])
-    return learn([({x: r[f"f_{x}"] for x in FEATURES}, r["good"], r["fold"]) for r in rows])
+    return learn([({x: r[f"f_{x}"] for x in FEATURES}, r["good"], r["fold"]) for r in rows], shares)
 
 
 def quality(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: DecisionList | None = None) -> DataFrame:
