@@ -51,7 +51,7 @@ NOISY = re.compile(
     r")[\w@$!|*+]++"
 )
 #: ASCII punctuation parts words; letters, digits and non-ASCII characters do not.
-PARTS = {c: " " for c in range(128) if not chr(c).isalnum()} | {c: chr(c).lower() for c in range(65, 91)}
+PARTS = {c: " " for c in range(128) if not chr(c).isalnum()}
 
 _lower = np.arange(256, dtype=np.uint8)
 _lower[65:91] += 32
@@ -219,7 +219,7 @@ class Decoder:
 
     def words(self, text: str, noisy: bool) -> set[str]:
         """Distinct words as written and, where that differs, as restored."""
-        found = set(text.translate(PARTS).split())
+        found = set(text.lower().translate(PARTS).split())
         if noisy:
             for m in NOISY.finditer(text.lower()):
                 found.update(self.decode(m[0]).split())

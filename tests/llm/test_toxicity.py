@@ -65,3 +65,8 @@ def test_prior_is_that_of_all_labels_above_the_cap(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "SAMPLE_PER_LABEL", 150)
     capped = score()
     assert 0.25 < whole < 0.42 and abs(capped - whole) < 0.12, (whole, capped)
+
+
+def test_capitals_with_accents():
+    d = decoder()
+    assert d.words("RÉEUXRÉ Ächlich, ACHLICHÄ", False) == {"réeuxré", "ächlich", "achlichä"}
