@@ -12,7 +12,8 @@ those that it does not link to bring forth the next leaders. Half of the
 sketches take leaders from the other end, so that members linked to different
 leaders meet again. Members still alone after the first round mostly share a common
 passage; they meet anew by their rarest k-mers until every one is a leader or
-linked to one. Exact copies are one text throughout.
+linked to one. Links between classes that no leader brought together are sought
+last, among the same rare k-mers. Exact copies are one text throughout.
 """
 
 from __future__ import annotations
@@ -254,6 +255,25 @@ def rare_buckets(state: DataFrame, seqs: DataFrame, threshold: float) -> DataFra
     return materialize(met.select(F.col("kmer").alias("bucket"), "tkey", "n", "rest", F.struct("n", "order").alias("order"), "open"), "near-rare")
 
 
+def across_classes(state: DataFrame, seqs: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
+    """``known`` plus the pairs of rare buckets whose ends lie in different classes so far and that weren't asked.
+
+    A text without any link stays open until it leads, so all its pairs were
+    asked; what leaders can miss are links between texts that both have links.
+    Of two different classes in a bucket one isn't its largest, so those outside
+    the largest meet all others, not all meet all.
+    """
+    comps = components(known.filter("linked").select("a", "b")).withColumnRenamed("node", "tkey")
+    who = materialize(state.select("bucket", "tkey", "n", "rest").join(comps, "tkey"), "near-classed")
+    sizes = who.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("c"))
+    largest = sizes.groupBy("bucket").agg(F.max_by("comp", F.struct("c", "comp")).alias("largest"), F.count(F.lit(1)).alias("classes")).filter("classes > 1").select("bucket", "largest")
+    ours = who.join(largest, "bucket").filter(F.col("comp") != F.col("largest")).select("bucket", F.struct("tkey", "n", "rest", "comp").alias("l"))
+    least = F.ceil(threshold / (1 + threshold) * (F.col("n") + F.col("l.n")) - 1e-9)
+    met = who.join(ours, "bucket").filter((F.col("comp") != F.col("l.comp")) & (least <= F.least("rest", "l.rest")))
+    asked = met.select(F.least("tkey", "l.tkey").alias("a"), F.greatest("tkey", "l.tkey").alias("b")).distinct().join(known.select("a", "b"), ["a", "b"], "left_anti")
+    return known.unionAll(materialize(verified(asked, seqs, threshold), "near-pairs"))
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, class_id (least doc_id of its class), n_links (other texts it is linked to), keys of text and class, of each row.
 
@@ -279,6 +299,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         # What still looks for partners sits among texts that share frequent k-mers only: meet anew on rare ones.
         state = rare_buckets(state, seqs, threshold)
         known, _ = leader_rounds(state, seqs, known, threshold, None)
+        known = across_classes(state, seqs, known, threshold)
     links = known.filter("linked").select("a", "b")
     comps = components(links)
     degree = links.select(F.col("a").alias("node")).unionAll(links.select(F.col("b").alias("node"))).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
