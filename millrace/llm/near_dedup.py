@@ -275,7 +275,11 @@ def across_classes(state: DataFrame, seqs: DataFrame, known: DataFrame, threshol
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, class_id (least doc_id of its class), n_links (other texts it is linked to), keys of text and class, of each row.
+    """doc_id, class_id (least doc_id of its class), n_verified_links, keys of text and class, of each row.
+
+    ``n_verified_links`` counts the other texts whose link to this one was verified on
+    the way to the classes, those to leaders mostly. It is no degree: links inside a
+    class are not all sought, and which ones are follows from hashes.
 
     A null text counts as empty; empty texts are copies of each other. Texts
     under five words have no k-mers and only exact copies. Rows with equal ids
@@ -302,12 +306,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         known = across_classes(state, seqs, known, threshold)
     links = known.filter("linked").select("a", "b")
     comps = components(links)
-    degree = links.select(F.col("a").alias("node")).unionAll(links.select(F.col("b").alias("node"))).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
+    degree = links.select(F.col("a").alias("node")).unionAll(links.select(F.col("b").alias("node"))).groupBy("node").agg(F.count(F.lit(1)).alias("n_verified_links"))
     classes = reps.select("tkey", "rep").join(comps.withColumnRenamed("node", "tkey"), "tkey", "left").join(degree.withColumnRenamed("node", "tkey"), "tkey", "left")
-    classes = classes.select("tkey", "rep", F.coalesce("comp", "tkey").alias("comp"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    classes = classes.select("tkey", "rep", F.coalesce("comp", "tkey").alias("comp"), F.coalesce("n_verified_links", F.lit(0)).alias("n_verified_links"))
     least = classes.groupBy("comp").agg(F.min("rep").alias("class_id"))
-    classes = materialize(classes.join(least, "comp").select("tkey", "rep", "class_id", "n_links", "comp"), "near-classes")
-    return sigs.select("doc_id", "tkey").join(classes, "tkey").select("doc_id", "class_id", "n_links", "tkey", "rep", F.hex("comp").alias("class_key"))
+    classes = materialize(classes.join(least, "comp").select("tkey", "rep", "class_id", "n_verified_links", "comp"), "near-classes")
+    return sigs.select("doc_id", "tkey").join(classes, "tkey").select("doc_id", "class_id", "n_verified_links", "tkey", "rep", F.hex("comp").alias("class_key"))
 
 
 def deduplicate(df: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -50,7 +50,7 @@ def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(documents(spark, sf_dir)).select("doc_id", "class_id", "n_links")
+    return near_duplicates(documents(spark, sf_dir)).select("doc_id", "class_id", "n_verified_links")
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

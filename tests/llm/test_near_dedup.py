@@ -25,3 +25,9 @@ def test_link_between_closed_members_of_different_leaders(spark):
     found = near_dedup.across_classes(state, frame, found, 0.8)
     assert {(bytes(r["a"]), bytes(r["b"])) for r in found.filter("linked").collect()} == by_leaders | {(b"A", b"B")}
     assert len({bytes(r["comp"]) for r in near_dedup.components(found.filter("linked")).collect()}) == 1
+
+
+def test_links_are_named_as_those_verified(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f")], "doc_id long, text string")
+    got = near_dedup.near_duplicates(docs)
+    assert "n_verified_links" in got.columns and "n_links" not in got.columns
