@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,6 +33,8 @@ ANY_PATTERN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]|AKIA[
 SAMPLE_WITH, SAMPLE_WITHOUT = 400, 200
 #: Words kept around a learned secret, and sequences of words without one per text.
 CONTEXT, PLAIN_WORDS = 20, 60
+#: Stretches of so many words from each long text without a secret.
+PLAIN_STRETCHES = 3
 EPOCHS, RATE, DECAY = 60, 0.5, 1e-4
 #: Shortest span of the field, in bytes.
 MIN_BYTES = 6
@@ -156,8 +159,15 @@ class Field:
         return tags
 
 
+def plain_places(text: bytes, n: int) -> list[int]:
+    """First words of the stretches taken from a text of ``n`` words: the whole of a short one, else hash-random places of all of it."""
+    if n <= PLAIN_WORDS:
+        return [0]
+    return sorted({zlib.crc32(text, k + 1) % (n - PLAIN_WORDS + 1) for k in range(PLAIN_STRETCHES)})
+
+
 def training_sequences(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(features, tags) of the words around the secrets of each text, and of a stretch without one."""
+    """(features, tags) of the words around the secrets of each text, and of stretches of those without one."""
     out = []
     for text in texts:
         buf, at, start, end, owner = words([text])
@@ -173,7 +183,8 @@ def training_sequences(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]
         for lo, hi in marks:
             out.append((feats[lo:hi], tags[lo:hi]))
         if not marks and len(start):
-            out.append((feats[:PLAIN_WORDS], tags[:PLAIN_WORDS]))
+            for lo in plain_places(text, len(start)):
+                out.append((feats[lo : lo + PLAIN_WORDS], tags[lo : lo + PLAIN_WORDS]))
     return out
 
 
