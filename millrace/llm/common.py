@@ -16,6 +16,8 @@ SPACES = " \t\n\x0b\x0c\r"
 
 #: Text bytes handled at once in a Python worker; arrays stay a small multiple of it.
 CHUNK_BYTES = 1 << 20
+#: Spark's setting that removes a plan's shuffle files when its execution ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,9 +25,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a local one only where that is unset (tests)."""
+    """The folder of ``spark.checkpoint.dir``; where that is unset, a temporary one, on a local master only."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="millrace-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -34,20 +39,40 @@ def shared_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors.
 
-    A write computes the plan once, where ``checkpoint()`` would compute it twice.
+    A write computes the plan once, where ``checkpoint()`` would compute it
+    twice. Shuffle files of the plan go when the write ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def release(spark: SparkSession) -> None:
-    """Let the context cleaner drop shuffle files of plans that are no longer referenced."""
-    import gc
-
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.folder = path
+    return out
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete materialized tables that no plan still to run reads. Those a returned result reads stay."""
+    for t in tables:
+        if t is not None:
+            jvm = t.sparkSession.sparkContext._jvm
+            path = jvm.org.apache.hadoop.fs.Path(t.folder)
+            path.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns that none of ``df``'s columns has, whatever the case of letters."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def rows_of(df: DataFrame, id_col: str, text_col: str, *extra: Column) -> DataFrame:

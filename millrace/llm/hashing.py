@@ -67,7 +67,7 @@ def words_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
 
 
 def owned_runs(units: np.ndarray, first: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of windows that share an anchor: (text, start unit, windows in the run, anchor hash, content hash).
+    """Runs of windows that share an anchor: (text, start unit, windows in the run, anchor hash, anchor's unit).
 
     A window of ``window`` units has as its anchor the leftmost of its grams of
     ``gram`` units with the least hash. Equal windows have equal anchors at
@@ -77,9 +77,8 @@ def owned_runs(units: np.ndarray, first: np.ndarray, window: int, gram: int) ->
     size, spread = first[1:] - first[:-1], window - gram + 1
     none = np.zeros(0, np.int64)
     if len(units) < window or not (size >= window).any():
-        return none, none, none, none.astype(U), none.astype(U)
-    prefix = Prefix(units)
-    grams = mix(prefix.grams(gram))
+        return none, none, none, none.astype(U), none
+    grams = mix(Prefix(units).grams(gram))
     order = (grams & U(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=U)
     wide = 1
     while 2 * wide <= spread:
@@ -99,4 +98,4 @@ def owned_runs(units: np.ndarray, first: np.ndarray, window: int, gram: int) ->
     at = np.flatnonzero(change)
     begin, n = starts[at], np.diff(np.concatenate([at, [len(starts)]]))
     owner = np.searchsorted(first, begin, "right") - 1
-    return owner, begin, n, grams[anchor[begin]], prefix.stretches(begin, n + window - 1)
+    return owner, begin, n, grams[anchor[begin]], anchor[begin]

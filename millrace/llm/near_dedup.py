@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import CHUNK_BYTES, bytes_list, cuts, materialize, release, rows_of
+from millrace.llm.common import CHUNK_BYTES, bytes_list, cuts, materialize, rows_of
 from millrace.llm.hashing import U, Prefix, mix, words_of
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -297,7 +297,6 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     texts = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     texts = texts.join(needed, F.col("doc_id").eqNullSafe(F.col("r"))).filter(F.unhex(F.md5("text")) == F.col("tkey")).select("tkey", "text")
     seqs = materialize(kmer_sequences(texts).dropDuplicates(["tkey"]), "near-kmers")
-    release(df.sparkSession)
     known, state = leader_rounds(members.withColumn("rest", F.col("n").cast("long")).withColumn("open", F.lit(True)), seqs, None, threshold, FIRST_ROUNDS)
     if state is not None:
         # What still looks for partners sits among texts that share frequent k-mers only: meet anew on rare ones.

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import bytes_list, cuts
@@ -27,25 +27,28 @@ def keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(f"`{id_col}`").alias("doc_id"), text.alias("text")).withColumn("did", did.alias("did")).withColumn("rid", F.xxhash64("text"))
 
 
-def run_rows(docs: DataFrame, of: Callable[[list[bytes]], tuple[np.ndarray, ...]], keep: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
-    """ahash, chash, did, rid, start, n of the anchored runs of all texts; ``keep`` filters by anchor hash."""
+#: Of the runs of some texts: the text of each, and its columns by name.
+Runs = tuple[np.ndarray, dict[str, np.ndarray]]
+
+
+def run_rows(docs: DataFrame, of: Callable[[list[bytes]], Runs], columns: str, keyed: bool = True) -> DataFrame:
+    """``columns`` (a schema) of the anchored runs of all texts, with did and rid of the text if ``keyed``."""
+    names = [c.split()[0] for c in columns.split(", ")]
+    keys = ["did", "rid"] * keyed
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            did, rid = batch.column("did").to_numpy(), batch.column("rid").to_numpy()
+            key = [batch.column(k).to_numpy() for k in keys]
             for lo, hi in cuts(batch, "text", CHUNK):
-                owner, start, n, ahash, chash = of(bytes_list(batch.slice(lo, hi - lo).column("text")))
-                if keep is not None:
-                    ok = keep(ahash)
-                    owner, start, n, ahash, chash = owner[ok], start[ok], n[ok], ahash[ok], chash[ok]
-                yield pa.RecordBatch.from_arrays([pa.array(ahash.view(np.int64)), pa.array(chash.view(np.int64)), pa.array(did[lo + owner]), pa.array(rid[lo + owner]), pa.array(start), pa.array(n.astype(np.int32))], ["ahash", "chash", "did", "rid", "start", "n"])
+                owner, of_run = of(bytes_list(batch.slice(lo, hi - lo).column("text")))
+                yield pa.RecordBatch.from_arrays([*(pa.array(k[lo + owner]) for k in key), *(pa.array(of_run[c]) for c in names)], [*keys, *names])
 
-    return docs.select("did", "rid", "text").mapInArrow(rows, "ahash long, chash long, did long, rid long, start long, n int")
+    return docs.select(*keys, "text").mapInArrow(rows, ", ".join([*(f"{k} long" for k in keys), columns]))
 
 
 def by_document(spans: DataFrame, *columns: str) -> DataFrame:
-    """did, rid and the list of spans of each document; a document's spans are bounded by its length."""
-    return spans.groupBy("did", "rid").agg(F.collect_list(F.struct(*columns)).alias("spans"))
+    """did, rid and the spans of each document, once each; a document's spans are bounded by its length."""
+    return spans.groupBy("did", "rid").agg(F.collect_set(F.struct(*columns)).alias("spans"))
 
 
 def with_texts(docs: DataFrame, lists: DataFrame, how: str) -> DataFrame:
@@ -54,7 +57,3 @@ def with_texts(docs: DataFrame, lists: DataFrame, how: str) -> DataFrame:
 
 def struct_column(column: pa.Array, row: int, field: str) -> np.ndarray:
     return np.asarray(column[row].values.field(field)) if column[row].is_valid else np.zeros(0, np.int64)
-
-
-def once(column: str) -> Column:
-    return F.first(column).alias(column)

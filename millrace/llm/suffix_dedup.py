@@ -1,14 +1,23 @@
 """Exact removal of repeated byte strings with suffix arrays by deep-shallow sorting.
 
 A string of 200 bytes can repeat only under the same anchor (see
-``hashing.owned_runs``), so suffixes are sorted anchor by anchor instead of all
-at once, which spreads the array over the cluster without shuffling a suffix
-of every byte. Runs of windows with one anchor and equal contents are one
-block; where an anchor has blocks of one content only, the block is settled by
-its count. All other blocks are gathered by anchor with their bytes, once for
-each content, and their suffixes are sorted: multikey quicksort on eight bytes
-at a time to a shallow depth, then blind tries for what still shares a prefix.
-Neighbours in that order with 200 common bytes are repeats.
+``hashing.owned_runs``) and at the same place relative to it, so suffixes are
+sorted anchor by anchor instead of all at once, which spreads the array over
+the cluster without shuffling a suffix of every byte. Runs of windows with one
+anchor and equal contents (by SHA-256) are one block with a number of copies;
+one occurrence of each block brings its bytes. Where an anchor has blocks of
+several contents, their suffixes are sorted: ternary multikey quicksort on
+eight bytes at a time to a shallow depth, then blind tries for what still
+shares a prefix. Equal neighbours in that order, or a block with copies, are
+repeats.
+
+An anchor may be hot: a passage that very many texts share stands in blocks of
+as many contents where it meets their own words. Its windows are then dealt by
+place to ``SLOTS``, and the anchor grows to all bytes that the windows of a
+slot have in common. What is still hot is dealt once more, to single windows,
+whose key is the window itself and whose contents are therefore one. No block
+is held by two keys for the same window, and no key has more than
+``KEY_BLOCKS`` contents to sort.
 """
 
 from __future__ import annotations
@@ -22,22 +31,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import runs
-from millrace.llm.common import bytes_list, cuts, materialize, release
-from millrace.llm.hashing import BYTES, Prefix, mix, owned_runs
+from millrace.llm.common import bytes_list, cuts, discard, materialize
+from millrace.llm.hashing import BYTES, owned_runs
 
 LENGTH = 200
 #: Bytes of an anchor.
 GRAM = 50
 #: Depth to which multikey quicksort goes.
 SHALLOW = 40
-#: Bytes of blocks that are sorted at once; an anchor's blocks stay together.
-SORT_BYTES = 2 << 20
-#: Blocks of one anchor that one shard sorts; beyond, its windows are dealt to shards by their hash.
-SHARD_BLOCKS = 20_000
-
-
-def byte_runs(texts: list[bytes]) -> tuple[np.ndarray, ...]:
-    """Runs of all texts; texts beyond ``runs.PIECE`` bytes go in overlapping pieces."""
+#: Bytes of blocks that are sorted at once; a key's blocks stay together.
+SORT_BYTES = 1 << 20
+#: Contents of a key that are sorted as they are; the windows of a key with more are dealt to longer keys.
+KEY_BLOCKS = 4096
+#: Windows of a slot, by how often a key was dealt.
+SLOTS = (19, 1)
+#: Columns of a run: key, content (128 bits), first window, windows, bytes before the anchor.
+RUN = "key long, c1 long, c2 long, start long, n int, ahead int"
+
+
+def pieces_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``owned_runs`` of all texts, places in their text; those beyond ``runs.PIECE`` bytes go in overlapping pieces."""
     pieces, own, shift = [], [], []
     for i, t in enumerate(texts):
         for lo in range(0, max(1, len(t) - LENGTH + 1), runs.PIECE):
@@ -46,8 +59,25 @@ def byte_runs(texts: list[bytes]) -> tuple[np.ndarray, ...]:
             shift.append(lo)
     buf = np.frombuffer(b"".join(pieces), np.uint8)
     first = np.concatenate([[0], np.cumsum([len(p) for p in pieces])]).astype(np.int64)
-    owner, start, n, ahash, chash = owned_runs(BYTES[buf], first, LENGTH, GRAM)
-    return np.array(own, np.int64)[owner], start - first[owner] + np.array(shift, np.int64)[owner], n, ahash, chash
+    owner, start, n, ahash, anchor = owned_runs(BYTES[buf], first, LENGTH, GRAM)
+    return np.array(own, np.int64)[owner], start - first[owner] + np.array(shift, np.int64)[owner], n, ahash.view(np.int64), (anchor - start).astype(np.int32)
+
+
+def digests(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits of each part's SHA-256, as two numbers."""
+    x = np.frombuffer(b"".join([hashlib.sha256(p).digest()[:16] for p in parts]), np.int64).reshape(-1, 2)
+    return np.ascontiguousarray(x[:, 0]), np.ascontiguousarray(x[:, 1])
+
+
+def anchors(texts: list[bytes]) -> runs.Runs:
+    owner, _, _, key, _ = pieces_of(texts)
+    return owner, {"key": key}
+
+
+def byte_runs(texts: list[bytes]) -> runs.Runs:
+    owner, start, n, key, ahead = pieces_of(texts)
+    c1, c2 = digests([texts[i][a : a + k + LENGTH - 1] for i, a, k in zip(owner.tolist(), start.tolist(), n.tolist(), strict=True)])
+    return owner, {"key": key, "c1": c1, "c2": c2, "start": start, "n": n.astype(np.int32), "ahead": ahead}
 
 
 def common_bytes(words: np.ndarray, p: np.ndarray, q: np.ndarray, depth: int, limit: int) -> np.ndarray:
@@ -69,64 +99,90 @@ def common_bytes(words: np.ndarray, p: np.ndarray, q: np.ndarray, depth: int, li
     return out
 
 
-def deep_shallow(buf: np.ndarray, starts: np.ndarray, limit: int = LENGTH, shallow: int = SHALLOW) -> tuple[np.ndarray, np.ndarray]:
-    """(order, group): suffixes by their first ``limit`` bytes, and for each place the first place of equal ones."""
+def deep_shallow(buf: np.ndarray, starts: np.ndarray, limit: int = LENGTH, shallow: int = SHALLOW, bucket: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(order, group): suffixes by bucket and their first ``limit`` bytes, and for each place the first place of equal ones."""
     padded = np.concatenate([buf, np.zeros(limit + 16, np.uint8)]).astype(np.uint64)
     words = (padded[:-1] << np.uint64(8)) | padded[1:]
     words = (words[:-2] << np.uint64(16)) | words[2:]
     words = (words[:-4] << np.uint64(32)) | words[4:]
-    order = np.arange(len(starts))
-    group = np.zeros(len(starts), np.int64)
-    active = order.copy()
-
-    def split(active: np.ndarray, key: np.ndarray) -> np.ndarray:
-        """Sort the active places by key inside their groups; the places of groups that are still shared."""
-        by = np.lexsort((key, group[active]))
-        g, k = group[active][by], key[by]
+    order, group = np.arange(len(starts)), np.zeros(len(starts), np.int64)
+    if bucket is not None and len(starts):
+        order = np.argsort(bucket, kind="stable")
+        new = np.concatenate([[True], np.diff(bucket[order]) != 0])
+        group = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+
+    def shared(active: np.ndarray) -> np.ndarray:
+        """The active places whose group has another member; whole groups are active."""
+        g = group[active]
+        new = np.concatenate([[True], g[1:] != g[:-1]]) if len(g) else np.zeros(0, bool)
+        return active[~(new & np.concatenate([new[1:], [True]]))]
+
+    def deal(active: np.ndarray, part: np.ndarray) -> np.ndarray:
+        """Members of each group in the order of ``part`` (a byte), as groups of their own; how they were moved."""
+        key = group[active] * 256 + part
+        by = np.argsort(key, kind="stable")  # groups stand in order already, so few are moved far
         order[active] = order[active][by]
-        new = np.ones(len(active), bool)
-        new[1:] = (g[1:] != g[:-1]) | (k[1:] != k[:-1])
+        new = np.concatenate([[True], np.diff(key[by]) != 0])
         group[active] = active[np.maximum.accumulate(np.where(new, np.arange(len(active)), 0))]
-        alone = new & np.concatenate([new[1:], [True]])
-        return active[~alone]
-
-    for depth in range(0, min(shallow, limit), 8):
-        if not len(active):
-            return order, group
-        key = words[starts[order[active]] + depth]
-        if depth + 8 > limit:
-            key >>= np.uint64(8 * (depth + 8 - limit))
-        active = split(active, key)
+        return by
+
+    # Ternary multikey quicksort, the groups of all anchors at once: every group is parted
+    # by the median of three of its words into less, equal and greater; the equal part
+    # moves on by eight bytes, the others stay at their depth.
+    depth = np.zeros(len(starts), np.int64)
+    active = shared(np.arange(len(starts)))
+    while len(active):
+        at = depth[active]
+        word = words[starts[order[active]] + at]
+        over = at + 8 > limit  # the last bytes of the limit only
+        if over.any():
+            word[over] >>= (8 * (at[over] + 8 - limit)).astype(np.uint64)
+        head = np.flatnonzero(np.concatenate([[True], group[active][1:] != group[active][:-1]]))
+        size = np.diff(np.concatenate([head, [len(active)]]))
+        three = np.sort(np.stack([word[head], word[head + size // 2], word[head + size - 1]]), axis=0)
+        pivot = np.repeat(three[1], size)
+        part = 1 + (word > pivot).astype(np.int64) - (word < pivot)
+        by = deal(active, part)
+        depth[active] = at[by] + 8 * (part[by] == 1)
+        active = shared(active)
+        active = active[depth[active] < min(shallow, limit)]
     # Blind tries, all groups at once and breadth first: a node holds only the depth
     # at which its suffixes part and the bytes that part them; depths come from
     # comparing every member with one, the node's first.
+    active = shared(np.arange(len(starts)))
+    known = min(shallow, limit) // 8 * 8
     while len(active):
         here = starts[order[active]]
-        lcp = common_bytes(words, here, starts[order[group[active]]], min(shallow, limit) // 8 * 8, limit)
+        lcp = common_bytes(words, here, starts[order[group[active]]], known, limit)
         head = np.flatnonzero(np.concatenate([[True], group[active][1:] != group[active][:-1]]))
-        depth = np.repeat(np.minimum.reduceat(lcp, head), np.diff(np.concatenate([head, [len(active)]])))
-        open_ = depth < limit
-        active, here, depth = active[open_], here[open_], depth[open_]
+        parts_at = np.repeat(np.minimum.reduceat(lcp, head), np.diff(np.concatenate([head, [len(active)]])))
+        open_ = parts_at < limit
+        active, here, parts_at = active[open_], here[open_], parts_at[open_]
         if len(active):
-            active = split(active, (words[here + depth] >> np.uint64(56)))
+            deal(active, (words[here + parts_at] >> np.uint64(56)).astype(np.int64))
+            active = shared(active)
     return order, group
 
 
-def repeated_windows(blocks: list[bytes], shard: np.ndarray, shards: np.ndarray, limit: int = LENGTH) -> list[np.ndarray]:
-    """For each block the offsets of its strings of ``limit`` bytes that another block or offset has too."""
+def repeated_windows(blocks: list[bytes], copies: np.ndarray, bucket: np.ndarray, ahead: np.ndarray, limit: int = LENGTH) -> list[np.ndarray]:
+    """For each block the offsets of its strings of ``limit`` bytes that occur more than once.
+
+    Strings are equal only if their blocks are in one bucket and they stand at
+    one distance from the anchor, ``ahead`` bytes into the block.
+    """
     first = np.concatenate([[0], np.cumsum([len(b) for b in blocks])]).astype(np.int64)
     buf = np.frombuffer(b"".join(blocks), np.uint8)
     size = np.diff(first) - limit + 1
     owner = np.repeat(np.arange(len(blocks)), size)
-    starts = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size) + first[:-1][owner]
-    if (shards > 1).any():
-        mine = mix(Prefix(BYTES[buf]).grams(limit)[starts]) % shards[owner].astype(np.uint64) == shard[owner].astype(np.uint64)
-        owner, starts = owner[mine], starts[mine]
-    order, group = deep_shallow(buf, starts, limit)
-    shared = np.bincount(group, minlength=len(group))[group] > 1 if len(group) else np.zeros(0, bool)
-    hit = np.sort(order[shared])
+    offset = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)
+    starts = offset + first[:-1][owner]
+    distance = ahead[owner] - offset
+    place = bucket[owner] * (2 * limit) + distance + limit
+    order, group = deep_shallow(buf, starts, limit, bucket=place)
+    times = np.bincount(group, weights=copies[owner][order], minlength=len(group))[group] if len(group) else np.zeros(0)
+    hit = np.sort(order[times > 1])
     at = np.searchsorted(owner[hit], np.arange(len(blocks) + 1))
-    return [starts[hit[a:b]] - first[i] for i, (a, b) in enumerate(zip(at[:-1], at[1:], strict=True))]
+    return [offset[hit[a:b]] for a, b in zip(at[:-1], at[1:], strict=True)]
 
 
 def spans_of(offsets: np.ndarray) -> list[dict[str, int]]:
@@ -135,20 +191,21 @@ def spans_of(offsets: np.ndarray) -> list[dict[str, int]]:
         return []
     cut = np.flatnonzero(np.diff(offsets) > 1)
     lo, hi = np.concatenate([[0], cut + 1]), np.concatenate([cut, [len(offsets) - 1]])
-    return [{"o": int(offsets[a]), "n": int(offsets[b] - offsets[a] + 1)} for a, b in zip(lo, hi, strict=True)]
+    return [{"o": int(offsets[a]), "k": int(offsets[b] - offsets[a] + 1)} for a, b in zip(lo, hi, strict=True)]
 
 
 def sort_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks sorted by (ahash, shard) to the repeats of each; chunks end between anchors."""
+    """Blocks sorted by (key, c1, c2) to the repeats of each; chunks end between keys."""
 
     def solve(part: pa.Table) -> pa.RecordBatch:
-        found = repeated_windows(part.column("block").to_pylist(), part.column("shard").to_numpy(), part.column("shards").to_numpy())
-        again = part.column("copies").to_numpy() > 1  # whole contents that occur more than once
-        sizes = [len(b) - LENGTH + 1 for b in part.column("block").to_pylist()]
-        # A content that occurs again is covered whole; its first shard says so, the others stay silent.
-        spans = [([] if k else [{"o": 0, "n": s}]) if c else spans_of(f) for f, c, s, k in zip(found, again, sizes, part.column("shard").to_pylist(), strict=True)]
-        one = lambda name: part.column(name).combine_chunks()
-        return pa.RecordBatch.from_arrays([one("ahash"), one("chash"), pa.array(spans, pa.list_(pa.struct([("o", pa.int32()), ("n", pa.int32())])))], ["ahash", "chash", "spans"])
+        key, c1, c2, copies, ahead = (part.column(c).to_numpy() for c in ("key", "c1", "c2", "copies", "ahead"))
+        # A row that is stated twice brings its block twice.
+        new = np.concatenate([[True], (key[1:] != key[:-1]) | (c1[1:] != c1[:-1]) | (c2[1:] != c2[:-1])])
+        blocks = part.column("block").filter(pa.array(new)).to_pylist()
+        key, c1, c2, copies, ahead = key[new], c1[new], c2[new], copies[new], ahead[new]
+        bucket = np.cumsum(np.concatenate([[0], key[1:] != key[:-1]]))
+        spans = [spans_of(f) for f in repeated_windows(blocks, copies, bucket, ahead)]
+        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(c1), pa.array(c2), pa.array(spans, pa.list_(pa.struct([("o", pa.int32()), ("k", pa.int32())])))], ["key", "c1", "c2", "spans"])
 
     held: list[pa.RecordBatch] = []
     for batch in batches:
@@ -158,8 +215,8 @@ def sort_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if sum(b.nbytes for b in held) < SORT_BYTES:
             continue
         table = pa.Table.from_batches(held)
-        key, shard = table.column("ahash").to_numpy(), table.column("shard").to_numpy()
-        last = np.flatnonzero((key[1:] != key[:-1]) | (shard[1:] != shard[:-1]))
+        key = table.column("key").to_numpy()
+        last = np.flatnonzero(key[1:] != key[:-1])
         if len(last):
             cut = int(last[-1]) + 1
             yield solve(table.slice(0, cut))
@@ -169,31 +226,59 @@ def sort_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield solve(pa.Table.from_batches(held))
 
 
-def blocks_of(docs: DataFrame, mixed: DataFrame) -> DataFrame:
-    """ahash, chash, shard, shards, block of the mixed runs, cut from their texts."""
-    lists = runs.by_document(mixed, "start", "n", "ahash", "chash", "shards")
+def blocks_of(docs: DataFrame, contents: DataFrame) -> DataFrame:
+    """key, c1, c2, copies, ahead, block of contents (and the place of one occurrence), cut from their texts."""
+    lists = runs.by_document(contents, "key", "c1", "c2", "copies", "ahead", "start", "n")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi in cuts(batch, "text", runs.CHUNK):
                 part = batch.slice(lo, hi - lo)
-                ahash, chash, shard, shards, blocks = [], [], [], [], []
-                for text, spans in zip(bytes_list(part.column("text")), part.column("spans").to_pylist(), strict=True):
-                    for s in spans:
-                        block = text[s["start"] : s["start"] + s["n"] + LENGTH - 1]
-                        for k in range(s["shards"]):
-                            ahash.append(s["ahash"])
-                            chash.append(s["chash"])
-                            shard.append(k)
-                            shards.append(s["shards"])
-                            blocks.append(block)
-                yield pa.RecordBatch.from_arrays([pa.array(ahash, pa.int64()), pa.array(chash, pa.int64()), pa.array(shard, pa.int32()), pa.array(shards, pa.int32()), pa.array(blocks, pa.binary())], ["ahash", "chash", "shard", "shards", "block"])
+                spans = pa.concat_arrays([part.column("spans")]).flatten()
+                own = np.repeat(np.arange(hi - lo), part.column("spans").value_lengths().to_numpy(zero_copy_only=False))
+                texts = bytes_list(part.column("text"))
+                blocks = [texts[i][a : a + n + LENGTH - 1] for i, a, n in zip(own.tolist(), spans.field("start").to_pylist(), spans.field("n").to_pylist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([*(spans.field(c) for c in ("key", "c1", "c2", "copies", "ahead")), pa.array(blocks, pa.binary())], ["key", "c1", "c2", "copies", "ahead", "block"])
+
+    return runs.with_texts(docs.select("did", "rid", "text"), lists, "inner").select("text", "spans").mapInArrow(cut, "key long, c1 long, c2 long, copies long, ahead int, block binary")
 
-    return runs.with_texts(docs.select("did", "rid", "text"), lists, "inner").select("text", "spans").mapInArrow(cut, "ahash long, chash long, shard int, shards int, block binary")
+
+def longer_keys(docs: DataFrame, hot: DataFrame, width: int) -> DataFrame:
+    """The runs of hot keys dealt to slots of ``width`` distances from the anchor, each under a longer key.
+
+    The windows whose anchor is d bytes in, d from ``slot * width`` on, all
+    have the bytes from the last one's start to the first one's end.
+    """
+    lists = runs.by_document(hot, "key", "start", "n", "ahead")
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            did, rid = batch.column("did").to_numpy(), batch.column("rid").to_numpy()
+            for lo, hi in cuts(batch, "text", runs.CHUNK):
+                part = batch.slice(lo, hi - lo)
+                spans = pa.concat_arrays([part.column("spans")]).flatten()
+                own = np.repeat(np.arange(hi - lo), part.column("spans").value_lengths().to_numpy(zero_copy_only=False))
+                start, n, ahead, old = (np.asarray(spans.field(c)).astype(np.int64) for c in ("start", "n", "ahead", "key"))
+                # A run's windows are ahead, ahead - 1, ... bytes before the anchor.
+                top, low = ahead // width, (ahead - n + 1) // width
+                which = np.repeat(np.arange(len(own)), top - low + 1)
+                slot = top[which] - (np.arange(len(which)) - np.repeat(np.cumsum(top - low + 1) - (top - low + 1), top - low + 1))
+                first = np.minimum(ahead[which], slot * width + width - 1)
+                last = np.maximum(ahead[which] - n[which] + 1, slot * width)
+                begin, anchor = start[which] + ahead[which] - first, start[which] + ahead[which]
+                texts, who = bytes_list(part.column("text")), own[which]
+                # The slot's common bytes: from its farthest window's end back to its nearest window's start.
+                a, b = anchor - slot * width, anchor - (slot * width + width - 1) + LENGTH
+                key, _ = digests([texts[i][x:y] + b"%d" % s for i, x, y, s in zip(who.tolist(), a.tolist(), b.tolist(), slot.tolist(), strict=True)])
+                c1, c2 = digests([texts[i][x : x + k + LENGTH] for i, x, k in zip(who.tolist(), begin.tolist(), (first - last).tolist(), strict=True)])
+                cols = [key ^ old[which], c1, c2, begin, (first - last + 1).astype(np.int32), first.astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([pa.array(did[lo + who]), pa.array(rid[lo + who]), *map(pa.array, cols)], ["did", "rid", "key", "c1", "c2", "start", "n", "ahead"])
+
+    return runs.with_texts(docs.select("did", "rid", "text"), lists, "inner").select("did", "rid", "text", "spans").mapInArrow(deal, f"did long, rid long, {RUN}")
 
 
 def finish(docs: DataFrame, spans: DataFrame, keep: bool) -> DataFrame:
-    """Remove the covered bytes of every text."""
+    """Remove the covered bytes of every text; without spans (null and empty texts, empty tables) nothing goes."""
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,7 +307,7 @@ def finish(docs: DataFrame, spans: DataFrame, keep: bool) -> DataFrame:
     return runs.with_texts(docs, runs.by_document(spans, "start", "n"), "left").select("doc_id", "text", "spans").mapInArrow(remove, schema)
 
 
-def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
+def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: bool = False, key_blocks: int = KEY_BLOCKS) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and the kept bytes) of each row.
 
     A byte goes if a string of 200 bytes over it also starts elsewhere in the
@@ -231,19 +316,32 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     nothing of 200 bytes is left of them; null ids are ids like others.
     """
     docs = runs.keyed(df, id_col, text_col)
-    occurrences = runs.run_rows(docs, byte_runs)
-    shared = occurrences.groupBy("ahash").agg(F.count(F.lit(1)).alias("c"), F.min("chash").alias("lo"), F.max("chash").alias("hi")).filter("c > 1")
-    met = occurrences.join(shared, "ahash")
-    met = materialize(met.select("ahash", "chash", "did", "rid", "start", "n", (F.col("lo") == F.col("hi")).alias("whole"), F.least(F.lit(64), F.ceil(F.col("c") / SHARD_BLOCKS)).cast("int").alias("shards")), "repeat-runs")
-    release(df.sparkSession)
-    mixed = met.filter("not whole").drop("whole")
-    contents = blocks_of(docs, mixed).groupBy("ahash", "chash", "shard").agg(F.count(F.lit(1)).alias("copies"), runs.once("shards"), runs.once("block"))
-    ordered = contents.select("ahash", "chash", "shard", "shards", "copies", "block").repartition("ahash", "shard").sortWithinPartitions("ahash", "shard")
-    repeats = ordered.mapInArrow(sort_blocks, "ahash long, chash long, spans array<struct<o:int,n:int>>").filter(F.size("spans") > 0)
-    # One row for each content, whatever its shards.
-    repeats = materialize(repeats.groupBy("ahash", "chash").agg(F.flatten(F.collect_list("spans")).alias("spans")), "repeat-blocks")
-    release(df.sparkSession)
-    inner = mixed.join(repeats, ["ahash", "chash"]).select("did", "rid", "start", F.inline("spans")).select("did", "rid", (F.col("start") + F.col("o")).alias("start"), "n")
-    spans = materialize(met.filter("whole").select("did", "rid", "start", "n").unionAll(inner), "repeat-spans")
-    release(df.sparkSession)
+    shared = runs.run_rows(docs, anchors, "key long", keyed=False).groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key")
+    shared = materialize(shared, "repeat-anchors")
+    met = materialize(runs.run_rows(docs, byte_runs, RUN).join(shared, "key", "left_semi"), "repeat-runs")
+    discard(shared)
+    found = []
+    for width in (*SLOTS, None):
+        place = F.min(F.struct("did", "rid", "start", "n", "ahead")).alias("at")
+        contents = materialize(met.groupBy("key", "c1", "c2").agg(F.count(F.lit(1)).alias("copies"), place), "repeat-contents")
+        kinds = materialize(contents.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1"), "repeat-keys")
+        few, many = (kinds.filter(F.col("kinds") <= key_blocks), kinds.filter(F.col("kinds") > key_blocks)) if width else (kinds, kinds.limit(0))
+        mixed = contents.join(few.select("key"), "key", "left_semi").select("key", "c1", "c2", "copies", "at.*")
+        ordered = blocks_of(docs, mixed).repartition("key").sortWithinPartitions("key", "c1", "c2")
+        by_order = ordered.mapInArrow(sort_blocks, "key long, c1 long, c2 long, spans array<struct<o:int,k:int>>").filter(F.size("spans") > 0)
+        # A key with one content needs no order: its windows differ, and each occurs as often as the content.
+        alone = contents.filter("copies > 1").join(kinds.select("key"), "key", "left_anti")
+        whole = F.array(F.struct(F.lit(0).alias("o"), F.col("at.n").alias("k")))
+        repeats = materialize(by_order.unionAll(alone.select("key", "c1", "c2", whole.alias("spans"))), "repeat-blocks")
+        spans = met.join(repeats, ["key", "c1", "c2"]).select("did", "rid", "start", F.inline("spans"))
+        found.append(materialize(spans.select("did", "rid", (F.col("start") + F.col("o")).alias("start"), F.col("k").alias("n")), "repeat-spans"))
+        hot = many.limit(1).count()
+        dealt = materialize(longer_keys(docs, met.join(many.select("key"), "key", "left_semi"), width), "repeat-runs") if hot else None
+        discard(met, contents, kinds, repeats)
+        if not hot:
+            break
+        met = dealt
+    spans = found[0]
+    for more in found[1:]:
+        spans = spans.unionAll(more)
     return finish(docs, spans, keep)

@@ -42,42 +42,57 @@ def data(docs):
     return [(r["doc_id"], (r["text"] or "").encode()) for r in docs.collect()]
 
 
-def test_suffix_dedup(docs, nothing):
-    all_texts = [t for _, t in data(docs)]
+def repeats_removed(rows):
+    """What op1 has to return for (doc_id, bytes) rows."""
     seen = {}
-    for t in all_texts:
+    for _, t in rows:
         for i in range(len(t) - 199):
             seen[t[i : i + 200]] = seen.get(t[i : i + 200], 0) + 1
     want = []
-    for d, t in data(docs):
+    for d, t in rows:
         cover = bytearray(len(t))
         for i in range(len(t) - 199):
             if seen[t[i : i + 200]] > 1:
                 cover[i : i + 200] = b"\1" * 200
         kept = bytes(b for b, c in zip(t, cover, strict=True) if not c)
         want.append((str(d), len(t), sum(cover), len(re.findall(b"\1+", bytes(cover))), hashlib.sha256(kept).hexdigest()))
+    return sorted(want)
+
+
+def test_suffix_dedup(docs, nothing):
     got = [(str(r[0]), *r[1:5]) for r in suffix_dedup.remove_repeats(docs).collect()]
-    assert sorted(got) == sorted(want) and any(w[2] for w in want)
+    want = repeats_removed(data(docs))
+    assert sorted(got) == want and any(w[2] for w in want)
     assert suffix_dedup.remove_repeats(nothing).count() == 0
 
 
-def test_deep_shallow_sorts_and_shards():
+@pytest.mark.parametrize("key_blocks", [1, 3, 1000])
+def test_suffix_dedup_with_hot_anchors(spark, key_blocks):
+    """Passages of 120 to 400 bytes in many texts of their own words: anchors with many contents, dealt to longer keys."""
+    r = random.Random(9)
+    make = lambda n: "".join(r.choice("etaoin shr") for _ in range(n))
+    passages = [make(n) for n in (120, 160, 195, 200, 230, 400)]
+    rows = [(i, make(r.randint(0, 150)) + p + make(r.randint(0, 150))) for i, p in enumerate(passages * 12)]
+    rows += [(100 + i, passages[3][: 150 + i] + "z" + make(30)) for i in range(12)] + [(0, rows[0][1]), (7, rows[1][1])]
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), key_blocks=key_blocks).collect()
+    assert sorted((str(x[0]), *x[1:5]) for x in got) == repeats_removed([(d, t.encode()) for d, t in rows])
+
+
+def test_deep_shallow_sorts():
     import numpy as np
 
     r = random.Random(1)
     buf = bytes(r.choice(b"ab") for _ in range(40)) * 12 + bytes(r.choice(b"abc") for _ in range(200))
     starts = np.arange(len(buf) - 60)
-    order, group = suffix_dedup.deep_shallow(np.frombuffer(buf, np.uint8), starts, 60, 16)
-    keys = [buf[i : i + 60] for i in starts[order]]
-    assert keys == sorted(keys)
-    assert [k for k in range(1, len(keys)) if keys[k] == keys[k - 1]] == [k for k in range(1, len(keys)) if group[k] == group[k - 1]]
-    blocks = [buf[:300], buf[20:320]]
-    whole = suffix_dedup.repeated_windows(blocks, np.zeros(2, int), np.ones(2, int))
-    parts = [suffix_dedup.repeated_windows(blocks, np.full(2, k), np.full(2, 3)) for k in range(3)]
-    assert [sorted(np.concatenate([p[i] for p in parts]).tolist()) for i in range(2)] == [sorted(w.tolist()) for w in whole]
+    for shallow in (8, 16, 20, 60):
+        order, group = suffix_dedup.deep_shallow(np.frombuffer(buf, np.uint8), starts, 60, shallow)
+        keys = [buf[i : i + 60] for i in starts[order]]
+        assert keys == sorted(keys)
+        assert [k for k in range(1, len(keys)) if keys[k] == keys[k - 1]] == [k for k in range(1, len(keys)) if group[k] == group[k - 1]]
 
 
-def test_substring_dedup(docs, nothing):
+@pytest.mark.parametrize("broadcast_cells", [substring_dedup.BROADCAST_CELLS, 0])
+def test_substring_dedup(docs, nothing, broadcast_cells):
     seen, want = {}, {}
     for d, t in sorted(data(docs), key=lambda x: (x[0] is not None, x[0] or 0)):
         words = WORD.findall(t.decode())
@@ -88,10 +103,18 @@ def test_substring_dedup(docs, nothing):
                 cover[i : i + 20] = [True] * 20
         kept = " ".join(w for w, c in zip(words, cover, strict=True) if not c)
         want.setdefault(d, set()).add((len(words), sum(cover), hashlib.sha256(kept.encode()).hexdigest()))
-    got = substring_dedup.remove_earlier_windows(docs).collect()
+    got = substring_dedup.remove_earlier_windows(docs, broadcast_cells=broadcast_cells).collect()
     assert all(tuple(r)[1:4] in want[r["doc_id"]] for r in got) and len(got) == docs.count()
     assert sum(r["n_removed"] for r in got) > 100
-    assert substring_dedup.remove_earlier_windows(nothing).count() == 0
+    assert substring_dedup.remove_earlier_windows(nothing, broadcast_cells=broadcast_cells).count() == 0
+
+
+def test_word_pieces_have_the_runs_of_whole_texts():
+    r = random.Random(10)
+    make = lambda n: " ".join(r.choice(["a", "bc", "def", "ghij"]) for _ in range(n))
+    some = [make(500).encode(), b"", b"x" * 3000, (make(300) + "\n\t " + make(200) + " ").encode(), b" " * 500, make(21).encode()]
+    windows = lambda size: sorted((int(o), int(s) + k) for o, s, n in zip(*(lambda x: (x[0], x[1]["start"], x[1]["n"]))(substring_dedup.word_runs(some, size)), strict=True) for k in range(n))
+    assert windows(97) == windows(1 << 20) == [(i, k) for i, t in enumerate(some) for k in range(len(t.split()) - 19)]
 
 
 def test_byte_bpe(docs, nothing):
