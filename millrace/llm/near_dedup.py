@@ -4,20 +4,23 @@ The k-mers of a text are its runs of five words, labelled by how often each
 occurred before. A sketch takes the k-mers of the least hashes under its own
 hash function and keeps them in text order, so texts meet in a sketch as their
 edit similarity, not just their set similarity, is high. Texts that meet are
-aligned; a link needs aligned k-mers over all k-mers of 0.8 or more. Links
-join texts to classes.
+compared by signatures of 128 bins, then k-mer by k-mer, then aligned; a link
+needs aligned k-mers over all k-mers of 0.8 or more. Links join texts to
+classes.
 
-Within a bucket of equal sketches a leader is aligned with the other members;
+Within a bucket of equal sketches a leader is compared with the other members;
 those that it does not link to bring forth the next leaders. Half of the
-sketches take leaders from the other end, so that members linked to different
-leaders meet again. Members still alone after the first round mostly share a common
-passage; they meet anew by their rarest k-mers until every one is a leader or
-linked to one. Links between classes that no leader brought together are sought
-last, among the same rare k-mers. Exact copies are one text throughout.
+buckets take leaders from the other end, so that members linked to different
+leaders meet again. A bucket that stays mixed after that holds texts with a
+common passage, not copies: its members are told apart by their rarest k-mers,
+an exact filter, until every one is a leader or linked to one. Links between
+classes that no leader brought together are sought last, among the same rare
+k-mers. Exact copies are one text throughout.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,28 +28,54 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import CHUNK_BYTES, bytes_list, cuts, materialize, rows_of
+from millrace.llm.common import CHUNK_BYTES, bytes_list, cuts, discard, fresh, materialize, rows_of
 from millrace.llm.hashing import U, Prefix, mix, words_of
 
 SHINGLE, THRESHOLD = 5, 0.8
-#: Sketches of so many k-mers: texts of similarity 0.8 meet in none with a chance of about (1 - 0.8**3)**20 < 1e-6.
-SKETCHES, MINIMA = 20, 3
-#: Rounds of leaders among equal sketches before texts that are left meet on rare k-mers instead.
-FIRST_ROUNDS = 1
-NOTHING = U(0xFFFFFFFFFFFFFFFF)
+#: (sketches, k-mers in each, least k-mers of a text, most k-mers of a text and one): two texts of similarity 0.8
+#: are both in one of the two kinds. Large ones meet in no sketch with a chance of about (1 - 0.8**4)**32 = 5e-8;
+#: small ones of at least 5 k-mers with (1 - 0.6)**16 = 4e-7 at most. Fewer k-mers reach 0.8 by equality only.
+LARGE, SMALL = (32, 4, 16, 1 << 62), (16, 2, 1, 20)
+#: Bins of a signature: each keeps a byte of the least hash of its k-mers. Texts of similarity 0.8 agree in
+#: 0.8 of the filled bins; pairs DEVIATIONS standard deviations below are not compared further (less than 2e-6 of links).
+BINS, DEVIATIONS = 128, 5.0
+#: Leaders of a bucket in the first rounds: buckets of up to ten members are settled by them.
+LEADERS = (1, 8)
 
 
-def sketches(texts: list[bytes], n_sketches: int = SKETCHES, minima: int = MINIMA) -> tuple[np.ndarray, np.ndarray]:
-    """(k-mers of each text, (texts, sketches) of uint64); texts without k-mers have zeros."""
+def bounds(n: np.ndarray, k: int) -> np.ndarray:
+    """For texts of ``n`` random numbers, values that about 4k of them are below."""
+    share = np.where(n > 4 * k, 4.0 * k / n, 1.0)
+    return np.where(share < 1, share * 2.0**64, 2.0**64 - 2048).astype(U)
+
+
+def least_places(value: np.ndarray, bound: np.ndarray, n: np.ndarray, owner: np.ndarray, k: int) -> np.ndarray:
+    """(texts, k): in text order the places of the ``k`` least values of each text; every text has so many.
+
+    Values up to ``bound`` are looked at; a text with fewer than k there is sorted whole.
+    """
+    at = np.flatnonzero(value <= bound)
+    few = np.bincount(owner[at], minlength=len(n)) < k
+    if few.any():
+        at = np.flatnonzero((value <= bound) | few[owner])
+    at = at[np.argsort((owner[at].astype(U) << U(40)) | (value[at] >> U(24)), kind="stable")]
+    head = np.searchsorted(owner[at], np.arange(len(n)))
+    return np.sort(at[head[:, None] + np.arange(k)[None, :]], axis=1)
+
+
+def sketches(texts: list[bytes]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """(k-mers of each text, bucket hashes of each text, (texts, BINS) of signature bytes, 0 for an empty bin)."""
     hashes, _, _, first = words_of(texts)
-    out = np.zeros((len(texts), n_sketches), U)
-    n = np.maximum(0, np.diff(first) - SHINGLE + 1)
-    if not n.any():
-        return n, out
-    grams = mix(Prefix(hashes).grams(SHINGLE))
+    sizes = np.maximum(0, np.diff(first) - SHINGLE + 1)
+    buckets: list[np.ndarray] = [np.zeros(0, U)] * len(texts)
+    signature = np.zeros((len(texts), BINS), np.uint8)
+    some = np.flatnonzero(sizes)
+    if not len(some):
+        return sizes, buckets, signature
+    n = sizes[some]
     begin = np.concatenate([[0], np.cumsum(n)])
-    owner = np.repeat(np.arange(len(texts)), n)
-    kmer = grams[np.arange(begin[-1]) - begin[owner] + first[owner]]
+    owner = np.repeat(np.arange(len(n)), n)
+    kmer = mix(Prefix(hashes).grams(SHINGLE))[np.arange(begin[-1]) - begin[owner] + first[:-1][some][owner]]
     # The occurrence label: the place among equal k-mers of the text.
     apart = mix(kmer + owner.astype(U) * U(0xA24BAED4963EE407))
     by = np.argsort(apart, kind="stable")
@@ -55,27 +84,33 @@ def sketches(texts: list[bytes], n_sketches: int = SKETCHES, minima: int = MINIM
     label = np.empty(len(by), U)
     label[by] = place - np.maximum.accumulate(np.where(same, 0, place))
     kmer = mix(kmer + label * U(0x9FB21C651E98DF25))
-    full = np.flatnonzero(n >= minima)
-    few = np.flatnonzero((n > 0) & (n < minima))
-    for j in range(n_sketches):
-        value = mix(kmer ^ U((j + 1) * 0xC2B2AE3D27D4EB4F & 0xFFFFFFFFFFFFFFFF))
-        places = np.empty((len(full), minima), np.int64)
-        some = np.flatnonzero(n)
-        for k in range(minima):
-            least = np.minimum.reduceat(value, begin[some])
-            at = np.flatnonzero(value == np.repeat(least, n[some]))
-            at = at[np.concatenate([[True], owner[at[1:]] != owner[at[:-1]]])]  # one for each text
-            places[:, k] = at[n[owner[at]] >= minima]
-            value[at] = NOTHING
-        places.sort(axis=1)
-        sketch = np.full(len(full), j, U)
-        for k in range(minima):
-            sketch = mix(sketch * U(0x9E3779B97F4A7C15) + kmer[places[:, k]])
-        out[full, j] = sketch
-    if len(few):
-        whole = Prefix(kmer).stretches(begin[few], n[few])
-        out[few] = mix(whole[:, None] + np.arange(n_sketches, dtype=U)[None, :])
-    return n, out
+
+    least = np.full(len(n) * BINS, 0xFFFFFFFF, np.uint32)
+    np.minimum.at(least, owner * BINS + (kmer % U(BINS)).astype(np.int64), (kmer >> U(32)).astype(np.uint32))
+    signature[some] = np.where(least == 0xFFFFFFFF, 0, 1 + least % 255).astype(np.uint8).reshape(-1, BINS)
+
+    found: list[list[np.ndarray]] = [[] for _ in n]
+    for kind, (count, minima, low, high) in enumerate((LARGE, SMALL)):
+        mine = np.flatnonzero((n >= max(low, minima)) & (n < high))
+        if len(mine):
+            inside = np.isin(owner, mine)
+            m, own, k = n[mine], np.searchsorted(mine, owner[inside]), kmer[inside]
+            bound = bounds(m, minima)[own]
+            out = np.empty((len(mine), count), U)
+            for j in range(count):
+                seed = U((2 * (kind * 64 + j) + 1) * 0xC2B2AE3D27D4EB4F & 0xFFFFFFFFFFFFFFFF)
+                at = least_places(k * seed, bound, m, own, minima)
+                sketch = np.full(len(mine), seed, U)
+                for i in range(minima):
+                    sketch = mix(sketch * U(0x9E3779B97F4A7C15) + k[at[:, i]])
+                out[:, j] = sketch
+            for i, row in zip(mine, out, strict=True):
+                found[i].append(row)
+    for i in np.flatnonzero(n < SMALL[1]):  # too few k-mers for a sketch: all of them
+        found[i].append(mix(Prefix(kmer[begin[i] : begin[i + 1]]).stretches(np.array([0]), n[i : i + 1])))
+    for i, rows in zip(some, found, strict=True):
+        buckets[i] = np.concatenate(rows)
+    return sizes, buckets, signature
 
 
 def aligned(a: list[int], b: list[int], band: int) -> int:
@@ -115,57 +150,72 @@ def similarity(a: list[int], b: list[int], threshold: float = THRESHOLD) -> floa
     least = int(np.ceil(threshold / (1 + threshold) * total - 1e-9))  # matches that the threshold takes
     if not total or min(len(a), len(b)) < least:
         return 0.0
+    if a != b and (Counter(a) & Counter(b)).total() < least:  # in any order
+        return 0.0
     got = aligned(a, b, total - 2 * least)  # an alignment with so many matches strays no further
     return got / (total - got)
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """docs (doc_id, text) to doc_id, tkey, n_kmers, sketches."""
+    """docs (doc_id, text) to doc_id, tkey, n_kmers, buckets, signature; null texts are empty and have no k-mers."""
     keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("tkey", F.unhex(F.md5("text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi in cuts(batch, "text", CHUNK_BYTES):
                 part = batch.slice(lo, hi - lo)
-                n, s = sketches(bytes_list(part.column("text")))
-                lists = pa.ListArray.from_arrays(np.arange(len(n) + 1, dtype=np.int32) * s.shape[1], pa.array(s.astype(np.int64).reshape(-1)))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("tkey"), pa.array(n, pa.int32()), lists], ["doc_id", "tkey", "n_kmers", "sketches"])
+                n, buckets, signature = sketches(bytes_list(part.column("text")))
+                ends = np.concatenate([[0], np.cumsum([len(b) for b in buckets])]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(buckets).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("tkey"), pa.array(n, pa.int32()), lists, pa.array([s.tobytes() for s in signature], pa.binary())], ["doc_id", "tkey", "n_kmers", "buckets", "signature"])
+
+    return keyed.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, tkey binary, n_kmers int, buckets array<long>, signature binary")
 
-    return keyed.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, tkey binary, n_kmers int, sketches array<long>")
+
+def kmers_of(texts: list[bytes]) -> list[np.ndarray]:
+    hashes, _, _, first = words_of(texts)
+    grams = mix(Prefix(hashes).grams(SHINGLE))
+    return [grams[a : max(a, b - SHINGLE + 1)] for a, b in zip(first[:-1], first[1:], strict=True)]
+
+
+def with_both(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
+    """pairs (a, b) with ``column`` of both as x and y."""
+    side = lambda key, name: table.select(F.col("tkey").alias(key), F.col(column).alias(name))
+    return pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y")
 
 
-def kmer_sequences(texts: DataFrame) -> DataFrame:
-    """(tkey, text) to (tkey, seq): the k-mers of the text as packed 64-bit numbers."""
+def likely(pairs: DataFrame, sigs: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) whose signatures don't rule out a link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in cuts(batch, "text", CHUNK_BYTES):
-                part = batch.slice(lo, hi - lo)
-                hashes, _, _, first = words_of(bytes_list(part.column("text")))
-                grams = mix(Prefix(hashes).grams(SHINGLE))
-                seqs = [grams[a : max(a, b - SHINGLE + 1)].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column("tkey"), pa.array(seqs, pa.binary())], ["tkey", "seq"])
+            if batch.num_rows:
+                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS) for c in ("x", "y"))
+                filled = ((x > 0) | (y > 0)).sum(axis=1)
+                agreed = ((x == y) & (x > 0)).sum(axis=1)
+                ok = agreed >= threshold * filled - DEVIATIONS * np.sqrt(threshold * (1 - threshold) * filled)
+                yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(ok)) for c in ("a", "b")], ["a", "b"])
 
-    return texts.mapInArrow(run, "tkey binary, seq binary")
+    return with_both(pairs, sigs, "signature").mapInArrow(run, "a binary, b binary")
 
 
-def verified(pairs: DataFrame, seqs: DataFrame, threshold: float) -> DataFrame:
-    """pairs (a, b) with ``linked``."""
-    both = pairs.join(seqs.select(F.col("tkey").alias("a"), F.col("seq").alias("sa")), "a").join(seqs.select(F.col("tkey").alias("b"), F.col("seq").alias("sb")), "b").select("a", "b", "sa", "sb")
+def verified(pairs: DataFrame, sigs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """pairs (a, b) that signatures allow, with ``linked``; none for no pairs. A row that is stated twice brings its pairs twice."""
+    both = with_both(materialize(likely(pairs, sigs, threshold), "near-likely"), texts, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for x, y in zip(batch.column("sa"), batch.column("sb"), strict=True):
-                p, q = (np.frombuffer(s.as_py(), np.int64).tolist() for s in (x, y))
-                out.append(similarity(p, q, threshold) >= threshold)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(out, pa.bool_())], ["a", "b", "linked"])
+            for lo, hi in cuts(batch, "x", CHUNK_BYTES):
+                part = batch.slice(lo, hi - lo)
+                p, q = ([k.tolist() for k in kmers_of(bytes_list(part.column(c)))] for c in ("x", "y"))
+                linked = [similarity(i, j, threshold) >= threshold for i, j in zip(p, q, strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(linked, pa.bool_())], ["a", "b", "linked"])
 
-    return both.mapInArrow(run, "a binary, b binary, linked boolean")
+    return both.mapInArrow(run, "a binary, b binary, linked boolean").groupBy("a", "b").agg(F.max("linked").alias("linked"))
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, comp) for edges (a, b): least reachable node, by rounds of neighbours' minima and jumps."""
+    """(node, comp) for edges (a, b): least reachable node, by rounds of neighbours' minima and jumps; no rows for no edges."""
     both = materialize(edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "near-links")
     labels = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("comp"))
     labels = materialize(labels, "near-labels")
@@ -180,82 +230,90 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def leader_rounds(state: DataFrame, seqs: DataFrame, known: DataFrame | None, threshold: float, most: int | None) -> tuple[DataFrame, DataFrame | None]:
+def leader_rounds(state: DataFrame, sigs: DataFrame, texts: DataFrame, known: DataFrame | None, threshold: float, leaders: tuple[int, ...] | None) -> tuple[DataFrame, DataFrame | None]:
     """Rounds of leaders in buckets (bucket, tkey, n, rest, order, open): pairs asked so far, and what is left open.
 
     Open means neither a leader yet nor linked to one. In every round the
-    first members of a bucket, several times as many each time, are asked against
+    first members of a bucket, more of them each time, are asked against
     all members that have not led. ``rest`` bounds the k-mers that a member can
     share in this bucket; pairs that the bounds rule out are not aligned.
 
-    With ``most`` rounds, leaders are open ones. Without, buckets have members
-    in order of size and leaders are whoever comes first, so all that are left
-    are no smaller than the last leader, and a member whose bound rules out
-    partners of that size is no longer open.
+    With ``leaders``, the numbers of the rounds, they are open members. Without,
+    rounds go on, buckets have members in order of size and leaders are whoever
+    comes first, so all that are left are no smaller than the last leader, and
+    a member whose bound rules out partners of that size is no longer open.
     """
-    leaders, done = 1, 0
     last = Window.partitionBy("bucket").orderBy("order")
+    done = 0
 
     def least(n1: str, n2: str) -> Column:
         return F.ceil(threshold / (1 + threshold) * (F.col(n1) + F.col(n2)) - 1e-9)
 
-    while most is None or done < most:
-        who = state.filter("open") if most is not None else state.join(state.filter("open").select("bucket").distinct(), "bucket", "left_semi")
-        first = who.withColumn("place", F.row_number().over(last)).filter(F.col("place") <= leaders).select("bucket", F.struct("tkey", "n", "rest", "open").alias("l"))
+    while leaders is None or done < len(leaders):
+        count = 4**done if leaders is None else leaders[done]
+        who = state.filter("open") if leaders is not None else state.join(state.filter("open").select("bucket").distinct(), "bucket", "left_semi")
+        first = who.withColumn("place", F.row_number().over(last)).filter(F.col("place") <= count).select("bucket", F.struct("tkey", "n", "rest", "open").alias("l"))
         leads = F.col("tkey") == F.col("l.tkey")
         fits = (F.col("open") | F.col("l.open")) & (least("n", "l.n") <= F.least("rest", "l.rest"))
         met = state.join(first, "bucket").filter(leads | fits)
         met = materialize(met.select("bucket", "tkey", F.least("tkey", "l.tkey").alias("a"), F.greatest("tkey", "l.tkey").alias("b"), leads.alias("leads"), F.col("l.n").alias("size")), "near-meetings")
         asked = met.filter("not leads").select("a", "b").distinct()
         asked = asked if known is None else asked.join(known, ["a", "b"], "left_anti")
-        found = materialize(verified(asked, seqs, threshold), "near-pairs")
+        found = materialize(verified(asked, sigs, texts, threshold), "near-pairs")
         known = found if known is None else known.unionAll(found)
         linked = known.filter("linked").select("a", "b", F.lit(True).alias("is_linked"))
         told = met.join(linked, ["a", "b"], "left").groupBy("bucket", "tkey").agg(F.max("leads").alias("led"), F.max(F.coalesce("is_linked", F.lit(False))).alias("joined"))
         sizes = met.filter("leads").groupBy("bucket").agg(F.max("size").alias("size"))
-        state = state.join(sizes, "bucket").join(told, ["bucket", "tkey"], "left").filter("not coalesce(led, false)")
+        left = state.join(sizes, "bucket").join(told, ["bucket", "tkey"], "left").filter("not coalesce(led, false)")
         open_ = F.col("open") & ~F.coalesce("joined", F.lit(False))
-        if most is None:
+        if leaders is None:
             open_ &= least("n", "size") <= F.col("rest")
-        state = materialize(state.withColumn("open", open_).select("bucket", "tkey", "n", "rest", "order", "open"), "near-state")
-        leaders, done = leaders * (4 if most is None else 2), done + 1
-        if not state.filter("open").limit(1).count():
+        left = materialize(left.withColumn("open", open_).select("bucket", "tkey", "n", "rest", "order", "open"), "near-state")
+        # The last member of a bucket has met all others, and without an open one nothing is left to ask.
+        still = left.groupBy("bucket").agg(F.count(F.lit(1)).alias("c"), F.max("open").alias("any")).filter("any and c > 1").select("bucket")
+        state = materialize(left.join(still, "bucket", "left_semi"), "near-state")
+        discard(met, left)
+        done += 1
+        if not state.limit(1).count():
             return known, None
     return known, state
 
 
-def rare_buckets(state: DataFrame, seqs: DataFrame, threshold: float) -> DataFrame:
+def rare_buckets(state: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """Buckets of rare k-mers for the members of buckets with open ones: the prefix filter.
 
     Two texts of the threshold's similarity share one of each text's
     n - ceil(t*n) + 1 rarest k-mers, whatever order rarity has, as long as it
     is one order for all. K-mers that no other member has stand first in it.
     """
-    left = state.filter("open").select("bucket").distinct()
-    who = state.join(left, "bucket", "left_semi").groupBy("tkey", "n").agg(F.max("open").alias("open"), F.min("order").alias("order"))
+    who = state.groupBy("tkey", "n").agg(F.max("open").alias("open"), F.min("order").alias("order"))
     who = materialize(who, "near-left")
 
     def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, seq in zip(batch.column("tkey"), batch.column("seq"), strict=True):
-                x = np.sort(np.frombuffer(seq.as_py(), U))
-                place = np.arange(len(x))
-                start = np.concatenate([[True], x[1:] != x[:-1]])
-                x = mix(x + (place - np.maximum.accumulate(np.where(start, place, 0))).astype(U) * U(0x9FB21C651E98DF25))
-                yield pa.RecordBatch.from_arrays([pa.array([key.as_py()] * len(x), pa.binary()), pa.array(x.view(np.int64))], ["tkey", "kmer"])
-
-    kmers = seqs.join(who.select("tkey"), "tkey").select("tkey", "seq").mapInArrow(labelled, "tkey binary, kmer long")
-    kmers = materialize(kmers, "near-left-kmers")
-    common = kmers.groupBy("kmer").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+            for lo, hi in cuts(batch, "text", CHUNK_BYTES):
+                part = batch.slice(lo, hi - lo)
+                for key, x in zip(part.column("tkey").to_pylist(), kmers_of(bytes_list(part.column("text"))), strict=True):
+                    x = np.sort(x)
+                    place = np.arange(len(x))
+                    start = np.concatenate([[True], x[1:] != x[:-1]])
+                    x = mix(x + (place - np.maximum.accumulate(np.where(start, place, 0))).astype(U) * U(0x9FB21C651E98DF25))
+                    yield pa.RecordBatch.from_arrays([pa.array([key] * len(x), pa.binary()), pa.array(x.view(np.int64))], ["tkey", "kmer"])
+
+    ours = texts.join(who.select("tkey"), "tkey", "left_semi").groupBy("tkey").agg(F.first("text").alias("text"))
+    kmers = materialize(ours.select("tkey", "text").mapInArrow(labelled, "tkey binary, kmer long"), "near-left-kmers")
+    common = materialize(kmers.groupBy("kmer").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "near-common-kmers")
     met = kmers.join(common, "kmer").join(who, "tkey")
     own = Window.partitionBy("tkey")  # bounded by the length of a text
     met = met.withColumn("m", F.count(F.lit(1)).over(own)).withColumn("rn", F.row_number().over(own.orderBy("df", "kmer")))
     met = met.filter(F.col("rn") <= F.col("m") - F.ceil(threshold * F.col("n") - 1e-9) + 1)
     met = met.withColumn("rest", F.col("m") - F.col("rn") + 1)  # what two texts share, their first shared k-mer and later ones
-    return materialize(met.select(F.col("kmer").alias("bucket"), "tkey", "n", "rest", F.struct("n", "order").alias("order"), "open"), "near-rare")
+    met = materialize(met.select(F.col("kmer").alias("bucket"), "tkey", "n", "rest", F.struct("n", "order").alias("order"), "open"), "near-rare")
+    discard(who, kmers, common)
+    return met
 
 
-def across_classes(state: DataFrame, seqs: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
+def across_classes(state: DataFrame, sigs: DataFrame, texts: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
     """``known`` plus the pairs of rare buckets whose ends lie in different classes so far and that weren't asked.
 
     A text without any link stays open until it leads, so all its pairs were
@@ -271,7 +329,7 @@ def across_classes(state: DataFrame, seqs: DataFrame, known: DataFrame, threshol
     least = F.ceil(threshold / (1 + threshold) * (F.col("n") + F.col("l.n")) - 1e-9)
     met = who.join(ours, "bucket").filter((F.col("comp") != F.col("l.comp")) & (least <= F.least("rest", "l.rest")))
     asked = met.select(F.least("tkey", "l.tkey").alias("a"), F.greatest("tkey", "l.tkey").alias("b")).distinct().join(known.select("a", "b"), ["a", "b"], "left_anti")
-    return known.unionAll(materialize(verified(asked, seqs, threshold), "near-pairs"))
+    return known.unionAll(materialize(verified(asked, sigs, texts, threshold), "near-pairs"))
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -286,40 +344,45 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     and texts are copies too. A class with null ids only has a null class_id.
     """
     docs = rows_of(df, id_col, text_col)
-    sigs = materialize(signatures(docs), "near-signatures")
-    reps = materialize(sigs.groupBy("tkey").agg(F.min("doc_id").alias("rep"), F.first("n_kmers").alias("n_kmers"), F.first("sketches").alias("sketches")), "near-texts")
+    keyed = materialize(signatures(docs), "near-signatures")
+    sigs = materialize(keyed.groupBy("tkey").agg(F.min("doc_id").alias("rep"), F.first("n_kmers").alias("n"), F.first("buckets").alias("buckets"), F.first("signature").alias("signature")), "near-texts")
     order = F.xxhash64("tkey", F.lit(7))
-    rows = reps.filter("n_kmers > 0").select("tkey", F.col("n_kmers").alias("n"), order.alias("order"), F.posexplode("sketches").alias("band", "sketch"))
-    rows = rows.select("tkey", "n", F.when(F.col("band") % 2 == 0, F.col("order")).otherwise(-F.col("order") - 1).alias("order"), F.xxhash64("band", "sketch").alias("bucket"))
-    shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("bucket")
-    members = materialize(rows.join(shared, "bucket"), "near-buckets")
-    needed = members.select("tkey").distinct().join(reps.select("tkey", "rep"), "tkey").select("tkey", F.col("rep").alias("r"))
-    texts = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    texts = texts.join(needed, F.col("doc_id").eqNullSafe(F.col("r"))).filter(F.unhex(F.md5("text")) == F.col("tkey")).select("tkey", "text")
-    seqs = materialize(kmer_sequences(texts).dropDuplicates(["tkey"]), "near-kmers")
-    known, state = leader_rounds(members.withColumn("rest", F.col("n").cast("long")).withColumn("open", F.lit(True)), seqs, None, threshold, FIRST_ROUNDS)
+    rows = sigs.select("tkey", "n", order.alias("order"), F.explode("buckets").alias("bucket"))
+    rows = rows.select("bucket", "tkey", "n", F.when(F.col("bucket") % 2 == 0, F.col("order")).otherwise(-F.col("order") - 1).alias("order"))
+    shared = materialize(sigs.select(F.explode("buckets").alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("bucket"), "near-shared")
+    members = materialize(rows.join(shared, "bucket", "left_semi"), "near-buckets")
+    needed = members.select("tkey").distinct().join(sigs.select("tkey", "rep"), "tkey").select(F.col("tkey").alias("t"), F.col("rep").alias("r"))
+    texts = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("tkey", F.unhex(F.md5("text")))
+    texts = materialize(texts.join(needed, F.col("doc_id").eqNullSafe(F.col("r")) & (F.col("tkey") == F.col("t"))).select("tkey", "text"), "near-members")
+    state = members.withColumn("rest", F.col("n").cast("long")).withColumn("open", F.lit(True))
+    known, state = leader_rounds(state, sigs, texts, None, threshold, LEADERS)
     if state is not None:
-        # What still looks for partners sits among texts that share frequent k-mers only: meet anew on rare ones.
-        state = rare_buckets(state, seqs, threshold)
-        known, _ = leader_rounds(state, seqs, known, threshold, None)
-        known = across_classes(state, seqs, known, threshold)
-    links = known.filter("linked").select("a", "b")
+        state = rare_buckets(state, texts, threshold)
+        known, _ = leader_rounds(state, sigs, texts, known, threshold, None)
+        known = across_classes(state, sigs, texts, known, threshold)
+    links = materialize(known.filter("linked").select("a", "b"), "near-linked")
     comps = components(links)
     degree = links.select(F.col("a").alias("node")).unionAll(links.select(F.col("b").alias("node"))).groupBy("node").agg(F.count(F.lit(1)).alias("n_verified_links"))
-    classes = reps.select("tkey", "rep").join(comps.withColumnRenamed("node", "tkey"), "tkey", "left").join(degree.withColumnRenamed("node", "tkey"), "tkey", "left")
+    classes = sigs.select("tkey", "rep").join(comps.withColumnRenamed("node", "tkey"), "tkey", "left").join(degree.withColumnRenamed("node", "tkey"), "tkey", "left")
     classes = classes.select("tkey", "rep", F.coalesce("comp", "tkey").alias("comp"), F.coalesce("n_verified_links", F.lit(0)).alias("n_verified_links"))
-    least = classes.groupBy("comp").agg(F.min("rep").alias("class_id"))
-    classes = materialize(classes.join(least, "comp").select("tkey", "rep", "class_id", "n_verified_links", "comp"), "near-classes")
-    return sigs.select("doc_id", "tkey").join(classes, "tkey").select("doc_id", "class_id", "n_verified_links", "tkey", "rep", F.hex("comp").alias("class_key"))
+    classes = materialize(classes, "near-classes")
+    least = materialize(classes.groupBy("comp").agg(F.min("rep").alias("class_id")), "near-least")
+    classes = classes.join(least, "comp").select("tkey", "rep", "class_id", "n_verified_links", "comp")
+    rows = materialize(keyed.select("doc_id", "tkey").join(classes, "tkey").select("doc_id", "class_id", "n_verified_links", "tkey", "rep", F.hex("comp").alias("class_key")), "near-rows")
+    discard(keyed, sigs, shared, members, texts, links, least)
+    return rows
 
 
 def deduplicate(df: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``df`` (with doc_id, text) with one row of each class: the one of the least doc_id, null last.
 
-    Of equal rows one stays.
+    Of equal rows one stays. Null and empty texts are copies of each other.
+    Any further columns may have any names; an empty table stays empty.
     """
+    key, best, place = fresh(df, "tkey", "best", "place")
     classes = near_duplicates(df, threshold=threshold)
-    least = classes.groupBy("class_key").agg(F.min_by("tkey", F.struct(F.col("doc_id").isNull(), "doc_id", "tkey")).alias("k"), F.min("doc_id").alias("i"))
-    named = df.withColumn("_k", F.unhex(F.md5(F.coalesce("text", F.lit(""))))).join(least.select("k", "i"), (F.col("_k") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("i")))
-    first = Window.partitionBy("_k", "doc_id").orderBy(*[F.col(c) for c in df.columns if c not in ("doc_id", "text")] or [F.lit(1)])
-    return named.withColumn("_n", F.row_number().over(first)).filter("_n = 1").select(*df.columns)
+    least = classes.groupBy("class_key").agg(F.min_by(F.struct("tkey", "doc_id"), F.struct(F.col("doc_id").isNull(), "doc_id", "tkey")).alias(best)).select(best)
+    named = df.withColumn(key, F.unhex(F.md5(F.coalesce("text", F.lit("")))))
+    named = named.join(least, (F.col(key) == F.col(best)["tkey"]) & F.col("doc_id").eqNullSafe(F.col(best)["doc_id"]))
+    first = Window.partitionBy(key, "doc_id").orderBy(*[F.col(f"`{c}`") for c in df.columns if c not in ("doc_id", "text")] or [F.lit(1)])
+    return named.withColumn(place, F.row_number().over(first)).filter(F.col(place) == 1).select(*[F.col(f"`{c}`") for c in df.columns])

@@ -1,28 +1,75 @@
-"""Links between texts that are both linked to others already."""
+"""Order MinHash: recall against all pairs, links between texts that are both linked already, shared boilerplate."""
+
+import random
+
+import numpy as np
 
 from millrace.llm import near_dedup
 
 
+def shingles(text):
+    w = text.split()
+    return [tuple(w[i : i + 5]) for i in range(len(w) - 4)]
+
+
+def alignment(a, b):
+    """Longest common subsequence by the whole table."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = row
+        row = [0]
+        for j, y in enumerate(b):
+            row.append(last[j] + 1 if x == y else max(last[j + 1], row[j]))
+    return row[-1]
+
+
+def linked(a, b):
+    """Aligned shingles over all shingles, without the operator's own code."""
+    x, y = shingles(a), shingles(b)
+    if not x or not y or min(len(x), len(y)) < 0.8 * max(len(x), len(y)):
+        return False
+    got = alignment(x, y)
+    return got >= 0.8 * (len(x) + len(y) - got) - 1e-9
+
+
+def classes_of(texts):
+    parent = list(range(len(texts)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    links = 0
+    for i in range(len(texts)):
+        for j in range(i):
+            if texts[i] == texts[j] or linked(texts[i], texts[j]):
+                links += 1
+                x, y = find(i), find(j)
+                parent[max(x, y)] = min(x, y)
+    return [find(i) for i in range(len(texts))], links
+
+
 def test_link_between_closed_members_of_different_leaders(spark):
     # A (110 k-mers) and B (92) share 90, B and C (91) share 89, A and C 89: A-B and B-C are links, A-C isn't.
     def key(name):
         return bytearray(name.encode())
 
-    run = list(range(1000, 1090))
-    seqs = {"D": [*run[:60], *range(2000, 2050)], "A": [*run, *range(2030, 2050)], "B": [*run, 3000, 3001], "C": [*run[1:], 4000, 4001]}
-    seqs["D"] = [*run[:88], *range(2030, 2050)]
-    import numpy as np
-
-    frame = spark.createDataFrame([(key(k), bytearray(np.array(x, np.int64).tobytes())) for k, x in seqs.items()], "tkey binary, seq binary")
-    linked = {tuple(sorted((a, b))) for a in seqs for b in seqs if a < b and near_dedup.similarity(seqs[a], seqs[b]) >= 0.8}
-    assert ("A", "B") in linked and ("B", "C") in linked and ("A", "D") in linked and ("A", "C") not in linked
+    w, t = [f"w{i}" for i in range(94)], [f"t{i}" for i in range(20)]
+    texts = {"A": [*w, *t], "B": [*w, "b1", "b2"], "C": [*w[1:], "c1", "c2"], "D": [*w[:92], *t]}
+    texts = {k: " ".join(v) for k, v in texts.items()}
+    pairs = {(a, b) for a in texts for b in texts if a < b and linked(texts[a], texts[b])}
+    assert ("A", "B") in pairs and ("B", "C") in pairs and ("A", "D") in pairs and ("A", "C") not in pairs
+    frame = spark.createDataFrame([(key(k), v) for k, v in texts.items()], "tkey binary, text string")
+    sigs = spark.createDataFrame([(key(k), bytearray(near_dedup.sketches([v.encode()])[2].tobytes())) for k, v in texts.items()], "tkey binary, signature binary")
     # D and A were linked in a round before; in the rare bucket C leads, so B is closed by C and A from the start.
     known = spark.createDataFrame([(key("A"), key("D"), True)], "a binary, b binary, linked boolean")
-    state = spark.createDataFrame([(1, key(k), len(seqs[k]), 99, (len(seqs[k]), i), k in "BC") for i, k in enumerate("CBA")], "bucket long, tkey binary, n int, rest long, order struct<n:int,o:int>, open boolean")
-    found, _ = near_dedup.leader_rounds(state, frame, known, 0.8, None)
+    size = {k: len(shingles(v)) for k, v in texts.items()}
+    state = spark.createDataFrame([(1, key(k), size[k], 99, (size[k], i), k in "BC") for i, k in enumerate("CBA")], "bucket long, tkey binary, n int, rest long, order struct<n:int,o:int>, open boolean")
+    found, _ = near_dedup.leader_rounds(state, sigs, frame, known, 0.8, None)
     by_leaders = {(bytes(r["a"]), bytes(r["b"])) for r in found.filter("linked").collect()}
     assert by_leaders == {(b"A", b"D"), (b"B", b"C")}  # the loss
-    found = near_dedup.across_classes(state, frame, found, 0.8)
+    found = near_dedup.across_classes(state, sigs, frame, found, 0.8)
     assert {(bytes(r["a"]), bytes(r["b"])) for r in found.filter("linked").collect()} == by_leaders | {(b"A", b"B")}
     assert len({bytes(r["comp"]) for r in near_dedup.components(found.filter("linked")).collect()}) == 1
 
@@ -31,3 +78,71 @@ def test_links_are_named_as_those_verified(spark):
     docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f")], "doc_id long, text string")
     got = near_dedup.near_duplicates(docs)
     assert "n_verified_links" in got.columns and "n_links" not in got.columns
+
+
+def test_recall_around_the_threshold(spark):
+    """Edited copies on both sides of 0.8, short texts and a shared passage: classes of all pairs."""
+    r = random.Random(21)
+    make = lambda n: [f"{r.choice('abcdefgh')}{r.randrange(400)}" for _ in range(n)]
+    passage, texts = make(60), []
+    for k in range(30):
+        base = make(r.choice([6, 8, 12, 30, 90, 200]))
+        texts.append(base)
+        for _ in range(5):
+            near = list(base)
+            for _ in range(r.randint(1, max(1, len(base) // 60))):
+                at = r.randrange(len(near))
+                near[at : at + 1] = r.choice([[], make(1), make(2)])
+            texts.append(near)
+        if k % 2:
+            texts.append([*make(r.randint(5, 30)), *passage, *make(r.randint(0, 20))])
+    texts = [" ".join(t) for t in texts]
+    want, links = classes_of(texts)
+    got = {x["doc_id"]: x["class_id"] for x in near_dedup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(len(texts))] == want and links > 30
+
+
+def test_boilerplate_is_not_aligned_with_everything(spark):
+    """Texts of 16 out of 20 shared paragraphs: what is aligned follows the links, not all pairs."""
+    r = random.Random(22)
+    paragraphs = [[f"p{i}x{r.randrange(9999)}" for _ in range(15)] for i in range(20)]
+    texts = [" ".join(w for i in sorted(r.sample(range(20), 16)) for w in paragraphs[i]) for _ in range(80)]
+    pairs = [(a, b) for i, a in enumerate(texts) for b in texts[:i]]
+    kmers = [[near_dedup.kmers_of([t.encode()])[0].tolist() for t in p] for p in pairs]
+    aligned = []
+    real = near_dedup.aligned
+    near_dedup.aligned = lambda a, b, band: aligned.append(1) or real(a, b, band)
+    try:
+        found = [near_dedup.similarity(a, b) >= 0.8 for a, b in kmers]
+    finally:
+        near_dedup.aligned = real
+    assert found == [linked(a, b) for a, b in pairs] and len(aligned) <= sum(found) + len(texts)
+
+
+def test_banded_alignment_in_narrow_bands():
+    r = random.Random(23)
+    for _ in range(300):
+        a, b = ([r.randrange(5) for _ in range(r.randint(0, 18))] for _ in range(2))
+        band = r.randint(0, 5)
+        table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                table[i + 1][j + 1] = table[i][j] + 1 if x == y and abs(i - j) <= band else max(table[i][j + 1], table[i + 1][j])
+        lead = next((k for k, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+        got = near_dedup.aligned(a, b, band)
+        assert got <= alignment(a, b) and got >= table[-1][-1] and got >= lead
+
+
+def test_signatures_pass_what_is_similar():
+    r = random.Random(24)
+    make = lambda n: [f"w{r.randrange(10**6)}" for _ in range(n)]
+    lost = passed = 0
+    for _ in range(150):
+        base = make(150)
+        near = [*base[:133], *make(17)]  # 129 of 163 shingles: just below 0.8
+        far = [*base[:60], *make(90)]
+        x, y, z = near_dedup.sketches([" ".join(t).encode() for t in (base, near, far)])[2]
+        ok = lambda p, q: ((p == q) & (p > 0)).sum() >= 0.8 * (f := ((p > 0) | (q > 0)).sum()) - near_dedup.DEVIATIONS * np.sqrt(0.16 * f)
+        lost += not ok(x, y)
+        passed += ok(x, z)
+    assert lost == 0 and passed < 5
