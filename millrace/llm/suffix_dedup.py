@@ -42,11 +42,15 @@ SHALLOW = 40
 #: Bytes of blocks that are sorted at once; a key's blocks stay together.
 SORT_BYTES = 1 << 20
 #: Contents of a key that are sorted as they are; the windows of a key with more are dealt to longer keys.
-KEY_BLOCKS = 4096
+KEY_BLOCKS = 1024
 #: Windows of a slot, by how often a key was dealt.
 SLOTS = (19, 1)
-#: Columns of a run: key, content (128 bits), first window, windows, bytes before the anchor.
+#: Blocks of hot keys that are dealt at once.
+DEAL_ROWS = 4096
+#: Columns of a run: key, content (128 bits), first window, windows, bytes before the anchor; of a block; of its repeats.
 RUN = "key long, c1 long, c2 long, start long, n int, ahead int"
+BLOCK = "key long, c1 long, c2 long, copies long, ahead int, kinds long, block binary"
+REPEATS = "key long, c1 long, c2 long, spans array<struct<o:int,k:int>>"
 
 
 def pieces_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -227,8 +231,9 @@ def sort_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def blocks_of(docs: DataFrame, contents: DataFrame) -> DataFrame:
-    """key, c1, c2, copies, ahead, block of contents (and the place of one occurrence), cut from their texts."""
-    lists = runs.by_document(contents, "key", "c1", "c2", "copies", "ahead", "start", "n")
+    """key, c1, c2, copies, ahead, kinds, block of contents (and the place of one occurrence), cut from their texts."""
+    kept = ("key", "c1", "c2", "copies", "ahead", "kinds")
+    lists = runs.by_document(contents, *kept, "start", "n")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -238,43 +243,74 @@ def blocks_of(docs: DataFrame, contents: DataFrame) -> DataFrame:
                 own = np.repeat(np.arange(hi - lo), part.column("spans").value_lengths().to_numpy(zero_copy_only=False))
                 texts = bytes_list(part.column("text"))
                 blocks = [texts[i][a : a + n + LENGTH - 1] for i, a, n in zip(own.tolist(), spans.field("start").to_pylist(), spans.field("n").to_pylist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([*(spans.field(c) for c in ("key", "c1", "c2", "copies", "ahead")), pa.array(blocks, pa.binary())], ["key", "c1", "c2", "copies", "ahead", "block"])
+                yield pa.RecordBatch.from_arrays([*(spans.field(c) for c in kept), pa.array(blocks, pa.binary())], [*kept, "block"])
 
-    return runs.with_texts(docs.select("did", "rid", "text"), lists, "inner").select("text", "spans").mapInArrow(cut, "key long, c1 long, c2 long, copies long, ahead int, block binary")
+    return runs.with_texts(docs.select("did", "rid", "text"), lists, "inner").select("text", "spans").mapInArrow(cut, BLOCK)
 
 
-def longer_keys(docs: DataFrame, hot: DataFrame, width: int) -> DataFrame:
-    """The runs of hot keys dealt to slots of ``width`` distances from the anchor, each under a longer key.
+def longer_keys(hot: DataFrame, width: int) -> DataFrame:
+    """Blocks of hot keys dealt to slots of ``width`` distances from the anchor, each under a longer key.
 
     The windows whose anchor is d bytes in, d from ``slot * width`` on, all
-    have the bytes from the last one's start to the first one's end.
+    have the bytes from the last one's start to the first one's end. Columns
+    p0, p1, p2 and o name the block that a part is of and where it starts there.
     """
-    lists = runs.by_document(hot, "key", "start", "n", "ahead")
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            did, rid = batch.column("did").to_numpy(), batch.column("rid").to_numpy()
-            for lo, hi in cuts(batch, "text", runs.CHUNK):
-                part = batch.slice(lo, hi - lo)
-                spans = pa.concat_arrays([part.column("spans")]).flatten()
-                own = np.repeat(np.arange(hi - lo), part.column("spans").value_lengths().to_numpy(zero_copy_only=False))
-                start, n, ahead, old = (np.asarray(spans.field(c)).astype(np.int64) for c in ("start", "n", "ahead", "key"))
-                # A run's windows are ahead, ahead - 1, ... bytes before the anchor.
-                top, low = ahead // width, (ahead - n + 1) // width
-                which = np.repeat(np.arange(len(own)), top - low + 1)
-                slot = top[which] - (np.arange(len(which)) - np.repeat(np.cumsum(top - low + 1) - (top - low + 1), top - low + 1))
-                first = np.minimum(ahead[which], slot * width + width - 1)
-                last = np.maximum(ahead[which] - n[which] + 1, slot * width)
-                begin, anchor = start[which] + ahead[which] - first, start[which] + ahead[which]
-                texts, who = bytes_list(part.column("text")), own[which]
-                # The slot's common bytes: from its farthest window's end back to its nearest window's start.
-                a, b = anchor - slot * width, anchor - (slot * width + width - 1) + LENGTH
-                key, _ = digests([texts[i][x:y] + b"%d" % s for i, x, y, s in zip(who.tolist(), a.tolist(), b.tolist(), slot.tolist(), strict=True)])
-                c1, c2 = digests([texts[i][x : x + k + LENGTH] for i, x, k in zip(who.tolist(), begin.tolist(), (first - last).tolist(), strict=True)])
-                cols = [key ^ old[which], c1, c2, begin, (first - last + 1).astype(np.int32), first.astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(did[lo + who]), pa.array(rid[lo + who]), *map(pa.array, cols)], ["did", "rid", "key", "c1", "c2", "start", "n", "ahead"])
-
-    return runs.with_texts(docs.select("did", "rid", "text"), lists, "inner").select("did", "rid", "text", "spans").mapInArrow(deal, f"did long, rid long, {RUN}")
+            for at in range(0, batch.num_rows, DEAL_ROWS):
+                part = batch.slice(at, DEAL_ROWS)
+                blocks = part.column("block").to_pylist()
+                p0, p1, p2, copies, ahead = (part.column(c).to_numpy() for c in ("key", "c1", "c2", "copies", "ahead"))
+                ahead, n = ahead.astype(np.int64), np.array([len(b) - LENGTH + 1 for b in blocks])
+                # A block's windows are ahead, ahead - 1, ... bytes before the anchor.
+                top, slots = ahead // width, ahead // width - (ahead - n + 1) // width + 1
+                own = np.repeat(np.arange(len(blocks)), slots)
+                slot = top[own] - (np.arange(len(own)) - np.repeat(np.cumsum(slots) - slots, slots))
+                first = np.minimum(ahead[own], slot * width + width - 1)
+                last = np.maximum(ahead[own] - n[own] + 1, slot * width)
+                o = ahead[own] - first
+                common = ahead[own] - slot * width  # where the nearest window starts; the farthest ends a width earlier than its end
+                listed = list(zip(own.tolist(), slot.tolist(), common.tolist(), strict=True))
+                key, _ = digests([blocks[i][c : c - width + 1 + LENGTH] + b"%d" % s for i, s, c in listed])
+                parts = [blocks[i][a : a + k + LENGTH] for i, a, k in zip(own.tolist(), o.tolist(), (first - last).tolist(), strict=True)]
+                c1, c2 = digests(parts)
+                cols = [key ^ p0[own], c1, c2, copies[own], first.astype(np.int32), pa.array(parts, pa.binary()), p0[own], p1[own], p2[own], o.astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in cols], ["key", "c1", "c2", "copies", "ahead", "block", "p0", "p1", "p2", "o"])
+
+    return hot.mapInArrow(deal, "key long, c1 long, c2 long, copies long, ahead int, block binary, p0 long, p1 long, p2 long, o int")
+
+
+def repeats_in(blocks: DataFrame, widths: tuple[int, ...], key_blocks: int, scratch: list[DataFrame]) -> DataFrame:
+    """key, c1, c2 and the repeated windows (offset o, number k) of blocks under keys with several contents; ``scratch`` gets the tables it reads."""
+    few = blocks.filter(F.col("kinds") <= key_blocks) if widths else blocks
+    ordered = few.select("key", "c1", "c2", "copies", "ahead", "block").repartition("key").sortWithinPartitions("key", "c1", "c2")
+    found = ordered.mapInArrow(sort_blocks, REPEATS).filter(F.size("spans") > 0)
+    hot = blocks.filter(F.col("kinds") > key_blocks)
+    if not widths or not hot.limit(1).count():
+        return found
+    parts = materialize(longer_keys(hot, widths[0]), "repeat-parts")
+    contents = materialize(parts.groupBy("key", "c1", "c2").agg(F.sum("copies").alias("copies"), F.first("ahead").alias("ahead"), F.first("block").alias("block")), "repeat-contents")
+    kinds = materialize(several(contents), "repeat-keys")
+    inner = repeats_in(contents.join(kinds, "key"), widths[1:], key_blocks, scratch)
+    scratch += [parts, contents, kinds]
+    whole = contents.join(kinds, "key", "left_anti").select("key", "c1", "c2", "copies", (F.length("block") - LENGTH + 1).alias("n"))
+    # Back to the blocks that the parts are of; one block's parts don't overlap.
+    of_parts = parts.select("key", "c1", "c2", "p0", "p1", "p2", F.col("o").alias("at"))
+    back = of_parts.join(inner.unionAll(alone(whole)), ["key", "c1", "c2"])
+    shifted = F.transform("spans", lambda x: F.struct((x["o"] + F.col("at")).alias("o"), x["k"].alias("k")))
+    back = back.groupBy("p0", "p1", "p2").agg(F.flatten(F.collect_list(shifted)).alias("spans"))
+    return found.unionAll(back.select(F.col("p0").alias("key"), F.col("p1").alias("c1"), F.col("p2").alias("c2"), "spans"))
+
+
+def several(contents: DataFrame) -> DataFrame:
+    """The keys with more than one content, and how many they have."""
+    return contents.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
+
+
+def alone(contents: DataFrame) -> DataFrame:
+    """The repeats of contents that are their key's only one: their windows differ, and each occurs as often as the content."""
+    return contents.filter("copies > 1").select("key", "c1", "c2", F.array(F.struct(F.lit(0).alias("o"), F.col("n").alias("k"))).alias("spans"))
 
 
 def finish(docs: DataFrame, spans: DataFrame, keep: bool) -> DataFrame:
@@ -320,28 +356,14 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     shared = materialize(shared, "repeat-anchors")
     met = materialize(runs.run_rows(docs, byte_runs, RUN).join(shared, "key", "left_semi"), "repeat-runs")
     discard(shared)
-    found = []
-    for width in (*SLOTS, None):
-        place = F.min(F.struct("did", "rid", "start", "n", "ahead")).alias("at")
-        contents = materialize(met.groupBy("key", "c1", "c2").agg(F.count(F.lit(1)).alias("copies"), place), "repeat-contents")
-        kinds = materialize(contents.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1"), "repeat-keys")
-        few, many = (kinds.filter(F.col("kinds") <= key_blocks), kinds.filter(F.col("kinds") > key_blocks)) if width else (kinds, kinds.limit(0))
-        mixed = contents.join(few.select("key"), "key", "left_semi").select("key", "c1", "c2", "copies", "at.*")
-        ordered = blocks_of(docs, mixed).repartition("key").sortWithinPartitions("key", "c1", "c2")
-        by_order = ordered.mapInArrow(sort_blocks, "key long, c1 long, c2 long, spans array<struct<o:int,k:int>>").filter(F.size("spans") > 0)
-        # A key with one content needs no order: its windows differ, and each occurs as often as the content.
-        alone = contents.filter("copies > 1").join(kinds.select("key"), "key", "left_anti")
-        whole = F.array(F.struct(F.lit(0).alias("o"), F.col("at.n").alias("k")))
-        repeats = materialize(by_order.unionAll(alone.select("key", "c1", "c2", whole.alias("spans"))), "repeat-blocks")
-        spans = met.join(repeats, ["key", "c1", "c2"]).select("did", "rid", "start", F.inline("spans"))
-        found.append(materialize(spans.select("did", "rid", (F.col("start") + F.col("o")).alias("start"), F.col("k").alias("n")), "repeat-spans"))
-        hot = many.limit(1).count()
-        dealt = materialize(longer_keys(docs, met.join(many.select("key"), "key", "left_semi"), width), "repeat-runs") if hot else None
-        discard(met, contents, kinds, repeats)
-        if not hot:
-            break
-        met = dealt
-    spans = found[0]
-    for more in found[1:]:
-        spans = spans.unionAll(more)
+    place = F.min(F.struct("did", "rid", "start", "n", "ahead")).alias("at")
+    contents = materialize(met.groupBy("key", "c1", "c2").agg(F.count(F.lit(1)).alias("copies"), place).select("key", "c1", "c2", "copies", "at.*"), "repeat-contents")
+    kinds = materialize(several(contents), "repeat-keys")
+    blocks = materialize(blocks_of(docs, contents.join(kinds, "key")), "repeat-blocks")
+    scratch = [met, contents, kinds, blocks]
+    repeats = repeats_in(blocks, SLOTS, key_blocks, scratch).unionAll(alone(contents.join(kinds, "key", "left_anti")))
+    repeats = materialize(repeats, "repeats")
+    spans = met.join(repeats, ["key", "c1", "c2"]).select("did", "rid", "start", F.inline("spans"))
+    spans = materialize(spans.select("did", "rid", (F.col("start") + F.col("o")).alias("start"), F.col("k").alias("n")), "repeat-spans")
+    discard(*scratch, repeats)
     return finish(docs, spans, keep)
