@@ -1,14 +1,17 @@
 """Secret scans: fixed patterns, and a linear-chain conditional random field over words.
 
 The field tags every word as begin, inside or outside of a secret from its
-shape, the words before it and features of its file. It learns from the spans
-of the fixed patterns in a bounded sample of texts, and is decoded by Viterbi.
-Its spans are added to those of the patterns where they don't overlap them.
+shape, the words before it and features of its file. It learns from a bounded
+sample of the texts: the spans of the fixed patterns in them, and secrets of
+shapes that the patterns miss, planted among their words together with
+look-alikes that are none. It is decoded by Viterbi; its spans are added to
+those of the patterns where they don't overlap them.
 """
 
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import zlib
 from dataclasses import dataclass
@@ -18,23 +21,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import map_texts, materialize, rows_of
+from millrace.llm import planted
+from millrace.llm.common import discard, fresh, map_texts, materialize, rows_of
 
 KINDS = ("assign", "access", "hex", "crf")
 ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I)
 ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 HEX = re.compile(rb"[0-9a-f]{24,}")
+WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 #: Some part of every ``ASSIGN`` match, lower case.
 ASSIGN_HINTS = (b"passw", b"secret", b"token", b"api")
 #: The union of the patterns for Spark's own engine, only to find texts to learn from.
 ANY_PATTERN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]|AKIA[A-Z0-9]{16}|[0-9a-f]{24}"""
 
 #: Texts to learn from: with and without a match, smallest hashes first.
-SAMPLE_WITH, SAMPLE_WITHOUT = 400, 200
-#: Words kept around a learned secret, and sequences of words without one per text.
-CONTEXT, PLAIN_WORDS = 20, 60
-#: Stretches of so many words from each long text without a secret.
-PLAIN_STRETCHES = 3
+SAMPLE_WITH, SAMPLE_WITHOUT = 400, 300
+#: Words kept on either side of a learned secret; secrets learned from one text, at hash-random ones of all of it.
+CONTEXT, MARKS = 20, 4
+#: Stretches of so many words, at hash-random places, from each text without a match, as it is; times that it is
+#: planted, and look-alikes for each planted secret.
+STRETCH, STRETCHES, PLANTED, ALIKES = 60, 3, 2, 3
 EPOCHS, RATE, DECAY = 60, 0.5, 1e-4
 #: Shortest span of the field, in bytes.
 MIN_BYTES = 6
@@ -159,32 +165,53 @@ class Field:
         return tags
 
 
-def plain_places(text: bytes, n: int) -> list[int]:
-    """First words of the stretches taken from a text of ``n`` words: the whole of a short one, else hash-random places of all of it."""
-    if n <= PLAIN_WORDS:
-        return [0]
-    return sorted({zlib.crc32(text, k + 1) % (n - PLAIN_WORDS + 1) for k in range(PLAIN_STRETCHES)})
-
-
-def training_sequences(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(features, tags) of the words around the secrets of each text, and of stretches of those without one."""
-    out = []
-    for text in texts:
-        buf, at, start, end, owner = words([text])
-        feats, tags = features(buf, at, start, end, owner), np.zeros(len(start), np.int64)
-        marks = []
-        for lo, hi, kind in base_spans(text):
-            if kind == 0:
-                lo = hi - len(ASSIGN.match(text, lo)[2])
-            i, j = np.searchsorted(end, lo, "right"), np.searchsorted(start, hi)
-            if j > i:
-                tags[i], tags[i + 1 : j] = B, I
-                marks.append((max(0, i - CONTEXT), min(len(start), j + CONTEXT)))
-        for lo, hi in marks:
-            out.append((feats[lo:hi], tags[lo:hi]))
-        if not marks and len(start):
-            for lo in plain_places(text, len(start)):
-                out.append((feats[lo : lo + PLAIN_WORDS], tags[lo : lo + PLAIN_WORDS]))
+def hash_places(text: bytes, n: int, k: int, salt: int) -> list[int]:
+    """At most ``k`` places out of ``n``, all of them if there are no more."""
+    if n <= k:
+        return list(range(n))
+    return sorted({zlib.crc32(text, salt + j) % n for j in range(k)})
+
+
+Sequence = tuple[np.ndarray, np.ndarray]
+
+
+def tagged(text: bytes, spans: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
+    """(features, tags, first and last word and one of each span) of a text with secrets at ``spans``."""
+    buf, at, start, end, owner = words([text])
+    feats, tags, marks = features(buf, at, start, end, owner), np.zeros(len(start), np.int64), []
+    for lo, hi in spans:
+        i, j = int(np.searchsorted(end, lo, "right")), int(np.searchsorted(start, hi))
+        if j > i:
+            tags[i], tags[i + 1 : j] = B, I
+            marks.append((i, j))
+    return feats, tags, marks
+
+
+def around(feats: np.ndarray, tags: np.ndarray, i: int, j: int) -> Sequence:
+    lo, hi = max(0, i - CONTEXT), min(len(tags), j + CONTEXT)
+    return feats[lo:hi], tags[lo:hi]
+
+
+def training_sequences(text: bytes) -> list[Sequence]:
+    """What a text teaches: the words around its secrets, or, without one, stretches of it as they are and planted ones."""
+    base = [(hi - len(ASSIGN.match(text, lo)[2]) if kind == 0 else lo, hi) for lo, hi, kind in base_spans(text)]
+    feats, tags, marks = tagged(text, base)
+    if marks:
+        return [around(feats, tags, *marks[k]) for k in hash_places(text, len(marks), MARKS, 1)]
+    n = len(tags)
+    out = [(feats[k : k + STRETCH], tags[k : k + STRETCH]) for k in hash_places(text, max(1, n - STRETCH + 1), STRETCHES, 1)] if n else []
+    for lo in hash_places(text, n + 1, PLANTED, 2):
+        r, cuts = random.Random(zlib.crc32(text, lo + 3)), [m.start() for m in WORD.finditer(text)]
+        place = cuts[lo] if lo < n else len(text)
+        new, secret = planted.with_secret(r)
+        after: list[str] = []
+        for _ in range(ALIKES):
+            after += planted.alike(r)
+        before, own = (" ".join([*x, ""]).encode() for x in (planted.alike(r) + new[: len(new) - secret], new[len(new) - secret :]))
+        at = place + len(before) + 1
+        made = text[:place] + b" " + before + own + " ".join([*after, ""]).encode() + text[place:]
+        feats, tags, marks = tagged(made, [(at, at + len(own) - 1)])
+        out += [around(feats, tags, i, j) for i, j in marks]
     return out
 
 
@@ -230,23 +257,33 @@ def fit(sequences: list[tuple[np.ndarray, np.ndarray]]) -> Field:
     return field
 
 
-def sample_texts(df: DataFrame, text_col: str, with_match: int = SAMPLE_WITH, without: int = SAMPLE_WITHOUT) -> list[bytes]:
-    """At most ``with_match`` + ``without`` distinct texts to learn from, of the smallest hashes.
+def sample_sequences(df: DataFrame, text_col: str, with_match: int = SAMPLE_WITH, without: int = SAMPLE_WITHOUT) -> list[Sequence]:
+    """What at most ``with_match`` + ``without`` distinct texts teach, those of the smallest hashes.
 
-    Hashes choose first, so that only chosen texts come to the driver, not a
-    sample of texts from every partition.
+    Hashes choose first. Features and tags are computed where the texts are, so
+    what comes to the driver is bounded whatever the lengths of texts: per text
+    at most MARKS or STRETCHES + PLANTED sequences.
     """
     rows = df.select(F.col(f"`{text_col}`").alias("text")).filter("text is not null").withColumn("h", F.xxhash64("text", F.lit(9)))
     seen = materialize(rows.groupBy("h").agg(F.max(F.col("text").rlike(ANY_PATTERN)).alias("hit")), "secret-hashes")
     chosen = [r.h for want, n in (("hit", with_match), ("not hit", without)) for r in seen.filter(want).orderBy("h").limit(n).select("h").collect()]
+    discard(seen)
     if not chosen:
         return []
-    got = rows.filter(F.col("h").isin(chosen)).groupBy("h").agg(F.min("text").alias("text"))
-    return [r.text.encode() for r in got.orderBy("h").collect()]
+
+    def teach(texts: list[bytes], cols: dict[str, pa.Array]) -> dict[str, object]:
+        got = [[(f.astype(np.int32).tobytes(), t.astype(np.int8).tobytes()) for f, t in training_sequences(x)] for x in texts]
+        return {"h": cols["h"], "learned": pa.array([[{"f": f, "t": t} for f, t in g] for g in got], pa.list_(pa.struct([("f", pa.binary()), ("t", pa.binary())])))}
+
+    got = map_texts(rows.filter(F.col("h").isin(chosen)), "h long, learned array<struct<f:binary,t:binary>>", teach)
+    # Copies teach the same.
+    found = got.groupBy("h").agg(F.min("learned").alias("learned")).orderBy("h").collect()
+    return [(np.frombuffer(x.f, np.int32).reshape(-1, len(GROUPS)), np.frombuffer(x.t, np.int8).astype(np.int64)) for r in found for x in r.learned]
 
 
 def train(df: DataFrame, text_col: str = "text") -> Field:
-    return fit(training_sequences(sample_texts(df, text_col)))
+    """The field that ``df``'s texts teach; without texts (an empty table, nulls only) one that tags nothing."""
+    return fit(sample_sequences(df, text_col))
 
 
 def all_spans(texts: list[bytes], field: Field) -> tuple[list[list[tuple[int, int, int]]], list[list[tuple[int, int, int]]]]:
@@ -310,11 +347,12 @@ def scan_secrets(df: DataFrame, field: Field | None = None, id_col: str = "doc_i
 def redact(df: DataFrame, field: Field | None = None, text_col: str = "text", mark: str = "[secret]") -> DataFrame:
     """``df`` with every span of its texts replaced by ``mark``; overlapping spans are replaced as one.
 
-    Rows without a span, null texts included, are left as they are.
+    Rows without a span, null and empty texts included, are left as they are,
+    repeated rows alike. Further columns may have any names.
     """
     field = field or train(df, text_col)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    token = mark.encode()
+    token, (gone,) = mark.encode(), fresh(df, "gone")
 
     def clean(text: bytes, spans: list[tuple[int, int, int]]) -> bytes:
         out, at = [], 0
@@ -326,8 +364,8 @@ def redact(df: DataFrame, field: Field | None = None, text_col: str = "text", ma
 
     def run(texts: list[bytes], cols: dict[str, pa.Array]) -> dict[str, object]:
         base, more = all_spans(texts, field)
-        nulls = cols["__null"].to_pylist()
+        nulls = cols[gone].to_pylist()
         done = [None if null else clean(t, b + m).decode() for t, b, m, null in zip(texts, base, more, nulls, strict=True)]
         return {**cols, text_col: done}
 
-    return map_texts(df.withColumn("__null", F.col(f"`{text_col}`").isNull()), schema, run, text_col)
+    return map_texts(df.withColumn(gone, F.col(f"`{text_col}`").isNull()), schema, run, text_col)
