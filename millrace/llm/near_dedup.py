@@ -39,8 +39,8 @@ LARGE, SMALL = (32, 4, 16, 1 << 62), (16, 2, 1, 20)
 #: Bins of a signature: each keeps a byte of the least hash of its k-mers. Texts of similarity 0.8 agree in
 #: 0.8 of the filled bins; pairs DEVIATIONS standard deviations below are not compared further (less than 2e-6 of links).
 BINS, DEVIATIONS = 128, 5.0
-#: Leaders of a bucket in the first rounds: buckets of up to ten members are settled by them.
-LEADERS = (1, 8)
+#: Leaders of a bucket in the first rounds: one, so that what is compared stays below the members of all buckets.
+LEADERS = (1,)
 
 
 def bounds(n: np.ndarray, k: int) -> np.ndarray:
