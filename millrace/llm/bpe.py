@@ -1,18 +1,24 @@
 """Byte-level BPE by a rank file: encoding as a tree of joins, decoding as a tree of concatenations.
 
-Encodings of neighbouring texts form a monoid. ``Codec.encode`` encodes the
-halves of a text and joins them; a join re-encodes a window around the seam,
-doubled until both of its edges lie on a *safe cut*: a place between a letter
-and a space with a letter after it. Whatever stands on either side, the
-pattern ends one match there and starts another (its letter runs end before a
-space, and a space with a letter after it can only open a match), and merges
-stay inside a match. So tokens outside such a window cannot change.
+Encodings of neighbouring stretches form a monoid: the halves are encoded and
+joined by re-encoding a window around the seam, which grows until the tokens
+outside cannot change. What proves that differs by level:
+
+* Inside a match of the pattern, a sequence of tokens is the encoding of its
+  bytes if and only if every two neighbours are the encoding of their own
+  bytes. So a window is wide enough when both of its seams are such pairs.
+* Between matches, a window is wide enough when both of its edges lie on a
+  *safe cut*, a place between a letter and a space with a letter after it.
+  Whatever stands on either side, the pattern ends one match there and starts
+  another (its letter runs end before a space, and a space with a letter after
+  it can only open a match), and merges stay inside a match.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import heapq
 import re
 from collections.abc import Iterator
 
@@ -23,8 +29,14 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import cuts, rows_of
 
-#: Characters up to which a text is a leaf of the tree.
-LEAF_CHARS = 4096
+#: Bytes of a match up to which merges are taken one by one, and characters of a text that are split into matches at once.
+LEAF_BYTES, LEAF_CHARS = 16, 4096
+#: Tokens on either side of a seam that the first window of a match covers.
+FIRST_TOKENS = 2
+#: Tokens of a window beyond which a match is merged as one.
+MOST_TOKENS = 512
+#: Matches that a worker remembers.
+REMEMBERED = 1 << 18
 #: Characters on either side of a seam that the first window covers.
 FIRST_WINDOW = 64
 #: ASCII letters only: safe for any pattern in which they are letters.
@@ -32,15 +44,19 @@ SAFE_CUT = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
 
 
 class Codec:
-    def __init__(self, ranks: dict[bytes, int], pattern: str, leaf_chars: int = LEAF_CHARS):
-        import tiktoken
+    def __init__(self, ranks: dict[bytes, int], pattern: str, leaf_chars: int = LEAF_CHARS, leaf_bytes: int = LEAF_BYTES):
+        import regex
 
-        self.leaf_chars = leaf_chars
-        self.leaf = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.leaf_chars, self.leaf_bytes = leaf_chars, leaf_bytes
+        self.ranks = ranks
+        compiled = regex.compile(pattern)
+        self.matches = compiled.findall if not compiled.groups else lambda text: [m[0] for m in compiled.finditer(text)]
         self.bytes_of = [b""] * (max(ranks.values()) + 1)
         for k, v in ranks.items():
             self.bytes_of[v] = k
         self.decimal = [str(i) for i in range(len(self.bytes_of))]
+        self.known: dict[str, list[int]] = {}
+        self.pairs: dict[tuple[int, int], bool] = {}
 
     @classmethod
     def load(cls, path: str, pattern: str) -> Codec:
@@ -50,9 +66,84 @@ class Codec:
     def encode(self, text: str) -> list[int]:
         return self.tree(text, 0, len(text))
 
+    def leaf(self, text: str) -> list[int]:
+        """Ids of a text, match by match."""
+        ids, known = [], self.known
+        for word in self.matches(text):
+            try:
+                ids += known[word]
+            except KeyError:
+                ids += self.match(word)
+        return ids
+
+    def match(self, word: str) -> list[int]:
+        """Ids of one match; a token where the whole of it is one."""
+        raw = word.encode()
+        got = [self.ranks[raw]] if raw in self.ranks else self.merged(raw)
+        if got is None:  # no seam of it settles, as in a long run of one character
+            got = self.merges(raw)
+        if len(word) <= 64:
+            if len(self.known) >= REMEMBERED:
+                self.known.clear()
+            self.known[word] = got
+        return got
+
+    def merged(self, raw: bytes) -> list[int] | None:
+        """Ids of a match, or of any bytes without a break in them: halves, joined. None if a window outgrows both halves of many."""
+        if len(raw) <= self.leaf_bytes:
+            return self.merges(raw)
+        mid = len(raw) // 2
+        left = self.merged(raw[:mid])
+        right = self.merged(raw[mid:]) if left is not None else None
+        width = FIRST_TOKENS
+        while right is not None:
+            a, b = max(0, len(left) - width), min(len(right), width)
+            window = b"".join(map(self.bytes_of.__getitem__, left[a:] + right[:b]))
+            middle = self.merges(window)
+            if (a == 0 or self.fits(left[a - 1], middle[0])) and (b == len(right) or self.fits(middle[-1], right[b])):
+                return left[:a] + middle + right[b:]
+            if width > MOST_TOKENS:
+                return None
+            width *= 2
+        return None
+
+    def merges(self, raw: bytes) -> list[int]:
+        """The merge of least rank, leftmost first, until none is left; neighbours in linked lists, merges in a heap."""
+        n = len(raw)
+        end, before, after = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
+        rank = self.ranks.get
+        heap = [(r, i, i + 2) for i in range(n - 1) if (r := rank(raw[i : i + 2])) is not None]
+        heapq.heapify(heap)
+        while heap:
+            _, i, stop = heapq.heappop(heap)
+            j = end[i]
+            if j == 0 or j >= n or end[j] != stop:  # either part has been merged since
+                continue
+            end[i], end[j] = stop, 0
+            after[i] = after[j]
+            if after[i] < n:
+                before[after[i]] = i
+                if (r := rank(raw[i : end[after[i]]])) is not None:
+                    heapq.heappush(heap, (r, i, end[after[i]]))
+            if before[i] >= 0 and (r := rank(raw[before[i] : stop])) is not None:
+                heapq.heappush(heap, (r, before[i], stop))
+        ids, i = [], 0
+        while i < n:
+            ids.append(self.ranks[raw[i : end[i]]])
+            i = end[i]
+        return ids
+
+    def fits(self, a: int, b: int) -> bool:
+        """Whether two tokens side by side are the encoding of their bytes."""
+        if (a, b) not in self.pairs:
+            if len(self.pairs) >= REMEMBERED:
+                self.pairs.clear()
+            self.pairs[a, b] = self.merges(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
+        return self.pairs[a, b]
+
     def tree(self, text: str, lo: int, hi: int) -> list[int]:
         """Ids of text[lo:hi]."""
-        if hi - lo <= self.leaf_chars:
+        if hi - lo <= self.leaf_chars or not SAFE_CUT.search(text, lo, hi):
             return self.leaf(text[lo:hi])
         mid = (lo + hi) // 2
         return self.join(text, lo, mid, hi, self.tree(text, lo, mid), self.tree(text, mid, hi))
