@@ -397,30 +397,28 @@ def feature(tensor: np.ndarray) -> str:
 
 
 def media_column(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
-    """doc_id, digests of payload and stored form, feature; with ``keep`` also media and the RGB tensor.
+    """doc_id, digests of payload and stored form, feature, the RGB tensor and its shape; with ``keep`` also the media.
 
     Null text is the empty payload, 64 zero bytes. The length of a text is
     bounded only by a JPEG's sides (6 GB). Every row by itself: repeated rows,
     null ids and empty tables need no special case.
     """
     docs = rows_of(df, id_col, text_col)
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, tensor binary, tensor_shape array<int>"
     if keep:
-        schema += ", media binary, tensor binary, tensor_shape array<int>"
+        schema += ", media binary"
 
     def run(texts: list[bytes], cols: dict[str, pa.Array]) -> dict[str, object]:
-        out: dict[str, list] = {k: [] for k in ("n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "media", "tensor", "tensor_shape")}
+        out: dict[str, list] = {k: [] for k in ("n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "tensor", "tensor_shape", "media")}
         for text in texts:
             media = encode(pad(text))
             frame = decode(media)
             back, tensor = payload_of(frame), rgb(frame)
-            row = (len(text), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-64:]), len(media), hashlib.sha256(media).hexdigest(), feature(tensor))
+            row = (len(text), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-64:]), len(media), hashlib.sha256(media).hexdigest(), feature(tensor), tensor.tobytes(), list(tensor.shape))
             for k, v in zip(out, row, strict=False):
                 out[k].append(v)
             if keep:
                 out["media"].append(media)
-                out["tensor"].append(tensor.tobytes())
-                out["tensor_shape"].append(list(tensor.shape))
         return {"doc_id": cols["doc_id"], **out}
 
     return map_texts(docs, schema, run)

@@ -11,13 +11,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import WORD_PATTERN, materialize
+from millrace.llm.common import WORD_PATTERN, fresh, materialize
 
 WEIGHTS = (5, 2, 1)
 BUDGET_PERCENT = 150
 MAX_EPOCHS = 2
-#: Hash ranges per source: a source's order is sorted range by range, so a hot source spreads over so many tasks.
-RANGES = 1024
+#: Rows that a range of hash keys has on average over all sources; a source's order is sorted range by range, so
+#: even one that holds all rows spreads over as many tasks as they ask for.
+RANGE_ROWS = 1 << 15
 
 
 def word_count(text: Column) -> Column:
@@ -58,7 +59,7 @@ def mix_sources(
     weights: tuple[int, ...] = WEIGHTS,
     budget_percent: int = BUDGET_PERCENT,
     max_epochs: int = MAX_EPOCHS,
-    ranges: int = RANGES,
+    range_rows: int = RANGE_ROWS,
     seed: int = 17,
 ) -> DataFrame:
     """One row per input row: doc_id, size, source_size, target, taken, row_key.
@@ -76,7 +77,9 @@ def mix_sources(
         F.xxhash64(F.lit(seed), F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).alias("row_key"),
     )
     # The narrow table is read three times; the texts only once.
-    sizes = materialize(sizes, "mix-sizes").withColumn("rng", F.pmod(F.shiftright("row_key", 20), F.lit(ranges)))
+    sizes = materialize(sizes, "mix-sizes")
+    bits = max(1, (sizes.count() // range_rows).bit_length())
+    sizes = sizes.withColumn("rng", F.shiftright("row_key", 64 - bits))  # the leading bits: ranges in the order of keys
     ranged = sizes.groupBy("source", "rng").agg(F.sum("size").alias("range_size"))
     ranged = materialize(ranged, "mix-ranges")
     targets = source_targets(ranged.groupBy("source").agg(F.sum("range_size").alias("source_size")), weights, budget_percent, max_epochs)
@@ -103,22 +106,25 @@ def mixed_documents(df: DataFrame, seed: int = 17, **options) -> DataFrame:
     """The mix itself, in the columns of ``documents``: whole copies, and a word prefix at a source's cut.
 
     Rows with nothing taken go. Null or empty texts have no words and take no
-    part. The cut is the feature: it ends a source at its exact budget.
+    part. The cut is the feature: it ends a source at its exact budget. Rows
+    equal in id and text share their words evenly; words that can't be shared
+    so, fewer than there are such rows, are left out. Further columns may have
+    any names.
     """
     plan = mix_sources(df, seed=seed, **options)
-    takes = plan.select(F.col("doc_id").alias("p_id"), F.col("row_key").alias("p_key"), F.col("size").alias("p_size"), "taken").filter("taken > 0")
-    # Equal rows have equal keys: their words are summed and dealt out evenly over the copies there are.
-    takes = takes.groupBy("p_id", "p_key", "p_size").agg(F.sum("taken").alias("p_taken"), F.count(F.lit(1)).alias("p_rows"))
-    named = df.withColumn("row_key", F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")))
-    joined = named.join(takes, named["doc_id"].eqNullSafe(takes["p_id"]) & (F.col("row_key") == F.col("p_key")))
-    each = F.floor(F.col("p_taken") / F.col("p_rows"))
+    p_id, p_key, p_size, p_taken, p_rows, key, take = fresh(df, "p_id", "p_key", "p_size", "p_taken", "p_rows", "row_key", "n_take")
+    takes = plan.select(F.col("doc_id").alias(p_id), F.col("row_key").alias(p_key), F.col("size").alias(p_size), "taken").filter("taken > 0")
+    takes = takes.groupBy(p_id, p_key, p_size).agg(F.sum("taken").alias(p_taken), F.count(F.lit(1)).alias(p_rows))
+    named = df.withColumn(key, F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")))
+    joined = named.join(takes, F.col("doc_id").eqNullSafe(F.col(p_id)) & (F.col(key) == F.col(p_key)))
+    each = F.floor(F.col(p_taken) / F.col(p_rows))
     counts = F.transform(
-        F.sequence(F.lit(1), F.ceil(each / F.col("p_size")).cast("int")),
-        lambda i: F.least(F.col("p_size"), each - (i - 1) * F.col("p_size")),
+        F.sequence(F.lit(1), F.ceil(each / F.col(p_size)).cast("int")),
+        lambda i: F.least(F.col(p_size), each - (i - 1) * F.col(p_size)),
     )
     words = F.regexp_extract_all("text", F.lit("(" + WORD_PATTERN + ")"), F.lit(1))
-    cut = F.when(F.col("n_take") == F.col("p_size"), F.col("text")).otherwise(F.array_join(F.slice(words, 1, F.col("n_take").cast("int")), " "))
-    out = joined.filter(each > 0).withColumn("n_take", F.explode(counts)).withColumn("text", cut)
+    cut = F.when(F.col(take) == F.col(p_size), F.col("text")).otherwise(F.array_join(F.slice(words, 1, F.col(take).cast("int")), " "))
+    out = joined.filter(each > 0).withColumn(take, F.explode(counts)).withColumn("text", cut)
     if "n_chars" in df.columns:
         out = out.withColumn("n_chars", F.char_length("text").cast("long"))
-    return out.select(*df.columns)
+    return out.select(*[F.col(f"`{c}`") for c in df.columns])

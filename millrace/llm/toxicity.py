@@ -321,9 +321,13 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return Model(costs, weights, bias)
 
 
-def score(df: DataFrame, model: Model, text_col: str = "text", restored: bool = False) -> DataFrame:
-    """``df`` with ``toxic_score`` (and ``restored_text``). Null and empty texts get the model's base score."""
-    extra = [("toxic_score", "double", pa.float64())] + [("restored_text", "string", pa.string())] * restored
+def score(df: DataFrame, model: Model, text_col: str = "text", restored: bool = False, score_col: str = "toxic_score") -> DataFrame:
+    """``df`` with ``score_col`` (and ``restored_text``), in place of columns that have these names already.
+
+    Null and empty texts get the model's base score, repeated rows the same; an empty table stays empty.
+    """
+    extra = [(score_col, "double", pa.float64())] + [("restored_text", "string", pa.string())] * restored
+    df = df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in {n.lower() for n, _, _ in extra}])
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema] + [f"{n} {t}" for n, t, _ in extra])
     vocabulary = set(model.weights)
 

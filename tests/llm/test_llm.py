@@ -153,7 +153,7 @@ def test_language_id(spark, docs, nothing):
 
 
 def test_media(docs, nothing):
-    for d, n, p, sha, tail, m, msha, feature, stored, tensor, shape in media.media_column(docs, keep=True).collect():
+    for d, n, p, sha, tail, m, msha, feature, tensor, shape, stored in media.media_column(docs, keep=True).collect():
         frame = media.decode(bytes(stored), fast=False)
         back = media.payload_of(frame)
         assert hashlib.sha256(back).hexdigest() == sha and len(back) == p and p % 64 == 0 < p and zlib.crc32(back[-64:]) == tail
@@ -164,6 +164,28 @@ def test_media(docs, nothing):
     assert media.media_column(nothing).count() == 0
 
 
+def test_media_pixels_by_the_definition():
+    """Inverse DCT and chroma upsampling against sums over all coefficients, pixel by pixel."""
+    import math
+
+    import numpy as np
+
+    frame = media.decode(media.encode(media.pad(bytes(random.Random(11).randrange(256) for _ in range(700)))))
+    got = media.rgb(frame)
+    zigzag = media.ZIGZAG.tolist()
+    scale = lambda k: math.sqrt(0.5) if k == 0 else 1.0
+
+    def sample(c, y, x):
+        block = frame.planes[c][y // 8, x // 8]
+        return sum(scale(z // 8) * scale(z % 8) / 4 * int(block[k]) * math.cos((2 * (y % 8) + 1) * (z // 8) * math.pi / 16) * math.cos((2 * (x % 8) + 1) * (z % 8) * math.pi / 16) for k, z in enumerate(zigzag))
+
+    for y, x in [(0, 0), (3, 9), (15, 15), (7, 12), (got.shape[0] - 1, got.shape[1] - 1), (8, 1), (1, 8)]:
+        luma, cb, cr = sample(0, y, x) + 128, sample(1, y // 2, x // 2), sample(2, y // 2, x // 2)
+        want = [luma + 1.402 * cr, luma - 0.344136 * cb - 0.714136 * cr, luma + 1.772 * cb]
+        assert all(abs(int(g) - min(255, max(0, w))) <= 1 for g, w in zip(got[y, x], want, strict=True))
+    assert got.dtype == np.uint8 and zigzag[:6] == [0, 1, 8, 16, 9, 2]
+
+
 def test_toxicity(spark, docs, nothing):
     r = random.Random(5)
     clean = ["house", "river", "garden", "window", "letter", "music"]
