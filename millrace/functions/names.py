@@ -35,19 +35,37 @@ def data_id(value: Column) -> Column:
     return F.nullif(F.substring(F.regexp_replace(value, r"[^A-Za-z0-9_.\-]", "_"), 1, 128), F.lit(""))
 
 
+def dashed(value: Column) -> Column:
+    """Runs of other characters become one dash, none at the ends. Every slug is a prefix of it."""
+    return F.trim(F.regexp_replace(value, r"[^A-Za-z0-9._\-]+", "-"), F.lit("-"))
+
+
 def slug(value: Column, size: int) -> Column:
-    """Runs of other characters become one dash, none at the ends."""
-    dashed = F.regexp_replace(value, r"[^A-Za-z0-9._\-]+", "-")
-    return F.substring(F.regexp_replace(dashed, r"^-+|-+$", ""), 1, size)
+    return F.substring(dashed(value), 1, size)
 
 
 def run_name(value: Column) -> Column:
-    return F.coalesce(F.nullif(slug(value, 80), F.lit("")), F.lit("parse"))
+    return run_name_of(dashed(value))
+
+
+def run_name_of(d: Column) -> Column:
+    """``run_name`` from a ``dashed`` column."""
+    return F.coalesce(F.nullif(F.substring(d, 1, 80), F.lit("")), F.lit("parse"))
+
+
+def run_id(value: Column, ts: Column, tag: Column) -> Column:
+    """Name, time and four hex digits of a run."""
+    return F.concat_ws("_", run_name(value), stamp(ts), F.lower(F.substring(tag, 1, 4)))
 
 
 def file_name(value: Column) -> Column:
     """Null where nothing usable is left."""
-    s = slug(value, 120)
+    return file_name_of(dashed(value))
+
+
+def file_name_of(d: Column) -> Column:
+    """``file_name`` from a ``dashed`` column."""
+    s = F.substring(d, 1, 120)
     return F.when(~s.isin("", ".", ".."), s)
 
 
@@ -64,7 +82,8 @@ def is_directory(name: Column, external_attr: Column) -> Column:
 
 
 def servable(rel: Column) -> Column:
-    """Whether a relative artifact path may be served."""
+    """Whether a relative artifact path may be served; either slash parts it."""
+    rel = F.replace(rel, F.lit("\\"), F.lit("/"))
     return F.coalesce((rel != "") & ~rel.contains("..") & ~rel.startswith("/"), F.lit(False))
 
 

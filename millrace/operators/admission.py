@@ -90,6 +90,22 @@ def url_request(df: DataFrame) -> Column:
     return F.to_json(F.struct(*fields, names.data_id(F.col("data_id")).alias("data_id"), F.nullif(F.col("page_ranges"), F.lit("")).alias("page_ranges"), extra.alias("extra_formats"), F.lit(True).alias("no_cache")))
 
 
+def refused_calls(df: DataFrame, call: str = "call", most: int = CALL_LIMIT) -> DataFrame:
+    """call, n_items and the refusal of calls without sources for the service or with more than ``most``: a call is refused whole."""
+    n = df.groupBy(call).agg(F.count(F.lit(1)).alias("n_items"))
+    return n.filter(F.col("n_items") > most).select(call, "n_items", F.lit("BATCH_TOO_LARGE").alias("refusal"))
+
+
+def forced_model(ext: Column, model: Column) -> Column:
+    """Whether the extension changes the model that was asked for."""
+    return model_for(ext, model) != model
+
+
+def paired(df: DataFrame, items: str = "items", links: str = "links") -> DataFrame:
+    """One row for each item with the upload link at the same place; the service answers in the order of the request."""
+    return df.select("*", F.inline(F.arrays_zip(F.col(items).alias("item"), F.col(links).alias("link")))).drop(items, links)
+
+
 def batch_requests(chunked: DataFrame, by: list[str]) -> DataFrame:
     """One body per chunk, items in order; a chunk has at most ``BATCH_LIMITS`` items."""
     item = F.struct("in_chunk", F.struct("url", "data_id").alias("item"))

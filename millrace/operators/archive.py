@@ -48,13 +48,17 @@ def directory(data: bytes) -> list[Entry]:
         raise ArchiveError("UNSUPPORTED", "several disks")
     if total == 0xFFFF or size == 0xFFFFFFFF or offset == 0xFFFFFFFF:
         raise ArchiveError("UNSUPPORTED", "64-bit archive")
-    out, at = [], offset
+    out, at, stop = [], offset, offset + size
+    if stop > end:
+        raise ArchiveError("CORRUPT", "directory outside the file")
     for _ in range(total):
-        if data[at : at + 4] != b"PK\x01\x02" or at + 46 > len(data):
+        if at + 46 > stop or data[at : at + 4] != b"PK\x01\x02":
             raise ArchiveError("CORRUPT", "bad directory record")
         flags, method = struct.unpack_from("<HH", data, at + 8)
         crc, packed, plain, n, extra, comment = struct.unpack_from("<IIIHHH", data, at + 16)
         attr, local = struct.unpack_from("<II", data, at + 38)
+        if at + 46 + n + extra + comment > stop:
+            raise ArchiveError("CORRUPT", "directory record is cut")
         if 0xFFFFFFFF in (packed, plain, local):
             raise ArchiveError("UNSUPPORTED", "64-bit entry")
         out.append(Entry(data[at + 46 : at + 46 + n].decode("utf-8", "replace"), method, flags, packed, plain, local, crc, attr))
@@ -95,29 +99,39 @@ def content(data: bytes, e: Entry) -> bytes:
 
 def extract(data: bytes, max_entries: int = MAX_ENTRIES, max_entry: int = MAX_ENTRY_BYTES, max_total: int = MAX_TOTAL_BYTES) -> Iterator[tuple[str, bytes]]:
     """(relative name, content) of the files; the first bad entry is an error for the archive."""
-    entries, total = directory(data), 0
+    for name, e in admitted(directory(data), max_entries, max_entry, max_total):
+        yield name, content(data, e)
+
+
+#: What an entry must not be, in the order of the checks.
+REFUSALS = (
+    ("UNSUPPORTED", lambda e, total, cap, most: e.method not in (0, 8)),
+    ("UNSUPPORTED", lambda e, total, cap, most: bool(e.flags & 1)),
+    ("TOO_LARGE", lambda e, total, cap, most: e.uncompressed_size > cap),
+    ("TOO_LARGE", lambda e, total, cap, most: total > most),
+)
+
+
+def admitted(entries: list[Entry], max_entries: int = MAX_ENTRIES, max_entry: int = MAX_ENTRY_BYTES, max_total: int = MAX_TOTAL_BYTES) -> list[tuple[str, Entry]]:
+    """(relative name, entry) of the files, or the first refusal."""
     if len(entries) > max_entries:
         raise ArchiveError("TOO_MANY", str(len(entries)))
+    out, total = [], 0
     for e in entries:
         name = safe_name(e.name)
-        if e.is_dir:
-            continue
-        if e.method not in (0, 8):
-            raise ArchiveError("UNSUPPORTED", f"method {e.method}")
-        if e.flags & 1:
-            raise ArchiveError("UNSUPPORTED", "encrypted")
-        if e.uncompressed_size > max_entry:
-            raise ArchiveError("TOO_LARGE", name)
-        total += e.uncompressed_size
-        if total > max_total:
-            raise ArchiveError("TOO_LARGE", "archive")
-        yield name, content(data, e)
+        if not e.is_dir:
+            total += e.uncompressed_size
+            for code, refused in REFUSALS:
+                if refused(e, total, max_entry, max_total):
+                    raise ArchiveError(code, name)
+            out.append((name, e))
+    return out
 
 
 def entry_text(data: bytes, name: str, cap: int) -> tuple[bytes, bool, int] | None:
     """(bytes, truncated, full size) of one entry; beyond ``cap`` a prefix that is inflated only so far."""
     for e in directory(data):
-        if e.name != name:
+        if safe_name(e.name) != name or e.is_dir:
             continue
         if e.method not in (0, 8):
             raise ArchiveError("UNSUPPORTED", f"method {e.method}")
@@ -145,16 +159,22 @@ class ZipScan:
 
 @F.udtf(returnType="ordinal int, name string, size long, content binary, error string")
 class ZipExtract:
-    """All files of an archive or, at the first bad entry, one row with the error."""
+    """All files of an archive or, if any is bad, one row with the error.
+
+    A first pass inflates and verifies every file and keeps none; a second one
+    yields them, so no more than one file's content is held.
+    """
 
     def eval(self, data: bytes):
         try:
-            files = list(extract(data))
+            files = admitted(directory(data))
+            for _, e in files:
+                content(data, e)
         except (ArchiveError, struct.error, zlib.error) as x:
             yield None, None, None, None, getattr(x, "code", "CORRUPT")
             return
-        for i, (name, raw) in enumerate(files):
-            yield i, name, len(raw), raw, None
+        for i, (name, e) in enumerate(files):
+            yield i, name, e.uncompressed_size, content(data, e), None
 
 
 def _lateral(df: DataFrame, udtf, column: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import hmac
+import re
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -26,6 +27,8 @@ def listing(files: DataFrame) -> DataFrame:
 
 
 def sign(key: bytes, rel: str, expires: int) -> str:
+    """Token of a relative path until ``expires``; either slash names the same path."""
+    rel = rel.replace("\\", "/")
     mac = hmac.new(key, f"{rel}.{expires}".encode(), hashlib.sha256).digest()
     return base64.urlsafe_b64encode(mac).decode().rstrip("=") + f".{expires}"
 
@@ -35,21 +38,21 @@ def capability_token(key: bytes):
 
     @F.pandas_udf("string")
     def token(rel: pd.Series, expires: pd.Series) -> pd.Series:
-        return pd.Series([None if r is None or e is None else sign(key, r, int(e)) for r, e in zip(rel, expires, strict=True)], dtype=object)
+        return pd.Series([None if pd.isna(r) or pd.isna(e) else sign(key, r, int(e)) for r, e in zip(rel, expires, strict=True)], dtype=object)
 
     return token
 
 
 def capability_check(key: bytes):
-    """A Pandas UDF (rel, token, now) -> ok | expired | bad."""
+    """A Pandas UDF (rel, token, now) -> ok | expired | bad. What is missing or malformed is bad."""
 
     @F.pandas_udf("string")
     def check(rel: pd.Series, token: pd.Series, now: pd.Series) -> pd.Series:
         out = []
         for r, t, n in zip(rel, token, now, strict=True):
-            _, _, end = (t or "").rpartition(".")
-            good = r is not None and end.isdigit() and hmac.compare_digest(sign(key, r, int(end)), t)
-            out.append("bad" if not good else "expired" if int(end) < n else "ok")
+            end = None if pd.isna(r) or pd.isna(t) or pd.isna(n) else re.fullmatch(r"[^.]*\.([0-9]{1,18})", t)
+            good = end is not None and hmac.compare_digest(sign(key, r, int(end[1])).encode(), t.encode())
+            out.append("bad" if not good else "expired" if int(end[1]) < n else "ok")
         return pd.Series(out, dtype=object)
 
     return check

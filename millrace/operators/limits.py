@@ -26,10 +26,19 @@ def throttle(df: DataFrame, by: list[str], ts_us: str, order: str, period_us: in
     return d.withColumn("release_us", F.coalesce(F.greatest(F.col(ts_us), before - F.lit((burst - 1) * period_us)), F.col(ts_us)))
 
 
-def daily_quota(df: DataFrame, day: str, order: list[str], cost: str, limit: int) -> DataFrame:
-    """Adds used and rejected. Rejected submissions stay counted."""
-    w = Window.partitionBy(day).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn("used", F.sum(cost).over(w)).withColumn("rejected", F.col("used") > limit)
+def daily_quota(df: DataFrame, day: str, slot: str, order: list[str], cost: str, limit: int) -> DataFrame:
+    """Adds used and rejected. Rejected submissions stay counted.
+
+    ``slot`` parts a day in the order of time (a minute, say): a day's running
+    sum is its slots' sums before, and the sum inside the slot, so that no task
+    gets a whole day.
+    """
+    sums = df.groupBy(day, slot).agg(F.sum(cost).alias("_sum"))
+    earlier = Window.partitionBy(day).orderBy(slot).rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(F.col(day).alias("_day"), F.col(slot).alias("_slot"), F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(day, slot).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = df.withColumn("_inside", F.sum(cost).over(inside)).join(sums, F.col(day).eqNullSafe(F.col("_day")) & F.col(slot).eqNullSafe(F.col("_slot")))
+    return placed.withColumn("used", F.col("_before") + F.col("_inside")).withColumn("rejected", F.col("used") > limit).drop("_before", "_inside", "_day", "_slot")
 
 
 def http_class(status: Column) -> Column:

@@ -45,6 +45,24 @@ def collect_action(state: Column, zip_url: Column, markdown_url: Column) -> Colu
     return F.when(F.coalesce(state, F.lit("unknown")) != "done", "NOT_DONE").when(zip_url.isNotNull(), "zip").when(markdown_url.isNotNull(), "markdown").otherwise("API")
 
 
+def task_record(answer: Column) -> list[Column]:
+    """The columns of a task's record from the service's answer (JSON); absent keys are null."""
+    a = F.from_json(answer, "task_id string, state string, full_zip_url string, markdown_url string, err_msg string, err_code string, data_id string, file_name string, extract_progress struct<extracted_pages:int,total_pages:int>")
+    names = {"task_id": "task_id", "state": "state", "full_zip_url": "zip_url", "markdown_url": "markdown_url", "err_msg": "error", "err_code": "error_code", "data_id": "data_id", "file_name": "file_name"}
+    return [F.nullif(a[k], F.lit("")).alias(v) for k, v in names.items()] + [a["extract_progress"]["extracted_pages"].alias("pages_done"), a["extract_progress"]["total_pages"].alias("pages")]
+
+
+def assembled(df: DataFrame, call: str = "call") -> DataFrame:
+    """The result of each call: counts, and its items' names and outcomes as one line each, in their order."""
+    line = F.concat_ws(" ", F.concat(F.col("rn").cast("string"), F.lit(".")), "name", F.coalesce("error", "target"))
+    return (
+        df.withColumn("line", line)
+        .groupBy(call)
+        .agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("error").isNull()).alias("landed"), F.array_sort(F.collect_list(F.struct("rn", "line"))).alias("lines"))
+        .select(call, "total", "landed", F.array_join(F.transform("lines", lambda x: x["line"]), "\n").alias("summary"))
+    )
+
+
 def ordered(df: DataFrame, by: str, order: str, value: str, name: str) -> DataFrame:
     """Values of each group in order; groups are calls, of at most a thousand items."""
     return df.groupBy(by).agg(F.transform(F.array_sort(F.collect_list(F.struct(order, value))), lambda x: x[value]).alias(name))

@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.config import RANGES
+from millrace.config import Config
 from millrace.functions import names
 from millrace.functions.dimensions import ERRORS, INLINE, LIGHT_UNSUPPORTED, MIME, OTHER_MIME, SUPPORTED, error_table
 from millrace.operators import admission, archive, artifacts, limits, status
@@ -117,19 +117,21 @@ def batch_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return admission.chunk(d, ["call"], "page_id", 50).select("page_id", "call", "rn", "chunk_no", "data_id")
 
 
-@query(f"select call, cast(floor((rn - 1) / 50) as bigint) as chunk_no, count(*) as n_items, string_agg(url, ' ' order by rn) as urls from ({CHUNK_SQL}) group by 1, 2")
+@query(f"select call, cast(floor((rn - 1) / 50) as bigint) as chunk_no, count(*) as n_items, string_agg(url, ' ' order by rn) as urls, string_agg('doc-' || cast((rn - 1) % 50 + 1 as varchar), ' ' order by rn) as data_ids from ({CHUNK_SQL}) group by 1, 2")
 def batch_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bodies as JSON, read back into fields: JSON texts of two engines differ."""
     d = table(spark, sf_dir, "pages").select("page_id", "url").withColumn("call", admission.call_of(F.col("page_id")))
     bodies = admission.batch_requests(admission.chunk(d, ["call"], "page_id", 50), ["call"])
     files = F.from_json("body", "files array<struct<url string, data_id string>>")["files"]
-    return bodies.select("call", "chunk_no", "n_items", F.array_join(F.transform(files, lambda x: x["url"]), " ").alias("urls"))
+    joined = lambda f: F.array_join(F.transform(files, lambda x: x[f]), " ")
+    return bodies.select("call", "chunk_no", "n_items", joined("url").alias("urls"), joined("data_id").alias("data_ids"))
 
 
 @query(f"select event_id, strftime(ts, '%Y-%m-%d') as day, cast(sum(user_id % 3 + 1) over w as bigint) as used, sum(user_id % 3 + 1) over w > {DAY_LIMIT} as rejected from events window w as (partition by strftime(ts, '%Y-%m-%d') order by ts, event_id rows unbounded preceding)")
 def daily_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").select("event_id", "ts", names.utc_day(F.col("ts")).alias("day"), (F.col("user_id") % 3 + 1).alias("cost"))
-    return limits.daily_quota(e, "day", ["ts", "event_id"], "cost", DAY_LIMIT).select("event_id", "day", "used", "rejected")
+    e = e.withColumn("minute", F.date_trunc("minute", "ts"))
+    return limits.daily_quota(e, "day", "minute", ["ts", "event_id"], "cost", DAY_LIMIT).select("event_id", "day", "used", "rejected")
 
 
 @query(f"""with a as (select event_id, user_id, epoch_us(ts) as t, row_number() over w as n from events window w as (partition by user_id order by ts, event_id)),
@@ -190,13 +192,13 @@ def task_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return status.latest(task_records(spark, sf_dir).withColumnRenamed("user_id", "task_id"), "task_id", "ts", "event_id", "state")
 
 
-ITEMS_SQL = f"with s as (select user_id, arg_max({STATE_SQL}, (ts, event_id)) as state, arg_max(value, (ts, event_id)) > 5 as has_url from events group by 1)"
+ITEMS_SQL = f"with s as (select user_id, arg_max({STATE_SQL}, (ts, event_id)) as state, arg_max(value, (ts, event_id)) > 5 as has_url, arg_max(value, (ts, event_id)) > 2 as has_text from events group by 1)"
 
 
 def batch_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     last = F.struct("ts", "event_id")
     s = task_records(spark, sf_dir).groupBy("user_id").agg(F.max_by("state", last).alias("state"), F.max_by("value", last).alias("value"))
-    return s.select(F.pmod("user_id", F.lit(10)).alias("batch_id"), "state", F.when(F.col("value") > 5, "sim://zip").alias("zip_url"))
+    return s.select(F.pmod("user_id", F.lit(10)).alias("batch_id"), "user_id", "state", F.when(F.col("value") > 5, "sim://zip").alias("zip_url"), F.when(F.col("value") > 2, "sim://text").alias("markdown_url"))
 
 
 @query(ITEMS_SQL + " select user_id % 10 as batch_id, count(*) as total, cast(count_if(state = 'done' and has_url) as bigint) as done, cast(count_if(state not in ('done', 'failed')) as bigint) as active, cast(count(*) - count_if(state = 'done' and has_url) as bigint) as failed, count_if(state not in ('done', 'failed')) = 0 as is_complete from s group by 1")
@@ -204,10 +206,10 @@ def batch_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return status.batch_progress(batch_items(spark, sf_dir), "batch_id")
 
 
-@query(ITEMS_SQL + " select state, case when state <> 'done' then 'NOT_DONE' when has_url then 'zip' else 'API' end as action, count(*) as n from s group by 1, 2")
+@query(ITEMS_SQL + " select state, case when state <> 'done' then 'NOT_DONE' when has_url then 'zip' when has_text then 'markdown' else 'API' end as action, count(*) as n from s group by 1, 2")
 def result_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = batch_items(spark, sf_dir)
-    return d.groupBy("state", status.collect_action(F.col("state"), F.col("zip_url"), F.lit(None).cast("string")).alias("action")).agg(F.count(F.lit(1)).alias("n"))
+    return d.groupBy("state", status.collect_action(F.col("state"), F.col("zip_url"), F.col("markdown_url")).alias("action")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(f"select doc_id, upper(hex(encode(text)[1:{PREVIEW}])) as prefix_hex, strlen(text) as bytes, strlen(text) > {PREVIEW} as truncated from documents")
@@ -216,9 +218,9 @@ def preview_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.hex(names.preview_prefix(t, PREVIEW)).alias("prefix_hex"), F.octet_length(t).cast("long").alias("bytes"), names.truncated(t, PREVIEW).alias("truncated"))
 
 
-@query()
+@query(f"select doc_id, text[1:list_max(list_filter(range(0, {PREVIEW + 1}), lambda k: strlen(text[1:k]) <= {PREVIEW}))] as preview from (select doc_id, text[1:{PREVIEW}] as text from documents)")
 def preview_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole characters only, which SQL has no function for."""
+    """Whole characters only."""
     return table(spark, sf_dir, "documents").select("doc_id", names.preview(F.col("text"), PREVIEW).alias("preview"))
 
 
@@ -229,7 +231,8 @@ SLUG_SQL = r"substr(regexp_replace(regexp_replace({0}, '[^A-Za-z0-9._\-]+', '-',
 union all select 'page', page_id, coalesce(nullif({SLUG_SQL.format("url", 80)}, ''), 'parse'), case when {SLUG_SQL.format("url", 120)} not in ('', '.', '..') then {SLUG_SQL.format("url", 120)} end from pages""")
 def slug_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = table(spark, sf_dir, "documents").select(F.lit("doc").alias("origin"), F.col("doc_id").alias("id"), F.col("text").alias("s")).unionByName(table(spark, sf_dir, "pages").select(F.lit("page").alias("origin"), F.col("page_id").alias("id"), F.col("url").alias("s")))
-    return both.select("origin", "id", names.run_name(F.col("s")).alias("run_name"), names.file_name(F.col("s")).alias("file_name"))
+    both = both.select("origin", "id", F.substring(names.dashed(F.col("s")), 1, 120).alias("d"))  # one pass over the text for both names
+    return both.select("origin", "id", names.run_name_of(F.col("d")).alias("run_name"), names.file_name_of(F.col("d")).alias("file_name"))
 
 
 @query(r"select page_id, nullif(substr(regexp_replace(url, '[^A-Za-z0-9_.\-]', '_', 'g'), 1, 128), '') as data_id from pages")
@@ -269,12 +272,113 @@ def entry_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return values(spark, ENTRY_VALUES, "name").select("name", names.entry_name(n).alias("safe"), names.servable(n).alias("servable"))
 
 
-CONFIG_VALUES = ", ".join(f"('{k}', {v}L, {a}L, {b}L)" for k, (a, b) in RANGES.items() for v in (a - 1, a, b, b + 1))
+#: Values on both sides of every rule, and whether the rule lets them pass; written down from the rules, not computed by them.
+CONFIG_CASES = (
+    ("api_base_url", ("https://a.example", "HTTP://b"), ("ftp://a", "", "a.example")),
+    ("token_credential", ("TOKEN", "_a1"), ("1a", "a-b", "")),
+    ("mode", ("auto", "precision", "agent"), ("AUTO", "")),
+    ("model_version", ("pipeline", "vlm", "html"), ("other",)),
+    ("language", ("ch", "en"), ()),
+    ("enable_table", (True, False), ()),
+    ("enable_formula", (True, False), ()),
+    ("is_ocr", (True, False), ()),
+    ("extra_formats", ((), ("docx",), ("html", "latex")), (("pdf",),)),
+    ("expose_mode", ("progressive", "always"), ("never",)),
+    ("artifact_root_name", (".artifacts", "out"), ("", ".", "..", "a/b", "a\\b")),
+    ("poll_interval_ms", (500, 60000), (499, 60001, True)),
+    ("poll_jitter_ms", (0, 10000), (-1, 10001)),
+    ("timeout_ms", (10000, 3600000), (9999, 3600001)),
+    ("max_file_bytes", (0, 536870912), (-1, 536870913)),
+    ("inline_markdown_bytes", (256, 1048576), (255, 1048577)),
+    ("artifact_url_ttl_sec", (60, 2592000), (59, 2592001)),
+    ("submit_rate_per_min", (1, 60), (0, 61)),
+    ("poll_rate_per_min", (10, 1000), (9, 1001)),
+    ("daily_submit_limit", (1, 100000), (0, 100001)),
+    ("user_agent", ("x",), ()),
+)
+CONFIG_ROWS = [(option, str(i), v, ok) for option, good, bad in CONFIG_CASES for i, (v, ok) in enumerate([*((g, True) for g in good), *((x, False) for x in bad)])]
+
+
+@query("select * from (values " + ", ".join(f"('{o}', '{i}', {str(ok).lower()})" for o, i, _, ok in CONFIG_ROWS) + ") t(option, case_no, valid)")
+def config_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the validator says of every option's values."""
+    rows = [(o, i, o not in Config(**{o: v}).problems()) for o, i, v, _ in CONFIG_ROWS]
+    return spark.createDataFrame(rows, "option string, case_no string, valid boolean")
+
 
+PARSE_OPTIONS = ("vlm", 25)  # the model asked for, and the sources of a demonstration call
 
-@query(f"with t(option, value, low, high) as (values {CONFIG_VALUES.replace('L', '')}) select option, cast(value as bigint) as value, value between low and high as valid from t")
-def config_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return values(spark, CONFIG_VALUES, "option, value, low, high").select("option", "value", F.col("value").between(F.col("low"), F.col("high")).alias("valid"))
+
+@query(GATED_SQL + f"""select page_id, page_id // {PARSE_OPTIONS[1]} as call, name, api, model, model <> '{PARSE_OPTIONS[0]}' as forced, reason,
+  case when reason is null then api || case when model <> '{PARSE_OPTIONS[0]}' then ': ' || ext || ' needs the model ' || model else '' end else 'refused: ' || reason end as line from gated""")
+def plan_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Single parses of all pages on both tiers: tier, model, whether the extension forced it, refusal, and the line that says so."""
+    d = gated(spark, sf_dir)
+    asked = F.lit(PARSE_OPTIONS[0])
+    forced = admission.forced_model(F.col("ext"), asked)
+    warning = F.when(forced, F.concat(F.lit(": "), "ext", F.lit(" needs the model "), "model")).otherwise("")
+    line = F.when(F.col("reason").isNull(), F.concat("api", warning)).otherwise(F.concat(F.lit("refused: "), "reason"))
+    return d.select("page_id", F.floor(F.col("page_id") / PARSE_OPTIONS[1]).alias("call"), "name", "api", "model", forced.alias("forced"), "reason", line.alias("line"))
+
+
+@query("select user_id as call, count(*) as n_items, 'BATCH_TOO_LARGE' as refusal from events group by 1 having count(*) > 12")
+def batch_refusals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calls with more sources than allowed (lowered to 12 here) are refused whole."""
+    return admission.refused_calls(table(spark, sf_dir, "events").select(F.col("user_id").alias("call")), "call", 12)
+
+
+@query(f"select call, chunk_no, 'doc-' || cast((rn - 1) % 50 + 1 as varchar) as item, 'sim://' || call || '/' || chunk_no || '/' || ((rn - 1) % 50) as link from (select *, cast(floor((rn - 1) / 50) as bigint) as chunk_no from ({CHUNK_SQL}))")
+def upload_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items of file batches with the upload link at the same place of the service's answer."""
+    d = table(spark, sf_dir, "pages").select("page_id").withColumn("call", admission.call_of(F.col("page_id")))
+    d = admission.chunk(d, ["call"], "page_id", 50).groupBy("call", "chunk_no").agg(F.transform(F.array_sort(F.collect_list(F.struct("in_chunk", "data_id"))), lambda x: x["data_id"]).alias("items"))
+    base = F.concat(F.lit("sim://"), F.col("call").cast("string"), F.lit("/"), F.col("chunk_no").cast("string"), F.lit("/"))
+    links = F.transform(F.sequence(F.lit(0), F.size("items") - 1), lambda i: F.concat(base, i.cast("string")))  # what the simulator answers
+    return admission.paired(d.withColumn("links", links))
+
+
+@query(f"""with s as (select event_id, {STATE_SQL} as state, value from events)
+select 'task-' || event_id as task_id, state, case when state = 'done' then 'sim://zip/' || event_id end as zip_url, cast(null as varchar) as markdown_url, case when state = 'failed' then 'simulated' end as error,
+  cast(null as varchar) as error_code, cast(null as varchar) as data_id, cast(null as varchar) as file_name, case when state = 'running' then cast(event_id % 7 as integer) end as pages_done, case when state = 'running' then 7 end as pages from s""")
+def task_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of tasks from the service's JSON answers; empty strings and absent keys are null."""
+    d = task_records(spark, sf_dir)
+    running = F.col("state") == "running"
+    answer = F.to_json(F.struct(
+        F.concat(F.lit("task-"), "event_id").alias("task_id"), "state",
+        F.when(F.col("state") == "done", F.concat(F.lit("sim://zip/"), "event_id")).otherwise("").alias("full_zip_url"),
+        F.when(F.col("state") == "failed", "simulated").alias("err_msg"),
+        F.when(running, F.struct((F.col("event_id") % 7).cast("int").alias("extracted_pages"), F.lit(7).alias("total_pages"))).alias("extract_progress"),
+    ))
+    return d.select(answer.alias("answer")).select(*status.task_record(F.col("answer")))
+
+
+LAND_SQL = ITEMS_SQL.replace("select user_id,", "select user_id, max(ts) as ended,") + """, n as (select user_id, user_id % 10 as call, row_number() over (partition by user_id % 10 order by user_id) as rn, 'item ' || user_id as name, ended, state, case when state <> 'done' then 'NOT_DONE' when has_url then 'zip' when has_text then 'markdown' else 'API' end as action from s),
+r as (select *, case when action in ('zip', 'markdown') then 'item-' || user_id || '_' || strftime(ended, '%Y%m%d-%H%M%S') || '_' || substr(md5(cast(user_id as varchar)), 1, 4) || '/full.md' end as target from n)
+"""
+
+
+def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    last = F.struct("ts", "event_id")
+    d = task_records(spark, sf_dir).groupBy("user_id").agg(F.max_by("state", last).alias("state"), F.max_by("value", last).alias("value"), F.max("ts").alias("ended"))
+    d = d.withColumn("call", F.col("user_id") % 10).withColumn("name", F.concat(F.lit("item "), "user_id"))
+    d = admission.chunk(d, ["call"], "user_id", 1000)
+    action = status.collect_action(F.col("state"), F.when(F.col("value") > 5, "sim://zip"), F.when(F.col("value") > 2, "sim://text"))
+    run = names.run_id(F.col("name"), F.col("ended"), F.md5(F.col("user_id").cast("string")))
+    got = action.isin("zip", "markdown")
+    return d.select("call", "rn", "user_id", "name", action.alias("action"), F.when(~got, action).alias("error"), F.when(got, F.concat(run, F.lit("/full.md"))).alias("target"))
+
+
+@query(LAND_SQL + "select call, rn, user_id, name, action, case when target is null then action end as error, target from r")
+def land_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where every item's text lands: a run folder of its own, or why it does not."""
+    return landed(spark, sf_dir)
+
+
+@query(LAND_SQL + """select call, count(*) as total, cast(count(target) as bigint) as landed, string_agg(rn || '. ' || name || ' ' || coalesce(target, action), chr(10) order by rn) as summary from r group by 1""")
+def call_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The result of each call, its items in order."""
+    return status.assembled(landed(spark, sf_dir))
 
 
 @query()
@@ -292,7 +396,7 @@ def capability_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("rel", "token", artifacts.capability_url(F.lit("/artifact"), F.col("rel"), F.col("token")).alias("url"), check("rel", "token", F.lit(1_700_000_010)).alias("verdict"))
 
 
-def demo_archives(spark: SparkSession) -> DataFrame:
+def demo_rows() -> list[tuple[str, bytes]]:
     """A handful of archives made here: good, nested, unsafe and damaged ones."""
 
     def made(files: dict[str, bytes], method: int = zipfile.ZIP_DEFLATED) -> bytes:
@@ -303,8 +407,34 @@ def demo_archives(spark: SparkSession) -> DataFrame:
         return out.getvalue()
 
     good = made({"full.md": b"# Title\n" * 50, "images/a.png": b"\x89PNG", "layout.json": b"{}"})
-    rows = [("good", good), ("stored", made({"x/full.md": b"text"}, zipfile.ZIP_STORED)), ("bzip", made({"a": b"b" * 99}, zipfile.ZIP_BZIP2)), ("evil", made({"../evil": b"x"})), ("cut", good[:-30]), ("none", b""), ("flipped", good.replace(b"\x89PNG", b"\x88PNG"))]
-    return spark.createDataFrame([(n, bytearray(d)) for n, d in rows], "archive string, content binary")
+    return [("good", good), ("stored", made({"x/full.md": b"text"}, zipfile.ZIP_STORED)), ("bzip", made({"a": b"b" * 99}, zipfile.ZIP_BZIP2)), ("evil", made({"../evil": b"x"})), ("cut", good[:-30]), ("none", b""), ("flipped", good.replace(b"\x89PNG", b"\x88PNG"))]
+
+
+def demo_archives(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(n, bytearray(d)) for n, d in demo_rows()], "archive string, content binary")
+
+
+def archive_rows() -> tuple[str, str]:
+    """The rows of ``zip_scan`` and ``zip_extract`` as SQL, by Python's own reader of archives; the damaged ones' errors are written down."""
+    text = lambda v: "null" if v is None else "'" + v.replace("'", "''") + "'"
+    scans, files = [], []
+    for name, data in demo_rows():
+        if name in ("cut", "none"):
+            scans.append(f"({text(name)}, {', '.join(['null'] * 10)}, 'CORRUPT')")
+            files.append(f"({text(name)}, null, null, null, null, 'CORRUPT', null)")
+            continue
+        with zipfile.ZipFile(io.BytesIO(data)) as z:
+            for i, e in enumerate(z.infolist()):
+                scans.append(f"({text(name)}, {i}, {text(e.filename)}, {e.compress_type}, {e.flag_bits}, {e.compress_size}, {e.file_size}, {e.header_offset}, {e.CRC}, {e.external_attr}, {str(e.is_dir()).lower()}, null)")
+                if name in ("good", "stored"):
+                    files.append(f"({text(name)}, {i}, {text(e.filename)}, {e.file_size}, '{z.read(e).hex().upper()}', null, {e.CRC})")
+            if name not in ("good", "stored"):
+                files.append(f"({text(name)}, null, null, null, null, '{ {'bzip': 'UNSUPPORTED', 'evil': 'UNSAFE', 'flipped': 'CORRUPT'}[name] }', null)")
+    kinds = "ordinal::int as ordinal, name, method::int as method, flags::int as flags, compressed_size::bigint as compressed_size, uncompressed_size::bigint as uncompressed_size, local_offset::bigint as local_offset, crc32::bigint as crc32, external_attr::bigint as external_attr, is_dir::boolean as is_dir, error"
+    return (
+        f"select archive, {kinds} from (values {', '.join(scans)}) t(archive, ordinal, name, method, flags, compressed_size, uncompressed_size, local_offset, crc32, external_attr, is_dir, error)",
+        f"select archive, ordinal::int as ordinal, name, size::bigint as size, content, error, crc::bigint as crc from (values {', '.join(files)}) t(archive, ordinal, name, size, content, error, crc)",
+    )
 
 
 @query()
@@ -321,3 +451,6 @@ def zip_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("select error_code as code, message from (values " + ERROR_VALUES + ") t(error_code, message)")
 def error_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return error_table(spark)
+
+
+ORACLE_SQL["zip_scan"], ORACLE_SQL["zip_extract"] = archive_rows()

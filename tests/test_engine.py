@@ -151,3 +151,99 @@ def test_stream(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert [(r["task_id"], r["state"], r["n_records"]) for r in spark.table("latest").collect()] == [("a", "done", 2)]
+
+
+def test_tokens_fail_closed(spark):
+    sign, check = artifacts.capability_token(b"k"), artifacts.capability_check(b"k")
+    d = spark.createDataFrame([("a", None), ("a", 10), (None, 10), ("b\\c", 10)], "rel string, e long").withColumn("t", sign("rel", "e"))
+    rows = d.collect()
+    assert [r["t"] is None for r in rows] == [True, False, True, False]
+    good = rows[1]["t"]
+    cases = [("a", good, 5, "ok"), ("a", good, 11, "expired"), ("a", good, None, "bad"), ("a", None, 5, "bad"), (None, good, 5, "bad"), ("a", "é.5", 5, "bad"), ("a", "x.²", 5, "bad"), ("a", "", 5, "bad"), ("a", good + "0", 5, "bad"), ("b/c", rows[3]["t"], 5, "ok")]
+    frame = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, rel string, t string, n long, want string")
+    got = frame.select("i", "want", check("rel", "t", "n").alias("got")).orderBy("i").collect()
+    assert [r["got"] for r in got] == [c[3] for c in cases]
+
+
+def test_paths_with_backslashes(spark):
+    assert column(spark, ["\\etc\\x", "a\\..\\b", "a\\b", "a/b", "", None], names.servable) == [False, False, True, True, False, False]
+
+
+def test_archives_cut_records_and_written_names():
+    good = packed([("./full.md", b"text"), ("a.txt", b"b")])
+    assert archive.entry_text(good, "full.md", 100) == (b"text", False, 4)
+    with pytest.raises(archive.ArchiveError):
+        archive.entry_text(packed([("../full.md", b"text")]), "full.md", 100)
+    cut = bytearray(good)
+    at = cut.rfind(b"PK\x01\x02")
+    struct.pack_into("<H", cut, at + 28, 60000)  # a name beyond the directory
+    with pytest.raises(archive.ArchiveError) as x:
+        archive.directory(bytes(cut))
+    assert x.value.code == "CORRUPT"
+
+
+def test_batches_uploads_and_waits():
+    t, slept = [0.0], []
+    sleep = lambda s: (slept.append(s), t.__setitem__(0, t[0] + s))
+    sim = Simulator()
+    s = Submitter(sim, RateLimiter(60, 2, now=lambda: t[0], sleep=sleep), 300, sleep=sleep)
+    batch = s.submit_urls("u", [{"url": "x"}] * 200, "d")
+    assert s.submit_urls("u", [{"url": "x"}] * 200, "d") == batch and s.used["d"] == 200 and len(sim.tasks) == 1
+    for f, items in ((s.submit_urls, [{}] * 201), (s.submit_files, [("a", b"")] * 51)):
+        with pytest.raises(ServiceError) as x:
+            f("big", items, "d")
+        assert x.value.code == "BATCH_TOO_LARGE"
+    states = []
+    got = s.submit_files("f", [("a.pdf", b"A"), ("b.pdf", b"B")], "d", states.append)
+    assert [sim.results[f"{got}/{i}"] for i in range(2)] == [b"A", b"B"] and states == ["submitted", "uploading a.pdf", "uploading b.pdf", "uploaded"]
+    sim.put = lambda link, data: 403
+    with pytest.raises(ServiceError) as x:
+        s.submit_files("g", [("a.pdf", b"A")], "d")
+    assert x.value.code == "UPLOAD_FAILED" and "g" not in s.ledger
+    answers = iter([ServiceError("429", retry_after="7"), ServiceError("429", retry_after="soon"), "id"])
+
+    def busy(body):
+        a = next(answers)
+        if isinstance(a, ServiceError):
+            raise a
+        return a
+
+    sim.submit, slept[:] = busy, []
+    assert s.submit([("r", {})], "d")["r"] == "id" and slept[-2:] == [7, 30]
+    assert ServiceError("429", retry_after="500").wait_s() == 120
+    with pytest.raises(ServiceError) as x:
+        s.wait(batch, 1, -1, now=lambda: t[0])
+    assert x.value.code == "TIMEOUT"
+
+
+def test_limiter_is_reconfigured_and_keeps_its_tokens():
+    t = [0.0]
+    limiter = RateLimiter(60, 4, now=lambda: t[0], sleep=lambda s: t.__setitem__(0, t[0] + s))
+    for _ in range(3):
+        limiter.take()
+    limiter.reconfigure(30, 8)  # one token left
+    limiter.take()
+    assert t[0] == 0
+    limiter.take()
+    assert abs(t[0] - 2) < 1e-9
+    limiter.reconfigure(60, 1)
+    limiter.take()
+    assert abs(t[0] - 3) < 1e-9
+
+
+def test_daily_quota_runs_over_slots(spark):
+    rows = [(i, f"2024-01-0{1 + i // 50}", (i * 37 % 50) // 7, 1 + i % 3) for i in range(100)]
+    d = spark.createDataFrame(rows, "i int, day string, slot int, cost int")
+    got = {r["i"]: r["used"] for r in limits.daily_quota(d, "day", "slot", ["i"], "cost", 20).collect()}
+    for day in ("2024-01-01", "2024-01-02"):
+        total = 0
+        for i, _, _, cost in sorted((r for r in rows if r[1] == day), key=lambda r: (r[2], r[0])):
+            total += cost
+            assert got[i] == total
+
+
+def test_refused_calls_and_pairs(spark):
+    d = spark.createDataFrame([(1, i) for i in range(5)] + [(2, 0)], "call int, i int")
+    assert [tuple(r) for r in admission.refused_calls(d, "call", 4).collect()] == [(1, 5, "BATCH_TOO_LARGE")]
+    p = spark.createDataFrame([(1, ["a", "b"], ["x", "y"])], "call int, items array<string>, links array<string>")
+    assert sorted(tuple(r) for r in admission.paired(p).collect()) == [(1, "a", "x"), (1, "b", "y")]
