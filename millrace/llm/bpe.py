@@ -35,7 +35,9 @@ LEAF_BYTES, LEAF_CHARS = 16, 4096
 FIRST_TOKENS = 2
 #: Tokens of a window beyond which a match is merged as one.
 MOST_TOKENS = 512
-#: Matches that a worker remembers.
+#: Bytes up to which a scan of all pairs finds the next merge sooner than a heap.
+SCANNED_BYTES = 48
+#: Matches that a worker remembers, in each of two generations.
 REMEMBERED = 1 << 18
 #: Characters on either side of a seam that the first window covers.
 FIRST_WINDOW = 64
@@ -56,6 +58,7 @@ class Codec:
             self.bytes_of[v] = k
         self.decimal = [str(i) for i in range(len(self.bytes_of))]
         self.known: dict[str, list[int]] = {}
+        self.older: dict[str, list[int]] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
 
     @classmethod
@@ -68,10 +71,10 @@ class Codec:
 
     def leaf(self, text: str) -> list[int]:
         """Ids of a text, match by match."""
-        ids, known = [], self.known
+        ids = []
         for word in self.matches(text):
             try:
-                ids += known[word]
+                ids += self.known[word]
             except KeyError:
                 ids += self.match(word)
         return ids
@@ -79,12 +82,12 @@ class Codec:
     def match(self, word: str) -> list[int]:
         """Ids of one match; a token where the whole of it is one."""
         raw = word.encode()
-        got = [self.ranks[raw]] if raw in self.ranks else self.merged(raw)
+        got = self.older.get(word) or ([self.ranks[raw]] if raw in self.ranks else self.merged(raw))
         if got is None:  # no seam of it settles, as in a long run of one character
             got = self.merges(raw)
         if len(word) <= 64:
             if len(self.known) >= REMEMBERED:
-                self.known.clear()
+                self.older, self.known = self.known, {}
             self.known[word] = got
         return got
 
@@ -108,8 +111,10 @@ class Codec:
         return None
 
     def merges(self, raw: bytes) -> list[int]:
-        """The merge of least rank, leftmost first, until none is left; neighbours in linked lists, merges in a heap."""
+        """The merge of least rank, leftmost first, until none is left; of many bytes, neighbours in linked lists and merges in a heap."""
         n = len(raw)
+        if n <= SCANNED_BYTES:
+            return self.merges_of_few(raw)
         end, before, after = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
         rank = self.ranks.get
         heap = [(r, i, i + 2) for i in range(n - 1) if (r := rank(raw[i : i + 2])) is not None]
@@ -133,6 +138,20 @@ class Codec:
             i = end[i]
         return ids
 
+    def merges_of_few(self, raw: bytes) -> list[int]:
+        rank, none = self.ranks.get, len(self.bytes_of)
+        parts = [raw[i : i + 1] for i in range(len(raw))]
+        pairs = [rank(raw[i : i + 2], none) for i in range(len(raw) - 1)]
+        while pairs and (least := min(pairs)) < none:
+            i = pairs.index(least)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del pairs[i]
+            if i < len(pairs):
+                pairs[i] = rank(parts[i] + parts[i + 1], none)
+            if i:
+                pairs[i - 1] = rank(parts[i - 1] + parts[i], none)
+        return [self.ranks[p] for p in parts]
+
     def fits(self, a: int, b: int) -> bool:
         """Whether two tokens side by side are the encoding of their bytes."""
         if (a, b) not in self.pairs:

@@ -129,7 +129,7 @@ def test_byte_bpe(docs, nothing):
         e = whole.encode_ordinary(t)
         assert (n, ids, back) == (len(e), hashlib.sha256(" ".join(map(str, e)).encode()).hexdigest(), hashlib.sha256(t.encode()).hexdigest())
     for leaf_bytes in (1, 3, 16):
-        c.leaf_bytes, c.known = leaf_bytes, {}
+        c.leaf_bytes, c.known, c.older = leaf_bytes, {}, {}
         r = random.Random(leaf_bytes)
         for t in ["a" * 5000, "日本語中文字" * 300, "ab" * 999 + "é" * 50, "." * 700, " " * 900 + "x", *("".join(r.choice("etaoinshrdlu日é") for _ in range(r.randint(1, 300))) for _ in range(150))]:
             assert c.encode(t) == whole.encode_ordinary(t), t
