@@ -16,6 +16,15 @@ def url_path(url: Column) -> Column:
     return F.regexp_extract(url, r"(?i)^https?://[^/?#]*([^?#]*)", 1)
 
 
+def valid_url(url: Column) -> Column:
+    """Whether a URL has a host of legal characters (or a bracketed address) and a port that exists, if any."""
+    rest = F.regexp_extract(url, r"(?i)^https?:/+([^/?#\\]*)", 1)
+    host = F.regexp_replace(rest, r"^.*@", "")
+    port = F.nullif(F.regexp_extract(host, r":([0-9]*)$", 1), F.lit(""))
+    shape = host.rlike(r"(?i)^([^\s@:<>\[\]^|%]+|\[[0-9a-f:.]+\])(:[0-9]*)?$")
+    return F.coalesce(is_url(url) & shape & (F.coalesce(port.cast("decimal(38,0)"), F.lit(0)) <= 65535), F.lit(False))
+
+
 def display_name(url: Column) -> Column:
     """Last segment of the path; query, fragment and trailing slashes don't count; none: ``document``."""
     return F.coalesce(F.nullif(F.regexp_extract(url_path(url), r"([^/]*)/*$", 1), F.lit("")), F.lit("document"))
@@ -150,5 +159,15 @@ def stamp(ts: Column) -> Column:
 
 
 def coded(value: Column) -> Column:
-    """Percent-encoding with %20 for a space."""
-    return F.replace(F.url_encode(value), F.lit("+"), F.lit("%20"))
+    """Percent-encoding of a URL's component: %20 for a space, and the marks ``!'()*~`` as they are."""
+    out = F.replace(F.url_encode(value), F.lit("+"), F.lit("%20"))
+    for mark in "!'()~":
+        out = F.replace(out, F.lit(f"%{ord(mark):02X}"), F.lit(mark))
+    return out
+
+
+def merged(base: Column, extra: Column) -> Column:
+    """Two maps of headers, the later one's values where both have a key; null maps are empty."""
+    none = F.create_map().cast("map<string,string>")
+    base, extra = F.coalesce(base, none), F.coalesce(extra, none)
+    return F.map_concat(F.map_filter(base, lambda k, _: ~F.map_contains_key(extra, k)), extra)

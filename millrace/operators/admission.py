@@ -46,6 +46,12 @@ def route(mode: Column, cfg_mode: Column, has_token: Column) -> Column:
     return F.when(asked == "precision", F.when(has_token, "precision")).when(asked == "agent", "agent").otherwise(F.when(has_token, "precision").otherwise("agent"))
 
 
+def api_label(cfg_mode: Column, has_token: Column) -> Column:
+    """What a session says of its tier: one that asks for precision without a token says that the token is missing."""
+    needy = (cfg_mode == "precision") & ~has_token
+    return F.when(needy, "precision-missing-token").when(cfg_mode.isin("precision", "auto") & has_token, "precision").otherwise("agent")
+
+
 def route_batch(mode: Column, has_token: Column) -> Column:
     """Batches run on the precision tier only; null: a token is needed."""
     return F.when((F.coalesce(mode, F.lit("precision")) == "agent") | ~has_token, None).otherwise("precision")
@@ -60,6 +66,22 @@ def resolve(df: DataFrame, options: tuple[str, ...], arg: str = "arg", cfg: str
     return df.select("*", *(F.coalesce(F.col(f"{arg}.{o}"), F.col(f"{cfg}.{o}")).alias(o) for o in options))
 
 
+#: What a call may set, what only a call sets, and what only the session sets.
+CALL_OPTIONS = ("language", "enable_table", "enable_formula", "is_ocr", "model_version", "extra_formats", "timeout_ms")
+ONLY_CALL, ONLY_SESSION = ("page_ranges", "page_range"), ("poll_interval_ms", "poll_jitter_ms")
+
+
+def call_options(df: DataFrame, models: tuple[str, ...], arg: str = "arg", cfg: str = "cfg") -> DataFrame:
+    """The options of each call from its ``arg`` and the session's ``cfg``; ``refusal`` where the model is none of ``models``.
+
+    Languages are passed on as they are; extra formats default to none.
+    """
+    d = resolve(df, CALL_OPTIONS, arg, cfg)
+    d = d.withColumn("extra_formats", F.coalesce("extra_formats", F.array().cast("array<string>")))
+    d = d.select("*", *(F.col(f"{arg}.{o}").alias(o) for o in ONLY_CALL), *(F.col(f"{cfg}.{o}").alias(o) for o in ONLY_SESSION), names.data_id(F.col(f"{arg}.data_id")).alias("data_id"))
+    return d.withColumn("refusal", F.when(~F.coalesce(F.col("model_version").isin(*models), F.lit(False)), "BAD_ARGS"))
+
+
 def chunk(df: DataFrame, by: list[str], order: str, limit: Column | int, prefix: str = "doc") -> DataFrame:
     """Consecutive chunks inside each call. Adds rn, chunk_no, in_chunk and data_id.
 
@@ -90,6 +112,40 @@ def url_request(df: DataFrame) -> Column:
     return F.to_json(F.struct(*fields, names.data_id(F.col("data_id")).alias("data_id"), F.nullif(F.col("page_ranges"), F.lit("")).alias("page_ranges"), extra.alias("extra_formats"), F.lit(True).alias("no_cache")))
 
 
+def light_request(source: str) -> Column:
+    """The light tier's body for one source: a ``url``, or a ``file_name`` whose upload link is asked for."""
+    fields = [F.col(c) for c in (source, "language", "enable_table", "is_ocr", "enable_formula")]
+    return F.to_json(F.struct(*fields, F.nullif(F.col("page_range"), F.lit("")).alias("page_range")))
+
+
+#: Options of a batch as a whole, in the order of the body.
+BATCH_OPTIONS = ("model_version", "enable_formula", "enable_table", "language")
+
+
+def batch_bodies(chunked: DataFrame, by: list[str], source: str) -> DataFrame:
+    """One body per chunk: its items, each a ``source`` (url or name) with its own options, in order, then the call's options.
+
+    The options of a call are the same in all of its rows. Items keep their own
+    data id, made usable, or get that of their place in the chunk.
+    """
+    own = names.data_id(F.coalesce(F.col("own_id"), F.col("data_id"))).alias("data_id")
+    item = F.struct(F.col(source), own, "is_ocr", F.nullif(F.col("page_ranges"), F.lit("")).alias("page_ranges"))
+    d = chunked.groupBy(*by, "chunk_no").agg(
+        F.count(F.lit(1)).alias("n_items"),
+        F.array_sort(F.collect_list(F.struct("in_chunk", item.alias("item")))).alias("items"),
+        *(F.first(o).alias(o) for o in (*BATCH_OPTIONS, "extra_formats")),
+    )
+    extra = F.when(F.size("extra_formats") > 0, F.col("extra_formats")).alias("extra_formats")
+    body = F.struct(F.transform("items", lambda x: x["item"]).alias("files"), *BATCH_OPTIONS, extra)
+    return d.select(*by, "chunk_no", "n_items", F.to_json(body).alias("body"))
+
+
+def empty_calls(df: DataFrame, call: str = "call", source: str = "source") -> DataFrame:
+    """Calls of which no source is more than blanks, refused whole."""
+    n = df.groupBy(call).agg(F.count_if(F.trim(source) != "").alias("n"))
+    return n.filter("n = 0").select(call, F.lit("BAD_ARGS").alias("refusal"))
+
+
 def refused_calls(df: DataFrame, call: str = "call", most: int = CALL_LIMIT) -> DataFrame:
     """call, n_items and the refusal of calls without sources for the service or with more than ``most``: a call is refused whole."""
     n = df.groupBy(call).agg(F.count(F.lit(1)).alias("n_items"))

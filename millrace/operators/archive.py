@@ -192,3 +192,20 @@ def extracted(df: DataFrame, column: str = "content") -> DataFrame:
 def unsigned32(value: Column) -> Column:
     """A little-endian unsigned number of four bytes."""
     return F.conv(F.hex(F.reverse(value)), 16, 10).cast("long")
+
+
+@F.udtf(returnType="text binary, truncated boolean, bytes long, error string")
+class MainText:
+    """The main document's bytes up to ``cap``, whether they are a part, and its size; an archive without one has an empty text."""
+
+    def eval(self, data: bytes, cap: int):
+        try:
+            name = main_document([safe_name(e.name) for e in directory(data) if not e.is_dir])
+            text, part, size = (entry_text(data, name, cap) if name else None) or (b"", False, 0)
+            yield text, part, size, None
+        except (ArchiveError, struct.error, zlib.error) as x:
+            yield None, None, None, getattr(x, "code", "CORRUPT")
+
+
+def main_texts(df: DataFrame, cap: int, column: str = "content") -> DataFrame:
+    return df.lateralJoin(MainText(F.col(column).outer(), F.lit(cap)).alias("f")).select(*(df[c] for c in df.columns if c != column), "f.*")

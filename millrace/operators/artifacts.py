@@ -6,6 +6,7 @@ import base64
 import hashlib
 import hmac
 import re
+import uuid
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -58,10 +59,39 @@ def capability_check(key: bytes):
     return check
 
 
-def capability_url(base: Column, rel: Column, token: Column) -> Column:
-    return F.concat(base, F.lit("?rel="), names.coded(rel), F.lit("&token="), names.coded(token))
+def signed_path(workspace: Column, rel: Column) -> Column:
+    """What the token of an artifact signs: the index of its workspace, and its path with forward slashes."""
+    return F.concat_ws("|", workspace.cast("string"), F.replace(rel, F.lit("\\"), F.lit("/")))
+
+
+def capability_url(base: Column, workspace: Column, rel: Column, token: Column) -> Column:
+    path = F.replace(rel, F.lit("\\"), F.lit("/"))
+    return F.concat(base, F.lit("?w="), workspace.cast("string"), F.lit("&p="), names.coded(path), F.lit("&t="), names.coded(token))
 
 
 def write_run(df: DataFrame, path: str) -> None:
     """Run metadata as JSON lines; the job's commit makes it all or nothing."""
     df.write.mode("errorifexists").json(path)
+
+
+def write_texts(df: DataFrame, path: str) -> None:
+    """Texts as UTF-8 files of their ``name`` in one folder: written aside first, then named, so that a task that runs twice leaves whole files."""
+
+    def put(batches):
+        for batch in batches:
+            for name, text in zip(batch["name"], batch["text"], strict=True):
+                write_file(path, name, (text or "").encode())
+            yield pd.DataFrame({"n": [len(batch)]})
+
+    df.select("name", "text").mapInPandas(put, "n long").agg(F.sum("n")).collect()
+
+
+def write_file(folder: str, name: str, data: bytes) -> None:
+    import pyarrow.fs
+
+    fs, root = pyarrow.fs.FileSystem.from_uri(folder)
+    fs.create_dir(root, recursive=True)
+    aside = f"{root}/_{uuid.uuid4().hex}"
+    with fs.open_output_stream(aside) as out:
+        out.write(data)
+    fs.move(aside, f"{root}/{name}")

@@ -41,6 +41,18 @@ def daily_quota(df: DataFrame, day: str, slot: str, order: list[str], cost: str,
     return placed.withColumn("used", F.col("_before") + F.col("_inside")).withColumn("rejected", F.col("used") > limit).drop("_before", "_inside", "_day", "_slot")
 
 
+def polled(duration_ms: Column, interval_ms: Column, timeout_ms: Column) -> tuple[Column, Column]:
+    """(outcome, queries) of waiting for a task that ends after ``duration_ms``, or never (null).
+
+    The first query is made at once, the next ones ``interval_ms`` apart, and
+    none later than ``timeout_ms``: the deadline is tested before each.
+    """
+    needed = F.when(duration_ms.isNotNull(), F.ceil(F.greatest(duration_ms, F.lit(0)) / interval_ms))  # greatest() skips nulls
+    allowed = F.floor(timeout_ms / interval_ms)
+    done = F.coalesce(needed <= allowed, F.lit(False))
+    return F.when(done, "DONE").otherwise("TIMEOUT"), (F.when(done, needed).otherwise(allowed) + 1).cast("long")
+
+
 def http_class(status: Column) -> Column:
     return F.when(status == 429, "RATE_LIMITED").when(status.isin(401, 403), "UNAUTHORIZED").when(status.between(200, 299), "OK").otherwise("HTTP_ERROR")
 

@@ -381,19 +381,34 @@ def call_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return status.assembled(landed(spark, sf_dir))
 
 
-@query()
+#: The checksum's table from its polynomial, and the checksum byte by byte.
+CRC_SQL = """with tab as (select list(c order by i) as t from (select i, list_reduce(list_prepend(i::bigint, range(8)), lambda c, k: case when c % 2 = 1 then xor(c >> 1, 3988292384::bigint) else c >> 1 end) as c from range(256) r(i))),
+b as (select doc_id, strlen(text) as bytes, list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda x: ('0x' || x)::bigint) as bs from documents)
+select doc_id, bytes::integer as bytes, xor(list_reduce(list_prepend(4294967295::bigint, bs), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295::bigint) as crc from b, tab"""
+
+
+@query(CRC_SQL)
 def text_crc32(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.crc32(F.col("text").cast("binary")).alias("crc"), F.octet_length("text").alias("bytes"))
 
 
-@query()
+DEMO_KEY = b"demonstration key"
+_PADS = [bytes(k ^ p for k in DEMO_KEY.ljust(64, b"\0")).hex() for p in (0x36, 0x5C)]
+
+
+@query(f"""with p as (select page_id, 'run' || chr(92) || 'p (' || page_id || ')~.md' as rel, 'run/p (' || page_id || ')~.md' as path, 1700000000 + page_id as expires from pages),
+m as (select *, to_base64(unhex(sha256(unhex('{_PADS[1]}') || unhex(sha256(unhex('{_PADS[0]}') || encode(page_id % 3 || '|' || path || '.' || expires)))))) as mac from p),
+t as (select *, rtrim(replace(replace(mac, '+', '-'), '/', '_'), '=') || '.' || expires as token from m)
+select page_id, rel, token, '/artifact?w=' || page_id % 3 || '&p=run%2Fp%20(' || page_id || ')~.md&t=' || token as url,
+  case when page_id % 5 = 4 then 'bad' when expires < 1700000010 then 'expired' else 'ok' end as verdict from t""")
 def capability_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Signed links with a demonstration key, and what checking them says before and after they end."""
-    key = b"demonstration key"
-    sign, check = artifacts.capability_token(key), artifacts.capability_check(key)
-    d = table(spark, sf_dir, "pages").select(F.concat(F.lit("run/p "), F.col("page_id").cast("string"), F.lit(".md")).alias("rel"), (F.lit(1_700_000_000) + F.col("page_id")).alias("expires"))
-    d = d.withColumn("token", sign("rel", "expires"))
-    return d.select("rel", "token", artifacts.capability_url(F.lit("/artifact"), F.col("rel"), F.col("token")).alias("url"), check("rel", "token", F.lit(1_700_000_010)).alias("verdict"))
+    """Signed links with a demonstration key, and what checking them says before and after they end, or of a later end that was not signed."""
+    sign, check = artifacts.capability_token(DEMO_KEY), artifacts.capability_check(DEMO_KEY)
+    n = F.col("page_id").cast("string")
+    d = table(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("run\\p ("), n, F.lit(")~.md")).alias("rel"), (F.lit(1_700_000_000) + F.col("page_id")).alias("expires"), (F.col("page_id") % 3).alias("w"))
+    d = d.withColumn("signed", artifacts.signed_path(F.col("w"), F.col("rel"))).withColumn("token", sign("signed", "expires"))
+    shown = F.when(F.col("page_id") % 5 == 4, F.concat("token", F.lit("9"))).otherwise(F.col("token"))
+    return d.select("page_id", "rel", "token", artifacts.capability_url(F.lit("/artifact"), F.col("w"), F.col("rel"), F.col("token")).alias("url"), check("signed", shown, F.lit(1_700_000_010)).alias("verdict"))
 
 
 def demo_rows() -> list[tuple[str, bytes]]:
@@ -406,8 +421,11 @@ def demo_rows() -> list[tuple[str, bytes]]:
                 z.writestr(zipfile.ZipInfo(name, (2024, 1, 1, 0, 0, 0)), data, method)
         return out.getvalue()
 
-    good = made({"full.md": b"# Title\n" * 50, "images/a.png": b"\x89PNG", "layout.json": b"{}"})
-    return [("good", good), ("stored", made({"x/full.md": b"text"}, zipfile.ZIP_STORED)), ("bzip", made({"a": b"b" * 99}, zipfile.ZIP_BZIP2)), ("evil", made({"../evil": b"x"})), ("cut", good[:-30]), ("none", b""), ("flipped", good.replace(b"\x89PNG", b"\x88PNG"))]
+    files = {"full.md": b"# Title\n" * 50, "images/a.png": b"\x89PNG", "layout.json": b"{}"}
+    good, plain = made(files), made(files, zipfile.ZIP_STORED)
+    flipped = plain.replace(b"\x89PNG", b"\x88PNG")  # stored as it is, so that the byte is there to flip
+    assert flipped != plain
+    return [("good", good), ("stored", made({"x/full.md": b"text"}, zipfile.ZIP_STORED)), ("bzip", made({"a": b"b" * 99}, zipfile.ZIP_BZIP2)), ("evil", made({"../evil": b"x"})), ("cut", good[:-30]), ("none", b""), ("flipped", flipped)]
 
 
 def demo_archives(spark: SparkSession) -> DataFrame:
