@@ -62,7 +62,7 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     owner = np.cumsum(ends) - ends
     # One space for each run of other characters; every text ends with one.
     keep = np.ones(len(points), bool)
-    keep[1:] = (points[1:] != 32) | (points[:-1] != 32)
+    keep[1:] = (points[1:] != 32) | (points[:-1] != 32) | ends[:-1]  # runs don't reach across texts
     keep |= ends
     points, owner = points[keep], owner[keep]
     if len(points) < 3:
@@ -181,7 +181,13 @@ def predict(df: DataFrame, prototypes: dict[str, list[float]], id_col: str = "do
 
 
 def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 4, held_out: int = 2, dimension: int = DIMENSION) -> DataFrame:
-    """Learn from the rows outside the held-out fold, predict all rows."""
+    """doc_id, held_out, lang_pred, score of each row; learns from the rows outside the held-out fold.
+
+    Null, empty and letterless texts are ``und`` with score 0; so is every text
+    if no row teaches a language. Ties of the cosine go to the first language by
+    name, repeated rows are predicted alike (and each teaches), null ids count
+    as the empty string, an empty table stays empty. Other columns aren't read.
+    """
     fold = crc_mod(id_col, folds)
     prototypes = train(df.filter(fold != held_out), text_col, lang_col, dimension)
     return predict(df, prototypes, id_col, text_col, (fold == held_out).alias("held_out"))
