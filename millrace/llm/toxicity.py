@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import CHUNK_BYTES, bytes_list, crc_mod, cuts, materialize, rows_of
+from millrace.llm.common import CHUNK_BYTES, bytes_list, crc_mod, cuts, discard, materialize, rows_of
 
 #: Characters of the language model: a boundary, a to z, any other letter.
 ALPHABET = "^abcdefghijklmnopqrstuvwxyz~"
@@ -284,7 +284,9 @@ def sampled_words(df: DataFrame, labels: DataFrame, costs: np.ndarray, id_col: s
     top = counted.withColumn("strength", strength).filter(F.col("strength") >= LEAST_STRENGTH).orderBy(F.col("strength").desc(), "word").limit(VOCABULARY).select("word")
     known = sorted(r["word"] for r in top.collect())
     kept = rows.select("toxic", F.array_intersect("words", F.array(*map(F.lit, known)) if known else F.array().cast("array<string>")).alias("words"))
-    return [(r["toxic"], r["words"]) for r in kept.collect()]
+    out = [(r["toxic"], r["words"]) for r in kept.collect()]
+    discard(rows)
+    return out
 
 
 def fit(rows: list[tuple[int, list[str]]], shares: dict[int, float] | None = None) -> tuple[dict[str, float], float]:
