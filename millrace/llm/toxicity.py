@@ -296,21 +296,25 @@ def fit(rows: list[tuple[int, list[str]]], shares: dict[int, float] | None = Non
     prior is that of all labelled rows whatever the sample takes.
     """
     vocabulary = {w: i for i, w in enumerate(sorted({w for _, ws in rows for w in ws}))}
-    y = np.array([t for t, _ in rows], float)
-    if not len(y) or y.min() == y.max():
-        return {}, (0.0 if not len(y) else 4.0 if y[0] else -4.0)
-    x = np.zeros((len(rows), len(vocabulary) + 1), np.float32)
-    for i, (_, ws) in enumerate(rows):
-        x[i, [vocabulary[w] for w in ws]] = 1
+    # Rows with the same words are one, with the shares of either label.
+    groups: dict[tuple[int, ...], list[float]] = {}
+    for t, ws in rows:
+        groups.setdefault(tuple(sorted({vocabulary[w] for w in ws})), [0.0, 0.0])[t] += (shares or {}).get(t, 1.0)
+    total = np.array([groups[k] for k in sorted(groups)]).reshape(-1, 2)
+    if not total[:, 0].any() or not total[:, 1].any():
+        return {}, (0.0 if not rows else 4.0 if total[:, 1].any() else -4.0)
+    total /= total.sum()
+    share, bad = total.sum(axis=1), total[:, 1]
+    x = np.zeros((len(groups), len(vocabulary) + 1))
+    for i, ws in enumerate(sorted(groups)):
+        x[i, list(ws)] = 1
     x[:, -1] = 1
     w, v, ridge = np.zeros(x.shape[1]), np.zeros(x.shape[1]), np.full(x.shape[1], RIDGE)
     ridge[-1] = 0
-    share = np.array([(shares or {}).get(t, 1.0) for t, _ in rows])
-    share /= share.sum()
     step = 4 / np.linalg.norm(x.T @ (x * share[:, None]), 2)
     for k in range(ROUNDS):
         p = 1 / (1 + np.exp(-np.clip(x @ v, -30, 30)))
-        new = v - step * (x.T @ ((p - y) * share) + ridge * v)
+        new = v - step * (x.T @ (p * share - bad) + ridge * v)
         v, w = new + k / (k + 3) * (new - w), new
     return {word: float(w[i]) for word, i in vocabulary.items()}, float(w[-1])
 
