@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.llm import sql
 from millrace.llm.bpe import encode_documents
+from millrace.llm.centroids import cluster_vectors
 from millrace.llm.common import documents
 from millrace.llm.langid import identify
 from millrace.llm.media import media_column
@@ -14,6 +16,7 @@ from millrace.llm.mixing import mix_sources
 from millrace.llm.near_dedup import near_duplicates
 from millrace.llm.quality import quality
 from millrace.llm.secrets import scan_secrets
+from millrace.llm.spelling import spelling_variants
 from millrace.llm.substring_dedup import remove_earlier_windows
 from millrace.llm.suffix_dedup import remove_repeats
 from millrace.llm.toxicity import toxicity
@@ -65,10 +68,20 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(documents(spark, sf_dir))
+
+
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_suffix_dedup, op2_byte_bpe, op3_language_id, op4_media_columns, op5_toxicity, op6_source_mix, op7_order_minhash, op8_substring_dedup, op9_secret_scan, op10_quality_rules)
+    f.__name__: f for f in (op1_suffix_dedup, op2_byte_bpe, op3_language_id, op4_media_columns, op5_toxicity, op6_source_mix, op7_order_minhash, op8_substring_dedup, op9_secret_scan, op10_quality_rules, op12_spelling_variants, op13_centroid_clusters)
 }
 ORACLE_SQL: dict[str, str] = {
+    "op12_spelling_variants": sql.SPELLING,
+    "op13_centroid_clusters": sql.CENTROIDS,
     "op8_substring_dedup": r"""
 WITH texts AS (
     SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
