@@ -10,6 +10,7 @@ from millrace.llm import sql
 from millrace.llm.bpe import encode_documents
 from millrace.llm.centroids import cluster_vectors
 from millrace.llm.common import documents
+from millrace.llm.extraction import extract
 from millrace.llm.langid import identify
 from millrace.llm.media import media_column
 from millrace.llm.mixing import mix_sources
@@ -68,6 +69,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(documents(spark, sf_dir))
 
@@ -77,7 +82,7 @@ def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_suffix_dedup, op2_byte_bpe, op3_language_id, op4_media_columns, op5_toxicity, op6_source_mix, op7_order_minhash, op8_substring_dedup, op9_secret_scan, op10_quality_rules, op12_spelling_variants, op13_centroid_clusters)
+    f.__name__: f for f in (op1_suffix_dedup, op2_byte_bpe, op3_language_id, op4_media_columns, op5_toxicity, op6_source_mix, op7_order_minhash, op8_substring_dedup, op9_secret_scan, op10_quality_rules, op11_html_extraction, op12_spelling_variants, op13_centroid_clusters)
 }
 ORACLE_SQL: dict[str, str] = {
     "op12_spelling_variants": sql.SPELLING,
