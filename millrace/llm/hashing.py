@@ -1,5 +1,8 @@
 """Rolling hashes over bytes and words of many texts at once, in numpy.
 
+Words have two hashes, unlike each other: words of up to 16 bytes by mixing the
+bytes themselves, longer ones by BLAKE2. Sums over units are for stretches of some
+tens of units: over thousands of units there are sequences that collide whatever the base.
 All sums are taken modulo 2**64. A stretch's hash is the sum of its units'
 random numbers times powers of an odd base, shifted back to the stretch's
 start, so stretches of equal units have equal hashes wherever they stand.
@@ -7,6 +10,8 @@ start, so stretches of equal units have equal hashes wherever they stand.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
 U = np.uint64
@@ -53,8 +58,34 @@ class Prefix:
         return mix((self.sums[start + length] - self.sums[start]) * self.inverse[start] + length.astype(U) * U(0xD1B54A32D192ED03))
 
 
+#: For each of a word's two hashes: what its first and next 8 bytes are mixed with.
+WORD_KEYS = ((0x8C3F5D1A7B9E2461, 0xD6E8FEB86659FD93), (0x5851F42D4C957F2D, 0xA0761D6478BD642F))
+
+
+def word_hashes(buf: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """(2, words): two 64-bit hashes of the bytes of each word."""
+    padded = np.concatenate([buf, np.zeros(16, np.uint8)])
+    eights = np.lib.stride_tricks.sliding_window_view(padded, 8)
+
+    def block(at: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Up to 8 bytes as a number."""
+        x = np.ascontiguousarray(eights[at]).view("<u8").reshape(-1).astype(U, copy=False)
+        return np.where(n >= 8, x, x & ((U(1) << (np.minimum(n, 7).astype(U) * U(8))) - U(1)))
+
+    low, out = block(start, size), np.empty((2, len(start)), U)
+    two, many = np.flatnonzero(size > 8), np.flatnonzero(size > 16)
+    high = block(start[two] + 8, size[two] - 8) if len(two) else low[:0]
+    for k, (seed, factor) in enumerate(WORD_KEYS):
+        x = mix((low ^ U(seed)) + size.astype(U) * U(factor))
+        x[two] = mix(x[two] ^ (high * U(factor) + U(seed)))
+        out[k] = x
+    for i in many.tolist():
+        out[:, i] = np.frombuffer(hashlib.blake2b(buf[start[i] : start[i] + size[i]], digest_size=16).digest(), U)
+    return out
+
+
 def words_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, start, end in the joined buffer, first word of each text and the end) of the words of all texts."""
+    """(two hashes, start, end in the joined buffer, first word of each text and the end) of the words of all texts."""
     buf = np.frombuffer(b"\n".join([*texts, b""]) or b"\n", np.uint8)
     at = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])]).astype(np.int64)
     space = SPACE[buf]
@@ -62,8 +93,7 @@ def words_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     if len(space) and not space[0]:
         edge = np.concatenate([[0], edge])
     start, end = edge[0::2], edge[1::2]
-    hashes = Prefix(BYTES[buf]).stretches(start, end - start)
-    return hashes, start, end, np.searchsorted(start, at)
+    return word_hashes(buf, start, end - start), start, end, np.searchsorted(start, at)
 
 
 def owned_runs(units: np.ndarray, first: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -75,7 +76,7 @@ def sketches(texts: list[bytes]) -> tuple[np.ndarray, list[np.ndarray], np.ndarr
     n = sizes[some]
     begin = np.concatenate([[0], np.cumsum(n)])
     owner = np.repeat(np.arange(len(n)), n)
-    kmer = mix(Prefix(hashes).grams(SHINGLE))[np.arange(begin[-1]) - begin[owner] + first[:-1][some][owner]]
+    kmer = mix(Prefix(hashes[0]).grams(SHINGLE))[np.arange(begin[-1]) - begin[owner] + first[:-1][some][owner]]
     # The occurrence label: the place among equal k-mers of the text.
     apart = mix(kmer + owner.astype(U) * U(0xA24BAED4963EE407))
     by = np.argsort(apart, kind="stable")
@@ -98,8 +99,8 @@ def sketches(texts: list[bytes]) -> tuple[np.ndarray, list[np.ndarray], np.ndarr
             bound = bounds(m, minima)[own]
             out = np.empty((len(mine), count), U)
             for j in range(count):
-                seed = U((2 * (kind * 64 + j) + 1) * 0xC2B2AE3D27D4EB4F & 0xFFFFFFFFFFFFFFFF)
-                at = least_places(k * seed, bound, m, own, minima)
+                seed = mix(np.full(1, (kind * 64 + j + 1) * 0xC2B2AE3D27D4EB4F & 0xFFFFFFFFFFFFFFFF, U))[0]
+                at = least_places(mix(k ^ seed), bound, m, own, minima)  # products with related numbers would be related ranks
                 sketch = np.full(len(mine), seed, U)
                 for i in range(minima):
                     sketch = mix(sketch * U(0x9E3779B97F4A7C15) + k[at[:, i]])
@@ -174,7 +175,7 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 def kmers_of(texts: list[bytes]) -> list[np.ndarray]:
     hashes, _, _, first = words_of(texts)
-    grams = mix(Prefix(hashes).grams(SHINGLE))
+    grams = mix(Prefix(hashes[0]).grams(SHINGLE))
     return [grams[a : max(a, b - SHINGLE + 1)] for a, b in zip(first[:-1], first[1:], strict=True)]
 
 
@@ -200,8 +201,9 @@ def likely(pairs: DataFrame, sigs: DataFrame, threshold: float) -> DataFrame:
 
 
 def verified(pairs: DataFrame, sigs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """pairs (a, b) that signatures allow, with ``linked``; none for no pairs. A row that is stated twice brings its pairs twice."""
-    both = with_both(materialize(likely(pairs, sigs, threshold), "near-likely"), texts, "text")
+    """A table of the pairs (a, b) that signatures allow, with ``linked``; none for no pairs."""
+    asked = materialize(likely(pairs, sigs, threshold), "near-likely")
+    both = with_both(asked, texts, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -211,27 +213,36 @@ def verified(pairs: DataFrame, sigs: DataFrame, texts: DataFrame, threshold: flo
                 linked = [similarity(i, j, threshold) >= threshold for i, j in zip(p, q, strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(linked, pa.bool_())], ["a", "b", "linked"])
 
-    return both.mapInArrow(run, "a binary, b binary, linked boolean").groupBy("a", "b").agg(F.max("linked").alias("linked"))
+    # A row that is stated twice brings its pairs twice.
+    out = materialize(both.mapInArrow(run, "a binary, b binary, linked boolean").groupBy("a", "b").agg(F.max("linked").alias("linked")), "near-pairs")
+    discard(asked)
+    return out
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, comp) for edges (a, b): least reachable node, by rounds of neighbours' minima and jumps; no rows for no edges."""
+    """A table (node, comp) for edges (a, b): least reachable node, by rounds of neighbours' minima and jumps; no rows for no edges."""
     both = materialize(edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "near-links")
-    labels = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("comp"))
-    labels = materialize(labels, "near-labels")
+    first = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("comp"), F.lit(None).cast("binary").alias("old"))
+    table = materialize(first, "near-labels")
     while True:
+        labels = table.select("node", "comp")
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("comp").alias("near"))
         # A node's label, its neighbours' labels, and the label of the label.
         jumped = labels.join(labels.select(F.col("node").alias("comp"), F.col("comp").alias("root")), "comp").join(near.withColumnRenamed("a", "node"), "node")
         new = materialize(jumped.select("node", F.least("root", "near").alias("comp"), F.col("comp").alias("old")), "near-labels")
-        changed = new.filter(F.col("comp") != F.col("old")).limit(1).count()
-        labels = new.select("node", "comp")
-        if not changed:
-            return labels
+        discard(table)
+        table = new
+        if not new.filter(F.col("comp") != F.col("old")).limit(1).count():
+            discard(both)
+            return table
 
 
-def leader_rounds(state: DataFrame, sigs: DataFrame, texts: DataFrame, known: DataFrame | None, threshold: float, leaders: tuple[int, ...] | None) -> tuple[DataFrame, DataFrame | None]:
-    """Rounds of leaders in buckets (bucket, tkey, n, rest, order, open): pairs asked so far, and what is left open.
+def union(tables: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionAll, tables)
+
+
+def leader_rounds(state: DataFrame, sigs: DataFrame, texts: DataFrame, known: list[DataFrame], threshold: float, leaders: tuple[int, ...] | None) -> tuple[list[DataFrame], DataFrame | None]:
+    """Rounds of leaders in buckets (bucket, tkey, n, rest, order, open): pairs asked so far, and what is left open, as tables.
 
     Open means neither a leader yet nor linked to one. In every round the
     first members of a bucket, more of them each time, are asked against
@@ -244,7 +255,7 @@ def leader_rounds(state: DataFrame, sigs: DataFrame, texts: DataFrame, known: Da
     a member whose bound rules out partners of that size is no longer open.
     """
     last = Window.partitionBy("bucket").orderBy("order")
-    done = 0
+    done, table = 0, None  # the table that the state is read from, if it is one of ours
 
     def least(n1: str, n2: str) -> Column:
         return F.ceil(threshold / (1 + threshold) * (F.col(n1) + F.col(n2)) - 1e-9)
@@ -258,10 +269,14 @@ def leader_rounds(state: DataFrame, sigs: DataFrame, texts: DataFrame, known: Da
         met = state.join(first, "bucket").filter(leads | fits)
         met = materialize(met.select("bucket", "tkey", F.least("tkey", "l.tkey").alias("a"), F.greatest("tkey", "l.tkey").alias("b"), leads.alias("leads"), F.col("l.n").alias("size")), "near-meetings")
         asked = met.filter("not leads").select("a", "b").distinct()
-        asked = asked if known is None else asked.join(known, ["a", "b"], "left_anti")
-        found = materialize(verified(asked, sigs, texts, threshold), "near-pairs")
-        known = found if known is None else known.unionAll(found)
-        linked = known.filter("linked").select("a", "b", F.lit(True).alias("is_linked"))
+        asked = asked.join(union(known), ["a", "b"], "left_anti") if known else asked
+        # Pairs that signatures rule out are remembered, too: no later round asks them again.
+        asked = materialize(asked, "near-asked")
+        sure = verified(asked, sigs, texts, threshold)
+        found = materialize(asked.join(sure, ["a", "b"], "left").select("a", "b", F.coalesce("linked", F.lit(False)).alias("linked")), "near-pairs")
+        discard(asked, sure)
+        known = [*known, found]
+        linked = union(known).filter("linked").select("a", "b", F.lit(True).alias("is_linked"))
         told = met.join(linked, ["a", "b"], "left").groupBy("bucket", "tkey").agg(F.max("leads").alias("led"), F.max(F.coalesce("is_linked", F.lit(False))).alias("joined"))
         sizes = met.filter("leads").groupBy("bucket").agg(F.max("size").alias("size"))
         left = state.join(sizes, "bucket").join(told, ["bucket", "tkey"], "left").filter("not coalesce(led, false)")
@@ -272,9 +287,11 @@ def leader_rounds(state: DataFrame, sigs: DataFrame, texts: DataFrame, known: Da
         # The last member of a bucket has met all others, and without an open one nothing is left to ask.
         still = left.groupBy("bucket").agg(F.count(F.lit(1)).alias("c"), F.max("open").alias("any")).filter("any and c > 1").select("bucket")
         state = materialize(left.join(still, "bucket", "left_semi"), "near-state")
-        discard(met, left)
+        discard(met, left, table)
+        table = state
         done += 1
         if not state.limit(1).count():
+            discard(state)
             return known, None
     return known, state
 
@@ -313,7 +330,7 @@ def rare_buckets(state: DataFrame, texts: DataFrame, threshold: float) -> DataFr
     return met
 
 
-def across_classes(state: DataFrame, sigs: DataFrame, texts: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
+def across_classes(state: DataFrame, sigs: DataFrame, texts: DataFrame, known: list[DataFrame], threshold: float) -> list[DataFrame]:
     """``known`` plus the pairs of rare buckets whose ends lie in different classes so far and that weren't asked.
 
     A text without any link stays open until it leads, so all its pairs were
@@ -321,15 +338,18 @@ def across_classes(state: DataFrame, sigs: DataFrame, texts: DataFrame, known: D
     Of two different classes in a bucket one isn't its largest, so those outside
     the largest meet all others, not all meet all.
     """
-    comps = components(known.filter("linked").select("a", "b")).withColumnRenamed("node", "tkey")
+    classed = components(union(known).filter("linked").select("a", "b"))
+    comps = classed.select(F.col("node").alias("tkey"), "comp")
     who = materialize(state.select("bucket", "tkey", "n", "rest").join(comps, "tkey"), "near-classed")
     sizes = who.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("c"))
     largest = sizes.groupBy("bucket").agg(F.max_by("comp", F.struct("c", "comp")).alias("largest"), F.count(F.lit(1)).alias("classes")).filter("classes > 1").select("bucket", "largest")
     ours = who.join(largest, "bucket").filter(F.col("comp") != F.col("largest")).select("bucket", F.struct("tkey", "n", "rest", "comp").alias("l"))
     least = F.ceil(threshold / (1 + threshold) * (F.col("n") + F.col("l.n")) - 1e-9)
     met = who.join(ours, "bucket").filter((F.col("comp") != F.col("l.comp")) & (least <= F.least("rest", "l.rest")))
-    asked = met.select(F.least("tkey", "l.tkey").alias("a"), F.greatest("tkey", "l.tkey").alias("b")).distinct().join(known.select("a", "b"), ["a", "b"], "left_anti")
-    return known.unionAll(materialize(verified(asked, sigs, texts, threshold), "near-pairs"))
+    asked = met.select(F.least("tkey", "l.tkey").alias("a"), F.greatest("tkey", "l.tkey").alias("b")).distinct().join(union(known).select("a", "b"), ["a", "b"], "left_anti")
+    found = verified(asked, sigs, texts, threshold)
+    discard(classed, who)
+    return [*known, found]
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -355,21 +375,24 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     texts = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("tkey", F.unhex(F.md5("text")))
     texts = materialize(texts.join(needed, F.col("doc_id").eqNullSafe(F.col("r")) & (F.col("tkey") == F.col("t"))).select("tkey", "text"), "near-members")
     state = members.withColumn("rest", F.col("n").cast("long")).withColumn("open", F.lit(True))
-    known, state = leader_rounds(state, sigs, texts, None, threshold, LEADERS)
-    if state is not None:
-        state = rare_buckets(state, texts, threshold)
-        known, _ = leader_rounds(state, sigs, texts, known, threshold, None)
-        known = across_classes(state, sigs, texts, known, threshold)
-    links = materialize(known.filter("linked").select("a", "b"), "near-linked")
+    known, left = leader_rounds(state, sigs, texts, [], threshold, LEADERS)
+    if left is not None:
+        rare = rare_buckets(left, texts, threshold)
+        discard(left)
+        known, _ = leader_rounds(rare, sigs, texts, known, threshold, None)
+        known = across_classes(rare, sigs, texts, known, threshold)
+        discard(rare)
+    links = materialize(union(known).filter("linked").select("a", "b"), "near-linked")
+    discard(*known)
     comps = components(links)
     degree = links.select(F.col("a").alias("node")).unionAll(links.select(F.col("b").alias("node"))).groupBy("node").agg(F.count(F.lit(1)).alias("n_verified_links"))
-    classes = sigs.select("tkey", "rep").join(comps.withColumnRenamed("node", "tkey"), "tkey", "left").join(degree.withColumnRenamed("node", "tkey"), "tkey", "left")
+    classes = sigs.select("tkey", "rep").join(comps.select(F.col("node").alias("tkey"), "comp"), "tkey", "left").join(degree.withColumnRenamed("node", "tkey"), "tkey", "left")
     classes = classes.select("tkey", "rep", F.coalesce("comp", "tkey").alias("comp"), F.coalesce("n_verified_links", F.lit(0)).alias("n_verified_links"))
-    classes = materialize(classes, "near-classes")
-    least = materialize(classes.groupBy("comp").agg(F.min("rep").alias("class_id")), "near-least")
-    classes = classes.join(least, "comp").select("tkey", "rep", "class_id", "n_verified_links", "comp")
+    made = materialize(classes, "near-classes")
+    least = materialize(made.groupBy("comp").agg(F.min("rep").alias("class_id")), "near-least")
+    classes = made.join(least, "comp").select("tkey", "rep", "class_id", "n_verified_links", "comp")
     rows = materialize(keyed.select("doc_id", "tkey").join(classes, "tkey").select("doc_id", "class_id", "n_verified_links", "tkey", "rep", F.hex("comp").alias("class_key")), "near-rows")
-    discard(keyed, sigs, shared, members, texts, links, least)
+    discard(keyed, sigs, shared, members, texts, links, comps, made, least)
     return rows
 
 

@@ -58,7 +58,7 @@ def word_pieces(texts: list[bytes], size: int = runs.PIECE) -> tuple[list[bytes]
 
 
 def piece_words(texts: list[bytes], size: int = runs.PIECE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash of each word, first word of each piece and the end, text of each piece, words of its text before each piece)."""
+    """(two hashes of each word, first word of each piece and the end, text of each piece, words of its text before each piece)."""
     pieces, owner, own = word_pieces(texts, size)
     hashes, start, _, first = words_of(pieces)
     at = np.concatenate([[0], np.cumsum([len(p) + 1 for p in pieces])])[:-1]
@@ -70,15 +70,14 @@ def piece_words(texts: list[bytes], size: int = runs.PIECE) -> tuple[np.ndarray,
 
 def word_runs(texts: list[bytes], size: int = runs.PIECE) -> runs.Runs:
     hashes, first, text, before = piece_words(texts, size)
-    piece, start, n, key, _ = owned_runs(hashes, first, WINDOW, GRAM)
-    length = n + WINDOW - 1
-    c1, c2 = Prefix(hashes).stretches(start, length), Prefix(mix(hashes)).stretches(start, length)
+    piece, start, n, key, _ = owned_runs(hashes[0], first, WINDOW, GRAM)
+    c1, c2 = (Prefix(h).stretches(start, n + WINDOW - 1) for h in hashes)
     return text[piece], {"key": key.view(np.int64), "c1": c1.view(np.int64), "c2": c2.view(np.int64), "start": start - first[piece] + before[piece], "n": n.astype(np.int32)}
 
 
 def anchors(texts: list[bytes]) -> np.ndarray:
     hashes, first, _, _ = piece_words(texts)
-    return owned_runs(hashes, first, WINDOW, GRAM)[3]
+    return owned_runs(hashes[0], first, WINDOW, GRAM)[3]
 
 
 def cells(key: np.ndarray, row: int, width: int) -> np.ndarray:
@@ -188,7 +187,7 @@ def window_rows(docs: DataFrame, firsts: DataFrame) -> DataFrame:
                 at = np.repeat(s, k) + np.arange(int(k.sum())) - np.repeat(np.cumsum(k) - k, k)
                 unit = at + first[own]
                 size = np.full(len(unit), WINDOW)
-                w1, w2 = Prefix(hashes).stretches(unit, size), Prefix(mix(hashes)).stretches(unit, size)
+                w1, w2 = (Prefix(h).stretches(unit, size) for h in hashes)
                 yield pa.RecordBatch.from_arrays([pa.array(w1.view(np.int64)), pa.array(w2.view(np.int64)), pa.array(did[lo + own]), pa.array(rid[lo + own]), pa.array(at)], ["w1", "w2", "did", "rid", "start"])
 
     # Equal rows give equal windows twice; their places are equal too, so none counts as later.

@@ -375,3 +375,9 @@ def test_pipeline(spark, tmp_path):
         want.append((x["doc_id"], len(e), hashlib.sha256(" ".join(map(str, e)).encode()).hexdigest(), hashlib.sha256(x["text"].encode()).hexdigest()))
     assert sorted(tuple(x)[:4] for x in kept["tokens"]) == sorted(want)
     assert sorted(map(tuple, corpus_pipeline.run(spark, sf_dir).collect())) == sorted(map(tuple, kept["tokens"]))
+
+
+def test_substring_long_words_of_equal_polynomial_hash(spark):
+    same, words = ["w"] * 19, ["".join("ab"[(i.bit_count() + f) % 2] for i in range(n)) for n in (1024, 2048, 4096) for f in range(2)]
+    rows = [(k, " ".join([*same, w])) for k, w in enumerate(words)]
+    assert all(r.n_removed == 0 for r in substring_dedup.remove_earlier_windows(spark.createDataFrame(rows, "doc_id long, text string")).collect())

@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 
-from millrace.llm import near_dedup
+from millrace.llm import common, near_dedup
 
 
 def shingles(text):
@@ -66,12 +66,12 @@ def test_link_between_closed_members_of_different_leaders(spark):
     known = spark.createDataFrame([(key("A"), key("D"), True)], "a binary, b binary, linked boolean")
     size = {k: len(shingles(v)) for k, v in texts.items()}
     state = spark.createDataFrame([(1, key(k), size[k], 99, (size[k], i), k in "BC") for i, k in enumerate("CBA")], "bucket long, tkey binary, n int, rest long, order struct<n:int,o:int>, open boolean")
-    found, _ = near_dedup.leader_rounds(state, sigs, frame, known, 0.8, None)
-    by_leaders = {(bytes(r["a"]), bytes(r["b"])) for r in found.filter("linked").collect()}
+    found, _ = near_dedup.leader_rounds(state, sigs, frame, [known], 0.8, None)
+    by_leaders = {(bytes(r["a"]), bytes(r["b"])) for r in near_dedup.union(found).filter("linked").collect()}
     assert by_leaders == {(b"A", b"D"), (b"B", b"C")}  # the loss
     found = near_dedup.across_classes(state, sigs, frame, found, 0.8)
-    assert {(bytes(r["a"]), bytes(r["b"])) for r in found.filter("linked").collect()} == by_leaders | {(b"A", b"B")}
-    assert len({bytes(r["comp"]) for r in near_dedup.components(found.filter("linked")).collect()}) == 1
+    assert {(bytes(r["a"]), bytes(r["b"])) for r in near_dedup.union(found).filter("linked").collect()} == by_leaders | {(b"A", b"B")}
+    assert len({bytes(r["comp"]) for r in near_dedup.components(near_dedup.union(found).filter("linked")).collect()}) == 1
 
 
 def test_links_are_named_as_those_verified(spark):
@@ -146,3 +146,43 @@ def test_signatures_pass_what_is_similar():
         lost += not ok(x, y)
         passed += ok(x, z)
     assert lost == 0 and passed < 5
+
+
+def edited(r, words, changes):
+    """The words with so many of them replaced, far apart."""
+    out = list(words)
+    for i in r.sample(range(0, len(words), 6), changes):
+        out[i] = f"new{i}"
+    return out
+
+
+def test_pairs_just_above_the_threshold_share_a_sketch():
+    r, texts = random.Random(11), []
+    while len(texts) < 2 * 1500:
+        n = r.choice([60, 150, 300, 500])
+        a = [f"w{r.randrange(30_000)}" for _ in range(n)]
+        b = edited(r, a, int((n - 4) * 0.0215) + r.randint(0, 1))
+        s = near_dedup.similarity(*(k.tolist() for k in near_dedup.kmers_of([" ".join(x).encode() for x in (a, b)])))
+        if 0.8 <= s <= 0.83:
+            texts += [" ".join(a).encode(), " ".join(b).encode()]
+    _, buckets, _ = near_dedup.sketches(texts)
+    assert sum(not np.isin(a, b).any() for a, b in zip(buckets[::2], buckets[1::2], strict=True)) == 0
+
+
+def thue_morse(n, flip=0):
+    return "".join("ab"[(i.bit_count() + flip) % 2] for i in range(n))
+
+
+def test_long_words_of_equal_polynomial_hash_are_different_texts(spark):
+    rows = [(2 * k + f, " ".join([thue_morse(n, f)] * 7)) for k, n in enumerate((1024, 2048, 4096)) for f in range(2)]
+    out = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r.class_id == r.doc_id for r in out)
+
+
+def test_intermediate_tables_are_deleted(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "shared_dir", lambda _: f"file://{tmp_path}")
+    r = random.Random(3)
+    common_words = [f"c{i}" for i in range(60)]
+    rows = [(k, " ".join([*common_words, *(f"w{r.randrange(10**6)}" for _ in range(25))])) for k in range(40)]
+    near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()] == ["near-rows"]
