@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import names
 from millrace.functions.dimensions import BATCH_LIMITS, CALL_LIMIT, LIGHT_UNSUPPORTED, SIZE_LIMITS, SUPPORTED
+from millrace.operators.scans import fresh
 
 
 def classify(df: DataFrame, source: str = "source") -> DataFrame:
@@ -97,6 +98,28 @@ def chunk(df: DataFrame, by: list[str], order: str, limit: Column | int, prefix:
     )
 
 
+def ordered_abort(df: DataFrame, by: list[str], steps: list[str], order: str, reason: str) -> DataFrame:
+    """Adds outcome, call_error and failed_at (the place, ``order``, of the first refusal) of each item of calls whose chunks go out one after the other.
+
+    Chunks of a call, told apart and ordered by ``steps``, go out until one holds
+    an item with a ``reason``: the chunks before it are SENT, the item is REFUSED,
+    the others of its chunk are ABORTED, and what comes after is NOT_SENT. The
+    call's error is the reason of its first refused item. A call is bounded
+    (``CALL_LIMIT``), so its window is.
+    """
+    bad = F.struct(F.struct(*steps).alias("step"), F.col(order).alias("place"), F.col(reason).alias("reason"))
+    first = F.min(F.when(F.col(reason).isNotNull(), bad)).over(Window.partitionBy(*by))
+    (at,) = fresh(df, "first_bad")
+    step, here = F.struct(*steps), F.col(at)
+    outcome = (
+        F.when(here.isNull() | (step < here["step"]), "SENT")
+        .when(step > here["step"], "NOT_SENT")
+        .when(F.col(order) == here["place"], "REFUSED")
+        .otherwise("ABORTED")
+    )
+    return df.withColumn(at, first).withColumn("outcome", outcome).withColumn("call_error", here["reason"]).withColumn("failed_at", here["place"]).drop(at)
+
+
 def chunk_limit(kind: Column) -> Column:
     return F.when(kind == "url", BATCH_LIMITS["url"]).otherwise(BATCH_LIMITS["file"])
 

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.operators.scans import ROWS, Ordered
+from millrace.storage import Tables
+
 RETRIES, DEFAULT_WAIT_S, MAX_WAIT_S = 2, 30, 120
 
 
@@ -26,6 +29,61 @@ def throttle(df: DataFrame, by: list[str], ts_us: str, order: str, period_us: in
     return d.withColumn("release_us", F.coalesce(F.greatest(F.col(ts_us), before - F.lit((burst - 1) * period_us)), F.col(ts_us)))
 
 
+def shared_throttle(df: DataFrame, ts_us: str, order: str, rates: DataFrame | None = None, initial: tuple[int, int] = (50, 10), period_us: int = 60_000_000, rows: int = ROWS) -> DataFrame:
+    """Adds release_us: when one bucket that all rows share lets each through, in the order of ``ts_us``, ``order``.
+
+    The bucket refills with ``per_period`` tokens every ``period_us`` and holds
+    ``burst``, first as in ``initial``, later as the rows of ``rates`` (ts_us,
+    per_period, burst) say: from its time on a new rate also serves those that
+    wait, tokens stay, and what a smaller bucket can't hold is lost. At one instant
+    a change comes before requests; of changes at one instant the greatest row is the last.
+    A null time is that of the queue's begin.
+
+    Work of the bucket is counted in tokens of refill since the queue began
+    (``spent``): a request takes x, the work when its token is paid for, to
+    max(x + 1, now + 1), a change of size to max(x + growth, now + growth, now). Such maps
+    compose to maps of the same kind, so x is a running sum and a running
+    maximum, each of which is scanned range by range; nothing is done in the
+    queue's order by one task. All numbers are whole: a token is ``period_us`` units.
+    Queues of up to 10**11 requests a minute's rate stay inside a long.
+    """
+    spark = df.sparkSession
+    tables = Tables(spark)
+    begin = df.agg(F.min(ts_us).alias("t")).first().t or 0
+    changes = spark.createDataFrame([(begin, 0, *initial)], "ts_us long, later int, per_period int, burst int")
+    if rates is not None:
+        told = rates.select(F.coalesce("ts_us", F.lit(begin)).cast("long").alias("ts_us"), F.lit(1), F.col("per_period").cast("int"), F.col("burst").cast("int"))
+        changes = changes.unionAll(told.filter(F.col("ts_us") >= begin))
+    # The refill when each rate begins.
+    r = Ordered(changes, ["ts_us", "later", "per_period", "burst"], tables, rows)
+    r = r.running(was=("before", F.struct("ts_us", "per_period")))
+    r = r.running(filled=("sum", F.coalesce(F.col("was.per_period").cast("long") * (F.col("ts_us") - F.col("was.ts_us")), F.lit(0))))
+    segment = F.struct(F.col("ts_us").alias("begin"), "later", F.col("per_period").alias("rate"), "burst", "filled")
+    asked = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.coalesce(F.col(f"`{ts_us}`"), F.lit(begin)).alias("t"), F.lit(1).alias("kind"), F.col(f"`{order}`").alias("o"), F.lit(None).cast(r.df.select(segment).schema[0].dataType).alias("segment"))
+    told = r.df.select(F.lit(None).cast(asked.schema["row"].dataType).alias("row"), F.col("ts_us").alias("t"), F.lit(0).alias("kind"), F.lit(None).cast(asked.schema["o"].dataType).alias("o"), segment.alias("segment"))
+    q = Ordered(asked.unionAll(told), ["t", "kind", "segment", "o"], tables, rows)
+    q = q.running(now=("last", F.col("segment")), was=("before", F.col("segment")))
+    token = F.lit(period_us)
+    now = F.col("now.filled") + F.col("now.rate").cast("long") * (F.col("t") - F.col("now.begin"))
+    step = F.when(F.col("kind") == 1, token.cast("long")).otherwise(F.coalesce(F.col("now.burst").cast("long") - F.col("was.burst"), F.lit(0)) * token)
+    least = now + F.greatest(step, F.lit(0))
+    q = q.running(steps=("sum", step))
+    q = q.running(x=("max", least - F.col("steps")))
+    spent = F.col("x") + F.col("steps")  # after this row
+    start = F.greatest(now, spent - token - (F.col("now.burst").cast("long") - 1) * token)  # the refill at which its token is there
+    paid = q.df.filter("kind = 1").select("row", "t", "o", start.alias("need"))
+    # The instant of that refill: the last rate that begins with less.
+    none = lambda d, c: F.lit(None).cast(d.schema[c].dataType).alias(c)
+    paid = paid.select("need", F.lit(1).alias("kind"), "t", "o", "row", none(told, "segment"))
+    begins = told.select(F.col("segment.filled").alias("need"), F.lit(0).alias("kind"), "t", none(asked, "o"), none(asked, "row"), "segment")
+    upto = Ordered(paid.unionAll(begins), ["need", "kind", "t", "segment", "o"], tables, rows)
+    upto = upto.running(now=("last", F.col("segment")))
+    wait = F.expr("(need - now.filled + now.rate - 1) div now.rate")
+    released = Tables(spark).write(upto.df.filter("kind = 1").select("row.*", F.greatest("t", F.col("now.begin") + wait).alias("release_us")), "released")
+    tables.drop()
+    return released
+
+
 def daily_quota(df: DataFrame, day: str, slot: str, order: list[str], cost: str, limit: int) -> DataFrame:
     """Adds used and rejected. Rejected submissions stay counted.
 
