@@ -86,10 +86,12 @@ def packed_bytes(data: bytes, e: Entry) -> bytes:
 
 def content(data: bytes, e: Entry) -> bytes:
     """The whole content, its size and CRC verified."""
-    raw = packed_bytes(data, e)
+    return verified(packed_bytes(data, e), e)
+
+
+def verified(raw: bytes, e: Entry) -> bytes:
     if e.method == 8:
-        d = zlib.decompressobj(-15)
-        raw = d.decompress(raw, e.uncompressed_size + 1)
+        raw = zlib.decompressobj(-15).decompress(raw, e.uncompressed_size + 1)
     if len(raw) != e.uncompressed_size:
         raise ArchiveError("CORRUPT", "size differs")
     if zlib.crc32(raw) != e.crc32:

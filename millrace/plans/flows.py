@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.dimensions import SUPPORTED
-from millrace.operators import admission, limits
+from millrace.operators import admission, limits, unpack
 from millrace.operators.runs import RunStore
 from millrace.plans.catalogue import DEMO_LIMITS, ITEMS_SQL, STATE_SQL, batch_items, query, quoted, table
 from millrace.storage import shared_path
@@ -186,3 +186,35 @@ def committed_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         store.commit(attempt)
     store.vacuum()
     return store.outputs().groupBy("run").agg(F.count(F.lit(1)).alias("n_outputs"), F.sum("bytes").alias("bytes"), F.min("event_id").alias("first_output"))
+
+
+#: Documents an archive; some archives are damaged: a byte of the first file, the end, or the name of the second file.
+ARCHIVE_DOCS = 20
+PACK_SQL = f"""with d as (select doc_id, doc_id // {ARCHIVE_DOCS} as archive, text, row_number() over (partition by doc_id // {ARCHIVE_DOCS} order by doc_id) - 1 as ordinal from documents where text is not null and doc_id >= 0),
+a as (select archive, case archive % 7 when 2 then 'CORRUPT' when 4 then 'CORRUPT' when 5 then 'UNSAFE' end as error, case archive % 7 when 2 then 0 when 4 then -1 when 5 then 1 end as bad, count(*) as n from d group by 1)
+"""
+
+
+def packed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives of the documents, written as a table; every seventh each is damaged in one of three ways."""
+    n, a = F.col("doc_id"), F.col("archive")
+    d = table(spark, sf_dir, "documents").filter("text is not null and doc_id >= 0").withColumn("archive", F.floor(n / ARCHIVE_DOCS).cast("long"))
+    nth = F.pmod(n, F.lit(ARCHIVE_DOCS))
+    evil = (a % 7 == 5) & (nth == 1)
+    d = d.select("archive", "doc_id", F.when(evil, "../evil.md").otherwise(F.concat(F.lit("d/doc-"), n.cast("string"), F.lit(".md"))).alias("name"), F.col("text").cast("binary").alias("text"))
+    zips = unpack.packed(d, "archive", "doc_id", "name", "text")
+    c, size = F.col("content"), F.octet_length("content")
+    flip = F.locate("PK\x01\x02", F.decode("content", "ISO-8859-1"))  # the directory; the checksum is 16 bytes on
+    byte = F.unhex(F.lpad(F.hex(F.conv(F.hex(F.substr(c, flip + 16, F.lit(1))), 16, 10).cast("int").bitwiseXOR(F.lit(255))), 2, "0"))
+    damaged = F.when(a % 7 == 2, F.concat(F.substr(c, F.lit(1), flip + 15), byte, F.substr(c, flip + 17))).when(a % 7 == 4, F.substr(c, F.lit(1), size - 30)).otherwise(c)
+    path = shared_path(spark, "archives")
+    zips.select("archive", damaged.alias("content")).write.parquet(path)
+    return spark.read.schema("archive long, content binary").parquet(path)
+
+
+@query(PACK_SQL + """select archive, ordinal::int as ordinal, 'd/doc-' || doc_id || '.md' as name, strlen(text)::bigint as size, sha256(text) as sha256, null as error from d join a using (archive) where error is null
+union all select archive, bad::int, null, null, null, error from a""" + " where error is not null and n > 1 or bad <= 0")
+def unpacked_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every file of the good archives of documents, and what is wrong with each of the others."""
+    out = unpack.extract_all(packed_documents(spark, sf_dir), spark.sparkContext.defaultParallelism)
+    return out.select("archive", "ordinal", "name", "size", F.sha2("content", 256).alias("sha256"), "error")
