@@ -186,7 +186,7 @@ def with_both(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
 
 
 def likely(pairs: DataFrame, sigs: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose signatures don't rule out a link."""
+    """The pairs (a, b) with ok: their signatures don't rule out a link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -195,15 +195,15 @@ def likely(pairs: DataFrame, sigs: DataFrame, threshold: float) -> DataFrame:
                 filled = ((x > 0) | (y > 0)).sum(axis=1)
                 agreed = ((x == y) & (x > 0)).sum(axis=1)
                 ok = agreed >= threshold * filled - DEVIATIONS * np.sqrt(threshold * (1 - threshold) * filled)
-                yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(ok)) for c in ("a", "b")], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(ok)], ["a", "b", "ok"])
 
-    return with_both(pairs, sigs, "signature").mapInArrow(run, "a binary, b binary")
+    return with_both(pairs, sigs, "signature").mapInArrow(run, "a binary, b binary, ok boolean")
 
 
-def verified(pairs: DataFrame, sigs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """A table of the pairs (a, b) that signatures allow, with ``linked``; none for no pairs."""
+def verified(pairs: DataFrame, sigs: DataFrame, texts: DataFrame, threshold: float) -> list[DataFrame]:
+    """Tables of the pairs (a, b) with ``linked``: those that texts decided, and those that signatures did; none for no pairs."""
     asked = materialize(likely(pairs, sigs, threshold), "near-likely")
-    both = with_both(asked, texts, "text")
+    both = with_both(asked.filter("ok").select("a", "b"), texts, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -215,8 +215,9 @@ def verified(pairs: DataFrame, sigs: DataFrame, texts: DataFrame, threshold: flo
 
     # A row that is stated twice brings its pairs twice.
     out = materialize(both.mapInArrow(run, "a binary, b binary, linked boolean").groupBy("a", "b").agg(F.max("linked").alias("linked")), "near-pairs")
-    discard(asked)
-    return out
+    refused = asked.filter("not ok").select("a", "b", F.lit(False).alias("linked"))
+    refused.folder = asked.folder
+    return [out, refused]
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -241,10 +242,17 @@ def union(tables: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionAll, tables)
 
 
+def live(state: DataFrame) -> DataFrame:
+    """Members of the buckets in which something is left to ask: the last one of a bucket has met all others, and without an open one nobody asks."""
+    bucket = Window.partitionBy("bucket")
+    counted = state.withColumn("c", F.count(F.lit(1)).over(bucket)).withColumn("any", F.max("open").over(bucket))
+    return counted.filter("any and c > 1").select("bucket", "tkey", "n", "rest", "order", "open")
+
+
 def leader_rounds(state: DataFrame, sigs: DataFrame, texts: DataFrame, known: list[DataFrame], threshold: float, leaders: tuple[int, ...] | None) -> tuple[list[DataFrame], DataFrame | None]:
     """Rounds of leaders in buckets (bucket, tkey, n, rest, order, open): pairs asked so far, and what is left open, as tables.
 
-    Open means neither a leader yet nor linked to one. In every round the
+    Buckets are ``live``. Open means neither a leader yet nor linked to one. In every round the
     first members of a bucket, more of them each time, are asked against
     all members that have not led. ``rest`` bounds the k-mers that a member can
     share in this bucket; pairs that the bounds rule out are not aligned.
@@ -262,7 +270,7 @@ def leader_rounds(state: DataFrame, sigs: DataFrame, texts: DataFrame, known: li
 
     while leaders is None or done < len(leaders):
         count = 4**done if leaders is None else leaders[done]
-        who = state.filter("open") if leaders is not None else state.join(state.filter("open").select("bucket").distinct(), "bucket", "left_semi")
+        who = state.filter("open") if leaders is not None else state
         first = who.withColumn("place", F.row_number().over(last)).filter(F.col("place") <= count).select("bucket", F.struct("tkey", "n", "rest", "open").alias("l"))
         leads = F.col("tkey") == F.col("l.tkey")
         fits = (F.col("open") | F.col("l.open")) & (least("n", "l.n") <= F.least("rest", "l.rest"))
@@ -271,11 +279,7 @@ def leader_rounds(state: DataFrame, sigs: DataFrame, texts: DataFrame, known: li
         asked = met.filter("not leads").select("a", "b").distinct()
         asked = asked.join(union(known), ["a", "b"], "left_anti") if known else asked
         # Pairs that signatures rule out are remembered, too: no later round asks them again.
-        asked = materialize(asked, "near-asked")
-        sure = verified(asked, sigs, texts, threshold)
-        found = materialize(asked.join(sure, ["a", "b"], "left").select("a", "b", F.coalesce("linked", F.lit(False)).alias("linked")), "near-pairs")
-        discard(asked, sure)
-        known = [*known, found]
+        known = [*known, *verified(asked, sigs, texts, threshold)]
         linked = union(known).filter("linked").select("a", "b", F.lit(True).alias("is_linked"))
         told = met.join(linked, ["a", "b"], "left").groupBy("bucket", "tkey").agg(F.max("leads").alias("led"), F.max(F.coalesce("is_linked", F.lit(False))).alias("joined"))
         sizes = met.filter("leads").groupBy("bucket").agg(F.max("size").alias("size"))
@@ -283,11 +287,8 @@ def leader_rounds(state: DataFrame, sigs: DataFrame, texts: DataFrame, known: li
         open_ = F.col("open") & ~F.coalesce("joined", F.lit(False))
         if leaders is None:
             open_ &= least("n", "size") <= F.col("rest")
-        left = materialize(left.withColumn("open", open_).select("bucket", "tkey", "n", "rest", "order", "open"), "near-state")
-        # The last member of a bucket has met all others, and without an open one nothing is left to ask.
-        still = left.groupBy("bucket").agg(F.count(F.lit(1)).alias("c"), F.max("open").alias("any")).filter("any and c > 1").select("bucket")
-        state = materialize(left.join(still, "bucket", "left_semi"), "near-state")
-        discard(met, left, table)
+        state = materialize(live(left.withColumn("open", open_)), "near-state")
+        discard(met, table)
         table = state
         done += 1
         if not state.limit(1).count():
@@ -349,7 +350,7 @@ def across_classes(state: DataFrame, sigs: DataFrame, texts: DataFrame, known: l
     asked = met.select(F.least("tkey", "l.tkey").alias("a"), F.greatest("tkey", "l.tkey").alias("b")).distinct().join(union(known).select("a", "b"), ["a", "b"], "left_anti")
     found = verified(asked, sigs, texts, threshold)
     discard(classed, who)
-    return [*known, found]
+    return [*known, *found]
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -379,7 +380,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     if left is not None:
         rare = rare_buckets(left, texts, threshold)
         discard(left)
-        known, _ = leader_rounds(rare, sigs, texts, known, threshold, None)
+        known, _ = leader_rounds(live(rare), sigs, texts, known, threshold, None)
         known = across_classes(rare, sigs, texts, known, threshold)
         discard(rare)
     links = materialize(union(known).filter("linked").select("a", "b"), "near-linked")
