@@ -1,7 +1,6 @@
-"""Registered queries of calls: sources, options, bodies, waiting, landing, and the driver-side submitter.
+"""Registered queries of calls: options, bodies, waiting, landing; and rules shown case by case, the driver-side submitter's among them.
 
-Where a rule is a matter of cases, the SQL is the table of cases with the
-results written down from the rule.
+The SQL of a rule is the table of its cases with the results written down from it.
 """
 
 from __future__ import annotations
@@ -19,7 +18,7 @@ from millrace.config import MODELS
 from millrace.functions import names
 from millrace.functions.dimensions import SUPPORTED
 from millrace.operators import admission, archive, artifacts, limits, status
-from millrace.plans.catalogue import LAND_SQL, STATE_SQL, demo_rows, landed, query, table, task_records
+from millrace.plans.catalogue import LAND_SQL, STATE_SQL, demo_rows, landed, query, rule, table, task_records
 from millrace.sources import files
 from millrace.sources.service import Ledger, RateLimiter, ServiceError, Simulator, Submitter
 from millrace.streaming import tasks
@@ -57,7 +56,7 @@ URL_CASES = (
 )
 
 
-@query(cases_sql([(u, "BAD_ARGS" if not ok else None, n, f) for u, ok, n, f in URL_CASES], "url, refusal, name, file_name"))
+@rule(cases_sql([(u, "BAD_ARGS" if not ok else None, n, f) for u, ok, n, f in URL_CASES], "url, refusal, name, file_name"))
 def url_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Name and file name of URLs, or their refusal."""
     u = F.col("url")
@@ -92,7 +91,7 @@ def source_rows(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
     return asked, found
 
 
-@query(cases_sql([(c[0], c[1], c[2].strip(), *c[4:]) for c in SOURCE_CASES if c[4]], "call, ord, source, kind, rn, reason", "call::bigint as call, ord::bigint as ord, source, kind, rn::bigint as rn, reason"))
+@rule(cases_sql([(c[0], c[1], c[2].strip(), *c[4:]) for c in SOURCE_CASES if c[4]], "call, ord, source, kind, rn, reason", "call::bigint as call, ord::bigint as ord, source, kind, rn::bigint as rn, reason"))
 def source_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mixed sources of a call, parted by kind in their order, files looked up in a listing, first failure first."""
     asked, found = source_rows(spark)
@@ -104,7 +103,7 @@ def source_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("call", "ord", "source", "kind", "rn", admission.reason(agent, F.col("ext"), size, admission.size_limit(agent, F.lit(0)), is_url).alias("reason"))
 
 
-@query("select 2::bigint as call, 'BAD_ARGS' as refusal")
+@rule("select 2::bigint as call, 'BAD_ARGS' as refusal")
 def blank_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return admission.empty_calls(source_rows(spark)[0])
 
@@ -187,7 +186,7 @@ def file_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 LABEL_CASES = (("precision", True, "precision"), ("precision", False, "precision-missing-token"), ("auto", True, "precision"), ("auto", False, "agent"), ("agent", True, "agent"), ("agent", False, "agent"), ("other", True, "agent"))
 
 
-@query(cases_sql(LABEL_CASES, "mode, has_token, label"))
+@rule(cases_sql(LABEL_CASES, "mode, has_token, label"))
 def tier_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = spark.createDataFrame([c[:2] for c in LABEL_CASES], "mode string, has_token boolean")
     return d.select("*", admission.api_label(F.col("mode"), F.col("has_token")).alias("label"))
@@ -205,7 +204,7 @@ SETTING_CASES = (
 )
 
 
-@query(cases_sql(SETTING_CASES, "given, base_url, token, header"))
+@rule(cases_sql(SETTING_CASES, "given, base_url, token, header"))
 def call_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base URLs without slashes at their end, usable tokens, and headers of which the later ones win."""
     g = F.col("given")
@@ -217,7 +216,7 @@ def call_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
 ENTRY_CASES = (("a/", 0, "00000000", True, 0), ("a", 16, "01000000", True, 1), ("a", 48, "ffffffff", True, 4294967295), ("a", 32, "504b0304", False, 67324752), ("a/b", 0, "00000080", False, 2147483648))
 
 
-@query(cases_sql(ENTRY_CASES, "name, attr, raw, is_dir, number", "name, attr::bigint as attr, raw, is_dir, number::bigint as number"))
+@rule(cases_sql(ENTRY_CASES, "name, attr, raw, is_dir, number", "name, attr::bigint as attr, raw, is_dir, number::bigint as number"))
 def entry_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = spark.createDataFrame([c[:3] for c in ENTRY_CASES], "name string, attr long, raw string")
     return d.select("*", names.is_directory(F.col("name"), F.col("attr")).alias("is_dir"), archive.unsigned32(F.unhex("raw")).alias("number"))
@@ -281,7 +280,7 @@ TEXT_CASES = (
 )
 
 
-@query(cases_sql(TEXT_CASES, "archive, text, truncated, bytes, error", "archive, text, truncated, bytes::bigint as bytes, error"))
+@rule(cases_sql(TEXT_CASES, "archive, text, truncated, bytes, error", "archive, text, truncated, bytes::bigint as bytes, error"))
 def zip_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main document of each archive up to 24 bytes; none: empty text."""
     d = spark.createDataFrame([(n, bytearray(b)) for n, b in demo_rows()], "archive string, content binary")
@@ -397,7 +396,7 @@ def service_outcome(scenario: str) -> str:
     return "nothing"
 
 
-@query(cases_sql(SERVICE_CASES, "scenario, outcome"))
+@rule(cases_sql(SERVICE_CASES, "scenario, outcome"))
 def service_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the submitter makes of the service's answers, played by the simulator on a clock that is set forward."""
     return spark.createDataFrame([(s, service_outcome(s)) for s, _ in SERVICE_CASES], "scenario string, outcome string")

@@ -37,6 +37,21 @@ def query(sql: str | None = None):
     return add
 
 
+#: Rules shown case by case. They read no table, so they are not among the queries; tests hold them against their SQL.
+RULES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+RULE_SQL: dict[str, str] = {}
+
+
+def rule(sql: str | None = None):
+    def add(f: Callable[[SparkSession, str], DataFrame]):
+        RULES[f.__name__] = f
+        if sql:
+            RULE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -97,7 +112,7 @@ def admission_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 ROUTE_VALUES = ", ".join(f"({m}, {c}, {t}, '{e}')" for m in ("null", "'auto'", "'precision'", "'agent'", "'odd'") for c in ("null", "'auto'", "'precision'", "'agent'") for t in ("true", "false") for e in (".html", ".pdf"))
 
 
-@query(f"""with t(mode, cfg, has_token, ext) as (values {ROUTE_VALUES}), a as (select *, coalesce(mode, cfg, 'auto') as asked from t)
+@rule(f"""with t(mode, cfg, has_token, ext) as (values {ROUTE_VALUES}), a as (select *, coalesce(mode, cfg, 'auto') as asked from t)
 select mode, cfg, has_token, ext,
   case when asked = 'precision' then case when has_token then 'precision' end when asked = 'agent' then 'agent' when has_token then 'precision' else 'agent' end as api,
   case when coalesce(mode, 'precision') = 'agent' or not has_token then null else 'precision' end as batch_api,
@@ -146,7 +161,7 @@ def submit_throttle(spark: SparkSession, sf_dir: str) -> DataFrame:
 RETRY_VALUES = ", ".join(f"({s}, {a}, {h})" for s in (200, 401, 403, 404, 429, 500) for a in range(4) for h in ("null", "'5'", "'0'", "'500'", "'soon'"))
 
 
-@query(f"""with t(status, attempt, header) as (values {RETRY_VALUES})
+@rule(f"""with t(status, attempt, header) as (values {RETRY_VALUES})
 select status, attempt, header, case when status = 429 then 'RATE_LIMITED' when status in (401, 403) then 'UNAUTHORIZED' when status between 200 and 299 then 'OK' else 'HTTP_ERROR' end as class,
   case when status = 429 and attempt < 2 then least(120, coalesce(nullif(try_cast(header as integer), 0), 30)) end as wait_s from t""")
 def retry_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -265,7 +280,7 @@ ENTRY_NAMES = ("a/b.md", "./a//b", "../evil", "/abs", "C:/x", "a/../b", "", ".",
 ENTRY_VALUES = ", ".join(f"('{n}')" for n in ENTRY_NAMES)
 
 
-@query(f"""with t(name) as (values {ENTRY_VALUES}), p as (select name, list_filter(string_split(name, '/'), lambda x: x not in ('', '.')) as parts from t)
+@rule(f"""with t(name) as (values {ENTRY_VALUES}), p as (select name, list_filter(string_split(name, '/'), lambda x: x not in ('', '.')) as parts from t)
 select name, case when not regexp_matches(name, '^[A-Za-z]:|^/') and not list_contains(parts, '..') and len(parts) > 0 then array_to_string(parts, '/') end as safe, (name <> '' and not contains(name, '..') and not starts_with(name, '/')) as servable from p""")
 def entry_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("name")
@@ -299,7 +314,7 @@ CONFIG_CASES = (
 CONFIG_ROWS = [(option, str(i), v, ok) for option, good, bad in CONFIG_CASES for i, (v, ok) in enumerate([*((g, True) for g in good), *((x, False) for x in bad)])]
 
 
-@query("select * from (values " + ", ".join(f"('{o}', '{i}', {str(ok).lower()})" for o, i, _, ok in CONFIG_ROWS) + ") t(option, case_no, valid)")
+@rule("select * from (values " + ", ".join(f"('{o}', '{i}', {str(ok).lower()})" for o, i, _, ok in CONFIG_ROWS) + ") t(option, case_no, valid)")
 def config_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the validator says of every option's values."""
     rows = [(o, i, o not in Config(**{o: v}).problems()) for o, i, v, _ in CONFIG_ROWS]
@@ -455,20 +470,20 @@ def archive_rows() -> tuple[str, str]:
     )
 
 
-@query()
+@rule()
 def zip_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive.scan(demo_archives(spark))
 
 
-@query()
+@rule()
 def zip_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = archive.extracted(demo_archives(spark))
     return d.withColumn("crc", F.crc32("content")).withColumn("content", F.hex("content"))
 
 
-@query("select error_code as code, message from (values " + ERROR_VALUES + ") t(error_code, message)")
+@rule("select error_code as code, message from (values " + ERROR_VALUES + ") t(error_code, message)")
 def error_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return error_table(spark)
 
 
-ORACLE_SQL["zip_scan"], ORACLE_SQL["zip_extract"] = archive_rows()
+RULE_SQL["zip_scan"], RULE_SQL["zip_extract"] = archive_rows()

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.dimensions import SUPPORTED
-from millrace.operators import admission, limits, unpack
+from millrace.operators import admission, archive, limits, unpack
 from millrace.operators.runs import RunStore
 from millrace.plans.catalogue import DEMO_LIMITS, ITEMS_SQL, STATE_SQL, batch_items, query, quoted, table
 from millrace.storage import shared_path
@@ -218,3 +218,42 @@ def unpacked_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every file of the good archives of documents, and what is wrong with each of the others."""
     out = unpack.extract_all(packed_documents(spark, sf_dir), spark.sparkContext.defaultParallelism)
     return out.select("archive", "ordinal", "name", "size", F.sha2("content", 256).alias("sha256"), "error")
+
+
+@query(PACK_SQL + """select archive, ordinal::int as ordinal, case when archive % 7 = 5 and doc_id % """ + str(ARCHIVE_DOCS) + """ = 1 then '../evil.md' else 'd/doc-' || doc_id || '.md' end as name, 8 as method, strlen(text)::bigint as size, null as error from d where archive % 7 <> 4
+union all select archive, null, null, null, null, error from a where bad = -1""")
+def archive_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The directories of archives of documents, or that there is none."""
+    got = archive.scan(packed_documents(spark, sf_dir))
+    return got.select("archive", "ordinal", "name", "method", F.col("uncompressed_size").alias("size"), "error")
+
+
+MODES, CONFIGURED = ("null", "'auto'", "'precision'", "'agent'", "'odd'"), ("null", "'auto'", "'precision'", "'agent'")
+
+
+@query(f"""with t as (select page_id, [{", ".join(MODES)}][page_id % 5 + 1] as mode, [{", ".join(CONFIGURED)}][page_id // 5 % 4 + 1] as cfg, page_id // 20 % 2 = 1 as has_token, case when page_id % 3 = 0 then '.html' else '.pdf' end as ext from pages),
+a as (select *, coalesce(mode, cfg, 'auto') as asked from t)
+select page_id, case when asked = 'precision' then case when has_token then 'precision' end when asked = 'agent' then 'agent' when has_token then 'precision' else 'agent' end as api,
+  case when coalesce(mode, 'precision') = 'agent' or not has_token then null else 'precision' end as batch_api, case when ext = '.html' then 'html' else 'vlm' end as model from a""")
+def page_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tier and model of every page, asked for in any way, with and without a token."""
+    n = F.col("page_id")
+    pick = lambda values, i: F.get(F.array(*[F.expr(v).cast("string") for v in values]), (i % len(values)).cast("int"))
+    t = table(spark, sf_dir, "pages").select("page_id", pick(MODES, n).alias("mode"), pick(CONFIGURED, F.floor(n / 5)).alias("cfg"), (F.floor(n / 20) % 2 == 1).alias("has_token"), F.when(n % 3 == 0, ".html").otherwise(".pdf").alias("ext"))
+    mode, cfg, token = F.col("mode"), F.col("cfg"), F.col("has_token")
+    return t.select("page_id", admission.route(mode, cfg, token).alias("api"), admission.route_batch(mode, token).alias("batch_api"), admission.model_for(F.col("ext"), F.lit("vlm")).alias("model"))
+
+
+STATUSES, HEADERS = (200, 401, 403, 404, 429, 500), ("null", "'5'", "'0'", "'500'", "'soon'")
+
+
+@query(f"""with t as (select event_id, [{", ".join(map(str, STATUSES))}][event_id % 6 + 1] as status, event_id // 6 % 4 as attempt, [{", ".join(HEADERS)}][event_id // 24 % 5 + 1] as header from events)
+select event_id, case when status = 429 then 'RATE_LIMITED' when status in (401, 403) then 'UNAUTHORIZED' when status between 200 and 299 then 'OK' else 'HTTP_ERROR' end as class,
+  case when status = 429 and attempt < 2 then least(120, coalesce(nullif(try_cast(header as integer), 0), 30)) end as wait_s from t""")
+def answer_retries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is made of the service's answer to each submission: its class, and how long to wait before the next try."""
+    n = F.col("event_id")
+    header = F.get(F.array(*[F.expr(h).cast("string") for h in HEADERS]), (F.floor(n / 24) % 5).cast("int"))
+    status = F.get(F.array(*map(F.lit, STATUSES)), (n % 6).cast("int"))
+    t = table(spark, sf_dir, "events").select("event_id", status.alias("status"), (F.floor(n / 6) % 4).cast("int").alias("attempt"), header.alias("header"))
+    return t.select("event_id", limits.http_class(F.col("status")).alias("class"), limits.retry_wait(F.col("status"), F.col("attempt"), F.col("header")).alias("wait_s"))

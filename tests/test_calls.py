@@ -6,20 +6,21 @@ from pyspark.sql import functions as F
 
 from millrace.functions import names
 from millrace.operators import admission, archive, artifacts, limits
-from millrace.plans import calls, catalogue
+from millrace.plans import calls, catalogue, flows
 from millrace.sources.service import Ledger, ServiceError, within
 
 SMALL = "/root/testdata/sf0.001"
-CALLS = [n for n, f in catalogue.QUERIES.items() if f.__module__ == calls.__name__]
+ALL, SQL = catalogue.QUERIES | catalogue.RULES, catalogue.ORACLE_SQL | catalogue.RULE_SQL
+CALLS = [n for n, f in ALL.items() if f.__module__ in (calls.__name__, flows.__name__) or n in catalogue.RULES]
 
 
 @pytest.mark.parametrize("name", [*CALLS, "capability_tokens", "text_crc32", "zip_scan", "zip_extract"])
 def test_query_equals_its_sql(spark, name):
-    got = catalogue.QUERIES[name](spark, SMALL)
+    got = ALL[name](spark, SMALL)
     db = duckdb.connect()
     for t in ("pages", "events", "documents"):
         db.execute(f"create view {t} as select * from read_parquet('{SMALL}/{t}.parquet')")
-    want = db.sql(catalogue.ORACLE_SQL[name])
+    want = db.sql(SQL[name])
     columns = sorted(got.columns)
     assert columns == sorted(want.columns)
     key = lambda r: tuple(str(bytes(v) if isinstance(v, bytearray) else v) for v in r)
