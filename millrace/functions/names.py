@@ -146,6 +146,16 @@ def preview(text: Column, n: int) -> Column:
     return F.when(whole, raw.cast("string")).otherwise(F.regexp_replace(fixed, "�$", ""))
 
 
+#: What stands after a preview that was cut: a fixed value.
+NOTICE = "\n...(预览已截断, 完整内容见 Artifact full.md)"
+
+
+def preview_with_notice(text: Column, n: int) -> Column:
+    """The preview, and a notice where it was cut; null texts are empty."""
+    text = F.coalesce(text, F.lit(""))
+    return F.when(truncated(text, n), F.concat(preview(text, n), F.lit(NOTICE))).otherwise(text)
+
+
 def truncated(text: Column, n: int) -> Column:
     return F.octet_length(text) > n
 

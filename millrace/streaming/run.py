@@ -19,10 +19,11 @@ def _set(spark: SparkSession, key: str, value: str | None) -> None:
         spark.conf.set(key, value)
 
 
-def drain(stream: DataFrame, checkpoint: str, to: str | None = None, each: Callable[[DataFrame, int], None] | None = None, mode: str = "append") -> None:
+def drain(stream: DataFrame, checkpoint: str, to: str | None = None, each: Callable[[DataFrame, int], None] | None = None, mode: str = "append", name: str | None = None) -> None:
     """Run ``stream`` to the end of its input: into Parquet files at ``to``, or batch by batch through ``each``. State is kept in RocksDB."""
     spark, before = stream.sparkSession, stream.sparkSession.conf.get(STATE_STORE, None)
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    writer = writer.queryName(name) if name else writer
     _set(spark, STATE_STORE, ROCKS)
     try:
         query = writer.foreachBatch(each).start() if each else writer.format("parquet").start(to)
