@@ -218,14 +218,8 @@ class Decoder:
         return NOISY.sub(lambda m: self.decode(m[0]), text.lower())
 
     def words(self, text: str, noisy: bool) -> set[str]:
-        """Distinct words as written and, where that differs, as restored."""
-        found = set(text.lower().translate(PARTS).split())
-        if noisy:
-            for m in NOISY.finditer(text.lower()):
-                found.update(self.decode(m[0]).split())
-                if self.spaced(m[0]):
-                    found.add(self.decode(m[0], parts=False))  # a single word that the character model would part
-        return found
+        """Distinct words of the restored text; a text that isn't ``noisy`` is its own reading."""
+        return set((self.restore(text) if noisy else text.lower()).translate(PARTS).split())
 
 
 @dataclass

@@ -70,3 +70,8 @@ def test_prior_is_that_of_all_labels_above_the_cap(spark, monkeypatch):
 def test_capitals_with_accents():
     d = decoder()
     assert d.words("RÉEUXRÉ Ächlich, ACHLICHÄ", False) == {"réeuxré", "ächlich", "achlichä"}
+
+
+def test_only_the_restored_text_is_scored():
+    d = decoder()
+    assert d.words("hat3 the l053r, a l-o-s-e-r!", True) == {"hate", "the", "loser", "a"}
