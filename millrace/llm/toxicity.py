@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import CHUNK_BYTES, bytes_list, crc_mod, cuts, discard, materialize, rows_of
@@ -37,7 +37,7 @@ SAMPLE_PER_LABEL = 10_000
 VOCABULARY = 512
 #: A word must stand in so many sampled texts.
 LEAST_TEXTS = 5
-#: Least strength of a word's link, in standard errors of its log odds.
+#: Least strength of a word's link: the root of its likelihood ratio, which is about normal where there is no link.
 LEAST_STRENGTH = 4.0
 ROUNDS, RIDGE = 600, 1e-4
 
@@ -273,8 +273,16 @@ def sampled_words(df: DataFrame, labels: DataFrame, costs: np.ndarray, id_col: s
     counted = rows.select("toxic", F.explode("words").alias("word")).groupBy("word").agg(F.sum("toxic").alias("bad"), F.count(F.lit(1)).alias("n")).filter(F.col("n") >= LEAST_TEXTS)
     sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     good, bad = sizes.get(0, 0), sizes.get(1, 0)
-    odds = F.log((F.col("bad") + 0.5) / (bad + 1)) - F.log((F.col("n") - F.col("bad") + 0.5) / (good + 1))
-    strength = F.abs(odds) / F.sqrt(1 / (F.col("bad") + 0.5) + 1 / (F.col("n") - F.col("bad") + 0.5))
+
+    def part(observed: Column, texts: Column | int, label: int) -> Column:
+        expected = texts * F.lit(label / max(1, good + bad))
+        return F.when(observed > 0, observed * F.log(observed / expected)).otherwise(0.0)
+
+    n, toxic = F.col("n"), F.col("bad")
+    rest = F.lit(good + bad) - n  # texts without the word
+    # The root of the likelihood ratio: unlike log odds over their error it keeps growing for words that clean texts never have.
+    ratio = part(toxic, n, bad) + part(n - toxic, n, good) + part(F.lit(bad) - toxic, rest, bad) + part(F.lit(good) - n + toxic, rest, good)
+    strength = F.sqrt(F.greatest(2 * ratio, F.lit(0.0)))
     top = counted.withColumn("strength", strength).filter(F.col("strength") >= LEAST_STRENGTH).orderBy(F.col("strength").desc(), "word").limit(VOCABULARY).select("word")
     known = sorted(r["word"] for r in top.collect())
     kept = rows.select("toxic", F.array_intersect("words", F.array(*map(F.lit, known)) if known else F.array().cast("array<string>")).alias("words"))

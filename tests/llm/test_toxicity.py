@@ -75,3 +75,23 @@ def test_capitals_with_accents():
 def test_only_the_restored_text_is_scored():
     d = decoder()
     assert d.words("hat3 the l053r, a l-o-s-e-r!", True) == {"hate", "the", "loser", "a"}
+
+
+def test_words_that_only_toxic_texts_have_are_learned_first(spark, monkeypatch):
+    # 40 words that toxic texts have somewhat more often must not fill the model before 3 that no clean text has.
+    import random
+
+    r = random.Random(6)
+    weak, sure = [f"w{'abcdefghij'[k % 10]}{'klmn'[k // 10]}x" for k in range(40)], ["grobnik", "zulmak", "vortep"]
+    rows = []
+    for i in range(1200):
+        toxic = i % 10 == 0
+        words = [w for w in weak if r.random() < (0.5 if toxic else 0.2)] + ([sure[i // 10 % 3]] if toxic else [])
+        rows.append((i, " ".join(["house", *words]), int(toxic)))
+    d = spark.createDataFrame([x[:2] for x in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, t) for i, _, t in rows], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "VOCABULARY", 8)
+    model = toxicity.train(d, labels)
+    assert set(sure) <= set(model.weights) and len(model.weights) == 8
+    got = {x.doc_id: x.toxic_score >= 0.5 for x in toxicity.score(d, model).collect()}
+    assert sum(got[i] == bool(t) for i, _, t in rows) >= 0.99 * len(rows)
