@@ -29,7 +29,7 @@ WAYS_SQL = "case page_id % 8 when 0 then run || '/' || p when 1 then run || '//.
 
 
 @query(f"""with d as (select page_id, 'run-' || page_id // {RUN_PAGES} as run, 'p-' || page_id || '.html' as p, strlen(html)::bigint as size from pages), r as (select *, {WAYS_SQL} as rel from d)
-select page_id, rel, case when page_id % 8 in (0, 1, 6) then size end as bytes, case when page_id % 8 in (3, 4, 5) then 'ARTIFACT_BAD_PATH' when page_id % 8 in (2, 7) then 'ARTIFACT_NOT_FOUND' when size > {DEMO_LIMITS["precision"]} then 'ARTIFACT_TOO_LARGE' end as error from r""")
+select page_id, rel, case when page_id % 8 in (0, 1, 6) then size else 0 end as bytes, case when page_id % 8 in (3, 4, 5) then 'ARTIFACT_BAD_PATH' when page_id % 8 in (2, 7) then 'ARTIFACT_NOT_FOUND' when size > {DEMO_LIMITS["precision"]} then 'ARTIFACT_TOO_LARGE' end as error from r""")
 def served_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether the artifact that each request names may be served: pages are the artifacts of runs."""
     n = F.col("page_id")
@@ -41,7 +41,7 @@ def served_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
         rel = F.when(n % 8 == k, F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])).otherwise(rel)
     files = d.select(F.concat(run, F.lit("/"), p).alias("path"), "size")
     got = serving.served(d.select("page_id", rel.alias("rel")), files, "rel", DEMO_LIMITS["precision"])
-    return got.select("page_id", "rel", F.col("serve_bytes").alias("bytes"), F.col("serve_error").alias("error"))
+    return got.select("page_id", "rel", F.coalesce("serve_bytes", F.lit(0)).alias("bytes"), F.col("serve_error").alias("error"))
 
 
 @query(f"""with r as (select event_id % 3 as part, {STATE_SQL} as state from events)
