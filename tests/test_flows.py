@@ -123,6 +123,24 @@ def test_task_waits_end_once_whatever_the_order(spark, tmp_path):
     assert got == expected and len(spark.read.parquet(f"file://{tmp_path}/out").collect()) == len(expected)
 
 
+def test_task_waits_share_states_by_shard(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(waits, "SHARDS", 3)
+    n = 200
+    begin = lambda i: i % 50
+    rows = [(f"t{i}", at(begin(i) * SECOND), None, "running") for i in range(n)]
+    rows += [(f"t{i}", at((begin(i) + i % 19) * SECOND), None, "done") for i in range(n) if i % 19]
+    rows += [(f"t{i}", at(99 * SECOND), None, "failed") for i in range(n)]  # told of by then
+    rows += [("last", at(k * SECOND), None, "pending") for k in (400, 402)]
+    rows.sort(key=lambda x: x[1])
+    stream = records(spark, tmp_path, [rows[i : i + 70] for i in range(0, len(rows), 70)], "task string, ts timestamp, seq long, state string")
+    out = waits.task_outcomes(stream, "task", "ts", "seq", "state", 10 * SECOND, 120 * SECOND, "5 seconds")
+    run.drain(out, f"file://{tmp_path}/checkpoint", f"file://{tmp_path}/out")
+    got = sorted((x.task, (x.end_us - x.begin_us) // SECOND, x.outcome) for x in spark.read.parquet(f"file://{tmp_path}/out").collect())
+    assert got == sorted((f"t{i}", i % 19 if 0 < i % 19 <= 10 else 10, "done" if 0 < i % 19 <= 10 else "TIMEOUT") for i in range(n))
+    state = spark.read.format("statestore").option("stateVarName", "waits").load(f"file://{tmp_path}/checkpoint")
+    assert state.count() == 1  # "last"; all others are forgotten, and so are their shards
+
+
 def test_batches_end_once(spark, tmp_path):
     row = lambda batch, item, us, state, link=True, expected=2: (batch, item, expected, at(us * SECOND), us, state, link)
     parts = [
