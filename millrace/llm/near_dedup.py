@@ -8,14 +8,14 @@ compared by signatures of 128 bins, then k-mer by k-mer, then aligned; a link
 needs aligned k-mers over all k-mers of 0.8 or more. Links join texts to
 classes.
 
-Within a bucket of equal sketches a leader is compared with the other members;
-those that it does not link to bring forth the next leaders. Half of the
-buckets take leaders from the other end, so that members linked to different
-leaders meet again. A bucket that stays mixed after that holds texts with a
-common passage, not copies: its members are told apart by their rarest k-mers,
-an exact filter, until every one is a leader or linked to one. Links between
-classes that no leader brought together are sought last, among the same rare
-k-mers. Exact copies are one text throughout.
+Within a bucket of equal sketches a leader is compared with the other members.
+Half of the buckets take their leader from the other end, so that members linked to
+different leaders meet again. These links make classes; texts of one class need
+not be compared. A bucket in which classes differ after that holds texts with a
+common passage, not copies: links between its classes are sought among the rarest
+k-mers that classes share, an exact filter. Where many pairs meet even there,
+leaders go first, until every text is a leader or linked to one. Exact copies
+are one text throughout.
 """
 
 from __future__ import annotations
@@ -40,8 +40,10 @@ LARGE, SMALL = (32, 4, 16, 1 << 62), (16, 2, 1, 20)
 #: Bins of a signature: each keeps a byte of the least hash of its k-mers. Texts of similarity 0.8 agree in
 #: 0.8 of the filled bins; pairs DEVIATIONS standard deviations below are not compared further (less than 2e-6 of links).
 BINS, DEVIATIONS = 128, 5.0
-#: Leaders of a bucket in the first rounds: one, so that what is compared stays below the members of all buckets.
-LEADERS = (1,)
+#: Rounds in which a bucket of equal sketches has one leader: each compares fewer pairs than buckets have members.
+LEADERS = 2
+#: Up to so many pairs of different classes a member of the buckets of rare k-mers are asked at once, without rounds of leaders.
+MEETINGS = 256
 
 
 def bounds(n: np.ndarray, k: int) -> np.ndarray:
@@ -297,15 +299,26 @@ def leader_rounds(state: DataFrame, sigs: DataFrame, texts: DataFrame, known: li
     return known, state
 
 
-def rare_buckets(state: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """Buckets of rare k-mers for the members of buckets with open ones: the prefix filter.
+def followers(members: DataFrame, classed: DataFrame) -> DataFrame:
+    """A table of the members of buckets in which classes still differ, without the leader, with ``comp`` and the next leader ``l``.
+
+    A bucket's leader has met all others and has nobody left to ask; others of one
+    class are joined, whether or not they were compared.
+    """
+    comps, bucket = classed.select(F.col("node").alias("tkey"), "comp"), Window.partitionBy("bucket")
+    others = members.filter(F.col("tkey") != F.col("l.tkey")).select("bucket", "tkey", "n", "order").join(comps, "tkey", "left").withColumn("comp", F.coalesce("comp", "tkey"))
+    led = others.withColumn("c1", F.min("comp").over(bucket)).withColumn("c2", F.max("comp").over(bucket)).withColumn("l", F.min(F.struct("order", "tkey", "n", "comp")).over(bucket))
+    return materialize(led.filter("c1 < c2").drop("c1", "c2"), "near-followers")
+
+
+def rare_buckets(who: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Buckets of rare k-mers for texts (tkey, n, order, comp) that may have links to other classes: the prefix filter.
 
     Two texts of the threshold's similarity share one of each text's
     n - ceil(t*n) + 1 rarest k-mers, whatever order rarity has, as long as it
-    is one order for all. K-mers that no other member has stand first in it.
+    is one order for all. K-mers that no other class has stand first in it: they
+    are shared by no pair that is asked for.
     """
-    who = state.groupBy("tkey", "n").agg(F.max("open").alias("open"), F.min("order").alias("order"))
-    who = materialize(who, "near-left")
 
     def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -319,40 +332,72 @@ def rare_buckets(state: DataFrame, texts: DataFrame, threshold: float) -> DataFr
                     yield pa.RecordBatch.from_arrays([pa.array([key] * len(x), pa.binary()), pa.array(x.view(np.int64))], ["tkey", "kmer"])
 
     ours = texts.join(who.select("tkey"), "tkey", "left_semi").groupBy("tkey").agg(F.first("text").alias("text"))
-    kmers = materialize(ours.select("tkey", "text").mapInArrow(labelled, "tkey binary, kmer long"), "near-left-kmers")
-    common = materialize(kmers.groupBy("kmer").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "near-common-kmers")
-    met = kmers.join(common, "kmer").join(who, "tkey")
+    kmers = materialize(ours.select("tkey", "text").mapInArrow(labelled, "tkey binary, kmer long").join(who, "tkey"), "near-left-kmers")
+    common = kmers.groupBy("kmer").agg(F.count(F.lit(1)).alias("df"), F.min("comp").alias("c1"), F.max("comp").alias("c2")).filter("c1 < c2").select("kmer", "df")
+    met = kmers.join(common, "kmer")
     own = Window.partitionBy("tkey")  # bounded by the length of a text
     met = met.withColumn("m", F.count(F.lit(1)).over(own)).withColumn("rn", F.row_number().over(own.orderBy("df", "kmer")))
     met = met.filter(F.col("rn") <= F.col("m") - F.ceil(threshold * F.col("n") - 1e-9) + 1)
     met = met.withColumn("rest", F.col("m") - F.col("rn") + 1)  # what two texts share, their first shared k-mer and later ones
-    met = materialize(met.select(F.col("kmer").alias("bucket"), "tkey", "n", "rest", F.struct("n", "order").alias("order"), "open"), "near-rare")
-    discard(who, kmers, common)
+    met = materialize(met.select(F.col("kmer").alias("bucket"), "tkey", "n", "rest", F.struct("n", "order").alias("order"), F.lit(True).alias("open"), "comp"), "near-rare")
+    discard(kmers)
     return met
 
 
+def class_pairs(who: DataFrame, known: list[DataFrame], threshold: float) -> DataFrame:
+    """Pairs (a, b) of rare buckets (bucket, tkey, n, rest, comp) whose ends lie in different classes and that weren't asked."""
+    sizes = who.groupBy("bucket").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).filter("c1 < c2").select("bucket")
+    who = who.join(sizes, "bucket", "left_semi")
+    least = F.ceil(threshold / (1 + threshold) * (F.col("n") + F.col("l.n")) - 1e-9)
+    ours = who.select("bucket", F.struct("tkey", "n", "rest", "comp").alias("l"))
+    met = who.join(ours, "bucket").filter((F.col("tkey") < F.col("l.tkey")) & (F.col("comp") != F.col("l.comp")) & (least <= F.least("rest", "l.rest")))
+    return met.select(F.col("tkey").alias("a"), F.col("l.tkey").alias("b")).distinct().join(union(known).select("a", "b"), ["a", "b"], "left_anti")
+
+
 def across_classes(state: DataFrame, sigs: DataFrame, texts: DataFrame, known: list[DataFrame], threshold: float) -> list[DataFrame]:
-    """``known`` plus the pairs of rare buckets whose ends lie in different classes so far and that weren't asked.
+    """``known`` plus the pairs of rare buckets whose ends lie in different classes after leaders' rounds and that weren't asked.
 
     A text without any link stays open until it leads, so all its pairs were
     asked; what leaders can miss are links between texts that both have links.
-    Of two different classes in a bucket one isn't its largest, so those outside
-    the largest meet all others, not all meet all.
     """
     classed = components(union(known).filter("linked").select("a", "b"))
     comps = classed.select(F.col("node").alias("tkey"), "comp")
     who = materialize(state.select("bucket", "tkey", "n", "rest").join(comps, "tkey"), "near-classed")
-    sizes = who.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("c"))
-    largest = sizes.groupBy("bucket").agg(F.max_by("comp", F.struct("c", "comp")).alias("largest"), F.count(F.lit(1)).alias("classes")).filter("classes > 1").select("bucket", "largest")
-    ours = who.join(largest, "bucket").filter(F.col("comp") != F.col("largest")).select("bucket", F.struct("tkey", "n", "rest", "comp").alias("l"))
-    least = F.ceil(threshold / (1 + threshold) * (F.col("n") + F.col("l.n")) - 1e-9)
-    met = who.join(ours, "bucket").filter((F.col("comp") != F.col("l.comp")) & (least <= F.least("rest", "l.rest")))
-    asked = met.select(F.least("tkey", "l.tkey").alias("a"), F.greatest("tkey", "l.tkey").alias("b")).distinct().join(union(known).select("a", "b"), ["a", "b"], "left_anti")
-    found = verified(asked, sigs, texts, threshold)
+    found = verified(class_pairs(who, known, threshold), sigs, texts, threshold)
     discard(classed, who)
     return [*known, *found]
 
 
+def between_classes(rare: DataFrame, sigs: DataFrame, texts: DataFrame, known: list[DataFrame], threshold: float) -> list[DataFrame]:
+    """Tables of asked pairs beside ``known`` that leave no link between different classes of rare buckets unfound.
+
+    Where few pairs meet, all of them are asked. Else leaders go first: members of
+    groups that ``known`` doesn't join are linked to a few and need not all meet.
+    """
+    per = rare.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("bucket").agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("same"))
+    rows, meetings = per.agg(F.sum("c"), F.sum((F.col("c") * F.col("c") - F.col("same")) / 2)).first()
+    if (meetings or 0) <= MEETINGS * (rows or 0):
+        return verified(class_pairs(rare, known, threshold), sigs, texts, threshold)
+    met, _ = leader_rounds(live(rare), sigs, texts, known, threshold, None)
+    return across_classes(rare, sigs, texts, met, threshold)[len(known) :]
+
+
+def joined_classes(classed: DataFrame, found: list[DataFrame]) -> DataFrame:
+    """``classed`` (node, comp) with the classes joined that the links among ``found`` join; the table replaces ``classed``."""
+    new = union(found).filter("linked").select("a", "b") if found else None
+    if new is None or not new.limit(1).count():
+        return classed
+    for end in ("a", "b"):
+        new = new.join(classed.select(F.col("node").alias(end), F.col("comp").alias(f"{end}c")), end, "left").withColumn(end, F.coalesce(f"{end}c", end)).drop(f"{end}c")
+    joins = components(new.filter("a <> b"))
+    roots = joins.select(F.col("node").alias("comp"), F.col("comp").alias("root"))
+    moved = classed.select("node", "comp").join(roots, "comp", "left").select("node", F.coalesce("root", "comp").alias("comp"))
+    alone = joins.select("node", "comp").join(classed.select("node"), "node", "left_anti")  # texts that had no link before
+    out = materialize(moved.unionAll(alone), "near-joined")
+    discard(classed, joins)
+    return out
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, class_id (least doc_id of its class), n_verified_links, keys of text and class, of each row.
 
@@ -370,22 +415,33 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     order = F.xxhash64("tkey", F.lit(7))
     rows = sigs.select("tkey", "n", order.alias("order"), F.explode("buckets").alias("bucket"))
     rows = rows.select("bucket", "tkey", "n", F.when(F.col("bucket") % 2 == 0, F.col("order")).otherwise(-F.col("order") - 1).alias("order"))
-    shared = materialize(sigs.select(F.explode("buckets").alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("bucket"), "near-shared")
-    members = materialize(rows.join(shared, "bucket", "left_semi"), "near-buckets")
+    bucket = Window.partitionBy("bucket")
+    led = rows.withColumn("c", F.count(F.lit(1)).over(bucket)).withColumn("l", F.min(F.struct("order", "tkey", "n")).over(bucket)).filter("c > 1")
+    members = materialize(led.drop("c"), "near-buckets")
     needed = members.select("tkey").distinct().join(sigs.select("tkey", "rep"), "tkey").select(F.col("tkey").alias("t"), F.col("rep").alias("r"))
     texts = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("tkey", F.unhex(F.md5("text")))
     texts = materialize(texts.join(needed, F.col("doc_id").eqNullSafe(F.col("r")) & (F.col("tkey") == F.col("t"))).select("tkey", "text"), "near-members")
-    state = members.withColumn("rest", F.col("n").cast("long")).withColumn("open", F.lit(True))
-    known, left = leader_rounds(state, sigs, texts, [], threshold, LEADERS)
-    if left is not None:
-        rare = rare_buckets(left, texts, threshold)
-        discard(left)
-        known, _ = leader_rounds(live(rare), sigs, texts, known, threshold, None)
-        known = across_classes(rare, sigs, texts, known, threshold)
+    # Every member of a bucket with its leader, and the next ones; then, between the classes that this leaves, by rare k-mers.
+    fits = F.ceil(threshold / (1 + threshold) * (F.col("n") + F.col("l.n")) - 1e-9) <= F.least("n", "l.n")
+    known, found, classed = [], [], None
+    for _ in range(LEADERS):
+        apart = members.filter((F.col("tkey") != F.col("l.tkey")) & fits & (F.lit(True) if classed is None else F.col("comp") != F.col("l.comp")))
+        asked = apart.select(F.least("tkey", "l.tkey").alias("a"), F.greatest("tkey", "l.tkey").alias("b")).distinct()
+        found = verified(asked.join(union(known).select("a", "b"), ["a", "b"], "left_anti") if known else asked, sigs, texts, threshold)
+        classed = components(found[0].filter("linked").select("a", "b")) if classed is None else joined_classes(classed, found)
+        known, before = [*known, *found], members
+        members = followers(before, classed)
+        discard(before)
+        if not members.limit(1).count():
+            break
+    else:
+        rare = rare_buckets(members.groupBy("tkey", "n", "comp").agg(F.min("order").alias("order")), texts, threshold)
+        found = between_classes(rare, sigs, texts, known, threshold)
         discard(rare)
+        classed, known = joined_classes(classed, found), [*known, *found]
+    comps = classed
     links = materialize(union(known).filter("linked").select("a", "b"), "near-linked")
     discard(*known)
-    comps = components(links)
     degree = links.select(F.col("a").alias("node")).unionAll(links.select(F.col("b").alias("node"))).groupBy("node").agg(F.count(F.lit(1)).alias("n_verified_links"))
     classes = sigs.select("tkey", "rep").join(comps.select(F.col("node").alias("tkey"), "comp"), "tkey", "left").join(degree.withColumnRenamed("node", "tkey"), "tkey", "left")
     classes = classes.select("tkey", "rep", F.coalesce("comp", "tkey").alias("comp"), F.coalesce("n_verified_links", F.lit(0)).alias("n_verified_links"))
@@ -393,7 +449,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     least = materialize(made.groupBy("comp").agg(F.min("rep").alias("class_id")), "near-least")
     classes = made.join(least, "comp").select("tkey", "rep", "class_id", "n_verified_links", "comp")
     rows = materialize(keyed.select("doc_id", "tkey").join(classes, "tkey").select("doc_id", "class_id", "n_verified_links", "tkey", "rep", F.hex("comp").alias("class_key")), "near-rows")
-    discard(keyed, sigs, shared, members, texts, links, comps, made, least)
+    discard(keyed, sigs, members, texts, links, comps, made, least)
     return rows
 
 

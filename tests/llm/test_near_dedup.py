@@ -186,3 +186,33 @@ def test_intermediate_tables_are_deleted(spark, tmp_path, monkeypatch):
     rows = [(k, " ".join([*common_words, *(f"w{r.randrange(10**6)}" for _ in range(25))])) for k in range(40)]
     near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert [p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()] == ["near-rows"]
+
+
+def test_texts_of_one_class_are_not_compared_again(spark, monkeypatch):
+    r = random.Random(31)
+    base = [f"w{r.randrange(10**6)}" for _ in range(120)]
+    texts = [" ".join(edited(r, base, r.choice([1, 2, 3]))) for _ in range(40)] + [" ".join([*base[:60], *(f"v{r.randrange(10**6)}" for _ in range(60))]) for _ in range(12)]
+    real, calls = near_dedup.verified, []
+
+    def watched(pairs, sigs, frame, threshold):
+        out = real(pairs, sigs, frame, threshold)
+        calls.append([(bytes(x["a"]), bytes(x["b"]), x["linked"]) for t in out for x in t.collect()])
+        return out
+
+    monkeypatch.setattr(near_dedup, "verified", watched)
+    got = {x["doc_id"]: x["class_id"] for x in near_dedup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    want, links = classes_of(texts)
+    assert [got[i] for i in range(len(texts))] == want and links > 100
+    root = {}
+
+    def find(x):
+        while root.get(x, x) != x:
+            x = root[x]
+        return x
+
+    for call in calls:
+        assert not [1 for a, b, _ in call if find(a) == find(b)]
+        for a, b, linked_ in call:
+            if linked_:
+                root[find(a)] = find(b)
+    assert len(calls) > 1
