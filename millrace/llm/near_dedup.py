@@ -13,7 +13,8 @@ Half of the buckets take their leader from the other end, so that members linked
 different leaders meet again. These links make classes; texts of one class need
 not be compared. A bucket in which classes differ after that holds texts with a
 common passage, not copies: links between its classes are sought among the rarest
-k-mers that classes share, an exact filter. Where many pairs meet even there,
+k-mers that classes share, an exact filter, and parities of all k-mers rule out
+most pairs that meet there, exactly, too. Where many pairs meet even there,
 leaders go first, until every text is a leader or linked to one. Exact copies
 are one text throughout.
 """
@@ -23,6 +24,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +46,8 @@ BINS, DEVIATIONS = 128, 5.0
 LEADERS = 2
 #: Up to so many pairs of different classes a member of the buckets of rare k-mers are asked at once, without rounds of leaders.
 MEETINGS = 256
+#: Bits of a text's parities: one costs 128 bytes a row of the buckets of rare k-mers.
+BITS = 1024
 
 
 def bounds(n: np.ndarray, k: int) -> np.ndarray:
@@ -175,6 +179,22 @@ def signatures(docs: DataFrame) -> DataFrame:
     return keyed.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, tkey binary, n_kmers int, buckets array<long>, signature binary")
 
 
+def parities(kmers: np.ndarray) -> np.ndarray:
+    """BITS bits as longs: whether an odd number of the labelled k-mers falls on each. Two texts differ in as many k-mers as bits, or more."""
+    return np.packbits(np.bincount((kmers % U(BITS)).astype(np.int64), minlength=BITS).astype(np.uint8) & 1).view(np.int64)
+
+
+def least_shared(threshold: float) -> Column:
+    """K-mers that a member and ``l`` must share for a link."""
+    return F.ceil(threshold / (1 + threshold) * (F.col("n") + F.col("l.n")) - 1e-9)
+
+
+def parities_allow(threshold: float) -> Column:
+    """Whether the parities of a member and ``l`` leave room for a link: exact, they never rule one out."""
+    differ = reduce(add, (F.bit_count(F.col("bits")[i].bitwiseXOR(F.col("l.bits")[i])) for i in range(BITS // 64)))
+    return differ <= F.col("n") + F.col("l.n") - 2 * least_shared(threshold)
+
+
 def kmers_of(texts: list[bytes]) -> list[np.ndarray]:
     hashes, _, _, first = words_of(texts)
     grams = mix(Prefix(hashes[0]).grams(SHINGLE))
@@ -244,11 +264,15 @@ def union(tables: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionAll, tables)
 
 
+def parity_columns(state: DataFrame) -> list[str]:
+    return ["bits"] if "bits" in state.columns else []
+
+
 def live(state: DataFrame) -> DataFrame:
     """Members of the buckets in which something is left to ask: the last one of a bucket has met all others, and without an open one nobody asks."""
     bucket = Window.partitionBy("bucket")
     counted = state.withColumn("c", F.count(F.lit(1)).over(bucket)).withColumn("any", F.max("open").over(bucket))
-    return counted.filter("any and c > 1").select("bucket", "tkey", "n", "rest", "order", "open")
+    return counted.filter("any and c > 1").select("bucket", "tkey", "n", "rest", "order", "open", *parity_columns(state))
 
 
 def leader_rounds(state: DataFrame, sigs: DataFrame, texts: DataFrame, known: list[DataFrame], threshold: float, leaders: tuple[int, ...] | None) -> tuple[list[DataFrame], DataFrame | None]:
@@ -257,7 +281,7 @@ def leader_rounds(state: DataFrame, sigs: DataFrame, texts: DataFrame, known: li
     Buckets are ``live``. Open means neither a leader yet nor linked to one. In every round the
     first members of a bucket, more of them each time, are asked against
     all members that have not led. ``rest`` bounds the k-mers that a member can
-    share in this bucket; pairs that the bounds rule out are not aligned.
+    share in this bucket; pairs that the bounds, or parities (``bits``, if there), rule out are not asked.
 
     With ``leaders``, the numbers of the rounds, they are open members. Without,
     rounds go on, buckets have members in order of size and leaders are whoever
@@ -265,6 +289,7 @@ def leader_rounds(state: DataFrame, sigs: DataFrame, texts: DataFrame, known: li
     a member whose bound rules out partners of that size is no longer open.
     """
     last = Window.partitionBy("bucket").orderBy("order")
+    bits = parity_columns(state)
     done, table = 0, None  # the table that the state is read from, if it is one of ours
 
     def least(n1: str, n2: str) -> Column:
@@ -273,9 +298,10 @@ def leader_rounds(state: DataFrame, sigs: DataFrame, texts: DataFrame, known: li
     while leaders is None or done < len(leaders):
         count = 4**done if leaders is None else leaders[done]
         who = state.filter("open") if leaders is not None else state
-        first = who.withColumn("place", F.row_number().over(last)).filter(F.col("place") <= count).select("bucket", F.struct("tkey", "n", "rest", "open").alias("l"))
+        first = who.withColumn("place", F.row_number().over(last)).filter(F.col("place") <= count).select("bucket", F.struct("tkey", "n", "rest", "open", *bits).alias("l"))
         leads = F.col("tkey") == F.col("l.tkey")
         fits = (F.col("open") | F.col("l.open")) & (least("n", "l.n") <= F.least("rest", "l.rest"))
+        fits = fits & parities_allow(threshold) if bits else fits
         met = state.join(first, "bucket").filter(leads | fits)
         met = materialize(met.select("bucket", "tkey", F.least("tkey", "l.tkey").alias("a"), F.greatest("tkey", "l.tkey").alias("b"), leads.alias("leads"), F.col("l.n").alias("size")), "near-meetings")
         asked = met.filter("not leads").select("a", "b").distinct()
@@ -324,34 +350,44 @@ def rare_buckets(who: DataFrame, texts: DataFrame, threshold: float) -> DataFram
         for batch in batches:
             for lo, hi in cuts(batch, "text", CHUNK_BYTES):
                 part = batch.slice(lo, hi - lo)
-                for key, x in zip(part.column("tkey").to_pylist(), kmers_of(bytes_list(part.column("text"))), strict=True):
+                kmers, bits = [], []
+                for x in kmers_of(bytes_list(part.column("text"))):
                     x = np.sort(x)
                     place = np.arange(len(x))
                     start = np.concatenate([[True], x[1:] != x[:-1]])
                     x = mix(x + (place - np.maximum.accumulate(np.where(start, place, 0))).astype(U) * U(0x9FB21C651E98DF25))
-                    yield pa.RecordBatch.from_arrays([pa.array([key] * len(x), pa.binary()), pa.array(x.view(np.int64))], ["tkey", "kmer"])
+                    kmers.append(x.view(np.int64))
+                    bits.append(parities(x))
+                yield pa.RecordBatch.from_arrays([part.column("tkey"), pa.array(kmers, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64()))], ["tkey", "kmers", "bits"])
 
     ours = texts.join(who.select("tkey"), "tkey", "left_semi").groupBy("tkey").agg(F.first("text").alias("text"))
-    kmers = materialize(ours.select("tkey", "text").mapInArrow(labelled, "tkey binary, kmer long").join(who, "tkey"), "near-left-kmers")
+    lists = materialize(ours.select("tkey", "text").mapInArrow(labelled, "tkey binary, kmers array<long>, bits array<long>").join(who, "tkey"), "near-left-kmers")
+    kmers = lists.select("tkey", "n", "order", "comp", F.explode("kmers").alias("kmer"))
     common = kmers.groupBy("kmer").agg(F.count(F.lit(1)).alias("df"), F.min("comp").alias("c1"), F.max("comp").alias("c2")).filter("c1 < c2").select("kmer", "df")
     met = kmers.join(common, "kmer")
     own = Window.partitionBy("tkey")  # bounded by the length of a text
     met = met.withColumn("m", F.count(F.lit(1)).over(own)).withColumn("rn", F.row_number().over(own.orderBy("df", "kmer")))
     met = met.filter(F.col("rn") <= F.col("m") - F.ceil(threshold * F.col("n") - 1e-9) + 1)
     met = met.withColumn("rest", F.col("m") - F.col("rn") + 1)  # what two texts share, their first shared k-mer and later ones
-    met = materialize(met.select(F.col("kmer").alias("bucket"), "tkey", "n", "rest", F.struct("n", "order").alias("order"), F.lit(True).alias("open"), "comp"), "near-rare")
-    discard(kmers)
+    met = met.join(lists.select("tkey", "bits"), "tkey")
+    met = materialize(met.select(F.col("kmer").alias("bucket"), "tkey", "n", "rest", F.struct("n", "order").alias("order"), F.lit(True).alias("open"), "comp", "bits"), "near-rare")
+    discard(lists)
     return met
 
 
 def class_pairs(who: DataFrame, known: list[DataFrame], threshold: float) -> DataFrame:
-    """Pairs (a, b) of rare buckets (bucket, tkey, n, rest, comp) whose ends lie in different classes and that weren't asked."""
-    sizes = who.groupBy("bucket").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).filter("c1 < c2").select("bucket")
-    who = who.join(sizes, "bucket", "left_semi")
-    least = F.ceil(threshold / (1 + threshold) * (F.col("n") + F.col("l.n")) - 1e-9)
-    ours = who.select("bucket", F.struct("tkey", "n", "rest", "comp").alias("l"))
-    met = who.join(ours, "bucket").filter((F.col("tkey") < F.col("l.tkey")) & (F.col("comp") != F.col("l.comp")) & (least <= F.least("rest", "l.rest")))
-    return met.select(F.col("tkey").alias("a"), F.col("l.tkey").alias("b")).distinct().join(union(known).select("a", "b"), ["a", "b"], "left_anti")
+    """Pairs (a, b) of rare buckets (bucket, tkey, n, rest, comp) whose ends lie in different classes and that weren't asked.
+
+    One end of each lies outside the bucket's largest class, so that class never meets
+    itself. Parities (``bits``, if there) rule out most of what meets.
+    """
+    sizes = who.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("bucket").agg(F.count(F.lit(1)).alias("classes"), F.max(F.struct("c", "comp")).alias("most"))
+    who = who.join(sizes.filter("classes > 1").select("bucket", F.col("most.comp").alias("most")), "bucket")
+    ours = who.filter("comp <> most").select("bucket", F.struct("tkey", "n", "rest", "comp", *parity_columns(who)).alias("l"))
+    fits = ((F.col("comp") == F.col("most")) | (F.col("tkey") < F.col("l.tkey"))) & (F.col("comp") != F.col("l.comp")) & (least_shared(threshold) <= F.least("rest", "l.rest"))
+    met = who.join(ours, "bucket").filter(fits & parities_allow(threshold) if parity_columns(who) else fits)
+    met = met.select(F.least("tkey", "l.tkey").alias("a"), F.greatest("tkey", "l.tkey").alias("b")).distinct()
+    return met.join(union(known).select("a", "b"), ["a", "b"], "left_anti")
 
 
 def across_classes(state: DataFrame, sigs: DataFrame, texts: DataFrame, known: list[DataFrame], threshold: float) -> list[DataFrame]:
@@ -362,7 +398,7 @@ def across_classes(state: DataFrame, sigs: DataFrame, texts: DataFrame, known: l
     """
     classed = components(union(known).filter("linked").select("a", "b"))
     comps = classed.select(F.col("node").alias("tkey"), "comp")
-    who = materialize(state.select("bucket", "tkey", "n", "rest").join(comps, "tkey"), "near-classed")
+    who = materialize(state.select("bucket", "tkey", "n", "rest", *parity_columns(state)).join(comps, "tkey"), "near-classed")
     found = verified(class_pairs(who, known, threshold), sigs, texts, threshold)
     discard(classed, who)
     return [*known, *found]

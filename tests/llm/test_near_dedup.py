@@ -216,3 +216,51 @@ def test_texts_of_one_class_are_not_compared_again(spark, monkeypatch):
             if linked_:
                 root[find(a)] = find(b)
     assert len(calls) > 1
+
+
+def group_around_the_threshold():
+    """Copies with three words of their own each: of 0.64 to each other, of 0.8 or more to those few with less."""
+    r = random.Random(41)
+    base = [f"w{r.randrange(10**6)}" for _ in range(150)]
+    texts = []
+    for k in range(50):
+        near = list(base)
+        for i in r.sample(range(0, 150, 5), 1 + k % 2 if k < 6 else 3):
+            near[i] = f"own{k}x{i}"
+        texts.append(" ".join(near))
+    return texts
+
+
+def test_parities_rule_out_pairs_and_never_a_link(spark, monkeypatch):
+    """Of the pairs between classes of one group of copies few are asked beside the links, and classes stay those of all pairs."""
+    texts = group_around_the_threshold()
+    real, asked = near_dedup.class_pairs, []
+
+    def watched(*args):
+        out = real(*args)
+        asked.extend((bytes(x["a"]), bytes(x["b"])) for x in out.collect())
+        return out
+
+    monkeypatch.setattr(near_dedup, "class_pairs", watched)
+    got = {x["doc_id"]: x["class_id"] for x in near_dedup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    want, links = classes_of(texts)
+    assert [got[i] for i in range(len(texts))] == want and len(set(want)) > 10 and links > 20
+    apart = sum(want[i] != want[j] for i in range(len(texts)) for j in range(i))
+    assert len(asked) == len(set(asked)) and len(asked) < apart / 10
+
+
+def test_parities_differ_in_no_more_bits_than_texts_in_kmers():
+    r = np.random.default_rng(42)
+    for n, far in [(0, 0), (1, 1), (60, 12), (800, 90), (5000, 4000)]:
+        a = r.integers(0, 1 << 63, n, np.uint64)
+        b = np.concatenate([a[far // 2 :], r.integers(0, 1 << 63, far - far // 2, np.uint64)])
+        x, y = near_dedup.parities(a), near_dedup.parities(b)
+        assert len(x) == near_dedup.BITS // 64
+        assert np.bitwise_count(x.view(np.uint64) ^ y.view(np.uint64)).sum() <= far  # far // 2 left out, the others new
+
+
+def test_rounds_of_leaders_with_parities_find_the_same_classes(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "MEETINGS", 0)
+    texts = group_around_the_threshold()
+    got = {x["doc_id"]: x["class_id"] for x in near_dedup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(len(texts))] == classes_of(texts)[0]
